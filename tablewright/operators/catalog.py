@@ -14,27 +14,40 @@ CATALOG_SCHEMA = (
 )
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: dict[str, DataFrame], known: dict[str, int | None] | None = None) -> DataFrame:
     """`(table_name, num_rows)`; counting a Parquet table reads file footers only."""
+    known = {n: r for n, r in (known or {}).items() if r is not None}
+    spark = next(iter(tables.values())).sparkSession
     counts = [
         t.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(n).alias("table_name"), "num_rows")
-        for n, t in tables.items()
+        for n, t in tables.items() if n not in known
     ]
+    if known:
+        counts.append(spark.createDataFrame(list(known.items()), "table_name string, num_rows bigint"))
     return reduce(DataFrame.unionByName, counts)
 
 
-def column_catalog(tables: dict[str, DataFrame], descriptions: dict[str, str] | None = None) -> DataFrame:
-    """Catalog of a table set, in set order. Reads schemas now, counts rows when it is used."""
+def column_catalog(
+    tables: dict[str, DataFrame],
+    descriptions: dict[str, str] | None = None,
+    rows: bool = True,
+    known_rows: dict[str, int | None] | None = None,
+) -> DataFrame:
+    """Catalog of a table set, in set order. Reads schemas now, counts rows when it is used.
+
+    Relationships need no counts: `rows=False` leaves the tables unread.
+    """
     if not tables:
         raise ValueError("No tables found")
     described = descriptions or {}
-    rows = [
+    listed = [
         (name, t, c, field.name, field.dataType.simpleString(), described.get(name) or NO_DESCRIPTION)
         for t, (name, table) in enumerate(tables.items(), 1)
         for c, field in enumerate(table.schema.fields, 1)
     ]
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, CATALOG_SCHEMA).join(row_counts(tables), "table_name")
+    catalog = spark.createDataFrame(listed, CATALOG_SCHEMA)
+    return catalog.join(row_counts(tables, known_rows), "table_name") if rows else catalog
 
 
 def base_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.operators.catalog import base_tables, column_catalog
+from tablewright.operators.catalog import base_tables, column_catalog, database_catalog
 from tablewright.operators.normalize import Normalized, normalize
 from tablewright.operators.relations import key_relationships, relationships
 from tablewright.operators.views import VIEW_LIMIT, create_views
@@ -65,7 +65,8 @@ def normalize_sheets(
             tables[f"{base}_{name}" if base else name] = result
     if not tables:
         return SheetSet({}, None)
-    return SheetSet(tables, key_relationships(column_catalog({n: t.data for n, t in tables.items()})))
+    catalog = column_catalog({n: t.data for n, t in tables.items()}, rows=False)
+    return SheetSet(tables, key_relationships(catalog))
 
 
 def normalize_and_load(spark: SparkSession, tables: dict[str, DataFrame | str], database: str) -> DataFrame:
@@ -83,10 +84,10 @@ def analyze(
     spark: SparkSession, database: str, analyze_only: bool = False, limit: int | None = VIEW_LIMIT
 ) -> Analysis:
     """Catalog, relationships and, unless `analyze_only`, a view for each related pair."""
-    catalog = column_catalog(base_tables(spark, database))
-    found = relationships(catalog)
+    tables = base_tables(spark, database)
+    found = relationships(column_catalog(tables, rows=False))
     views = None if analyze_only else create_views(spark, database, found, limit)
-    return Analysis(catalog, found, views)
+    return Analysis(database_catalog(spark, database), found, views)
 
 
 def missing_files(spark: SparkSession, source: str, landed: str) -> DataFrame:

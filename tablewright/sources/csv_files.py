@@ -82,7 +82,9 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
 
     raw = F.col(RAW_RECORD)
     width = F.regexp_count(F.regexp_replace(raw, QUOTED_FIELD, ""), F.lit(",")) + 1
-    kept = rows.filter(raw.isNull() | ((width <= len(names)) & (F.trim(raw) != "")))
+    # Spark refuses a scan of the raw record alone, as in a bare count: always read one cell with it
+    with_cell = F.coalesce(F.length(F.col(cells[0])), F.lit(0)) >= 0
+    kept = rows.filter((raw.isNull() | ((width <= len(names)) & (F.trim(raw) != ""))) & with_cell)
     if len(names) == 1:
         kept = kept.filter(F.trim(F.col(cells[0])) != "")
     return kept.select(*[missing_to_null(F.col(c)).alias(n) for c, n in zip(cells, names)])

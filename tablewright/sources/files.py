@@ -48,7 +48,7 @@ def file_manifest(
     extensions: tuple[str, ...] | None = None,
     recursive: bool = True,
 ) -> DataFrame:
-    """One row per file below `folder`; the content column is never read.
+    """One row per file below `folder`; the content column is never read. Spark lists no files of length 0.
 
     `entry` is the table-level file or folder: `x/orders.csv/part-0` belongs to `x/orders.csv`.
     """

@@ -21,7 +21,9 @@ def test_long_rows_go_and_short_rows_stay(spark, tmp_path, split):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        rows = values(scan_csv(spark, path))
+        df = scan_csv(spark, path)
+        rows = values(df)
+        assert df.count() == df.select("c").count() == 4
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(rows, key=str) == sorted(
