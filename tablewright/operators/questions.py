@@ -6,11 +6,11 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.failures import FAILURES
 from tablewright.functions.text import float_text
 
 ROW_CAP = 1000
@@ -146,5 +146,5 @@ def answer(
         finally:
             result.unpersist()
         return Answer(question, text, summary.row_count, preview, summary.digest)
-    except PySparkException as problem:
+    except FAILURES as problem:
         return Answer(question, text, error=f"Query execution failed: {problem}")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.failures import FAILURES
 from tablewright.operators.relations import viewable
 
 VIEW_LIMIT = 1000
@@ -118,6 +118,6 @@ def create_views(
                 text = join_sql(left, right, *schemas, *spelled, pair.to_table, limit)
                 spark.sql(f"CREATE OR REPLACE VIEW {quoted(database)}.{quoted(name)} AS {text}")
                 report.append([*row, True, None])
-            except (PySparkException, TypeError, StopIteration) as problem:
+            except FAILURES as problem:
                 report.append([*row, False, str(problem)])
     return spark.createDataFrame(report, VIEW_REPORT_SCHEMA)

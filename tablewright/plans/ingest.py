@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.failures import FAILURES
 from tablewright.operators.catalog import base_tables, column_catalog, database_catalog
 from tablewright.operators.normalize import Normalized, normalize
 from tablewright.operators.relations import key_relationships, relationships
@@ -48,7 +48,7 @@ def normalize_all(
             data = read_table(spark, table) if isinstance(table, str) else table
             done[name] = normalize(data, order_by=(order_by or {}).get(name), untyped=untyped)
             status.append((name, True, None))
-        except (PySparkException, ValueError) as problem:
+        except FAILURES as problem:
             status.append((name, False, str(problem)))
     return NormalizedSet(done, spark.createDataFrame(status, STATUS_SCHEMA))
 

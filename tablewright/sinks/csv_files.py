@@ -33,16 +33,21 @@ def csv_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", *[_cell(f.name, f.dataType) for f in df.schema.fields]).alias("value"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write a folder of part files that `scan_csv` reads back as one table.
+def write_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Write the text column `value`; the header goes before the first line of each partition.
 
-    The header is put before the first row of each partition, so every part is a file of its own.
+    So every part is a delimited file of its own, and no data moves.
     """
-    header = F.lit(csv_header(df))
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    lines = csv_lines(df).select("value", place.alias("place"))
-    both = F.when(F.col("place") == 0, F.array(header, F.col("value"))).otherwise(F.array("value"))
-    lines.select(F.explode(both).alias("value")).write.mode("overwrite").text(path)
-    spark = df.sparkSession
+    first = F.lit(header)
+    both = F.when(F.col("place") == 0, F.array(first, F.col("value"))).otherwise(F.array("value"))
+    placed = lines.select("value", place.alias("place"))
+    placed.select(F.explode(both).alias("value")).write.mode("overwrite").text(path)
+    spark = lines.sparkSession
     if spark.read.text(path).isEmpty():
-        spark.range(1).select(header.alias("value")).write.mode("overwrite").text(path)
+        spark.range(1).select(first.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write a folder of part files that `scan_csv` reads back as one table."""
+    write_lines(csv_lines(df), csv_header(df), path)

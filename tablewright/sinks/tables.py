@@ -6,10 +6,10 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.failures import FAILURES
 from tablewright.operators.views import quoted
 from tablewright.sources.files import path_exists
 from tablewright.sources.tables import is_text_source, read_table, table_paths
@@ -59,7 +59,7 @@ def load_table(df: DataFrame, database: str, name: str, disposition: str = TRUNC
         else:
             return Loaded(name, False, None, f"Unknown write disposition: {disposition}")
         return Loaded(name, True, spark.table(table).count(), None)
-    except PySparkException as problem:
+    except FAILURES as problem:
         if disposition == TRUNCATE and spark.catalog.tableExists(f"{database}.{name}"):
             spark.sql(f"DROP TABLE IF EXISTS {incoming}")
         return Loaded(name, False, None, str(problem))
@@ -68,7 +68,7 @@ def load_table(df: DataFrame, database: str, name: str, disposition: str = TRUNC
 def attempt(name: str, step: Callable[[], Loaded]) -> Loaded:
     try:
         return step()
-    except (PySparkException, ValueError) as problem:
+    except FAILURES as problem:
         return Loaded(name, False, None, str(problem))
 
 
