@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.tables import COLUMNS, NORMAL, columns_of, given
 from tablewright import Normalized, normalize, normalize_all, normalize_sheets
-from tablewright.operators import profile as pf
 
 
 def _reports(tables: dict[str, Normalized]) -> DataFrame:
@@ -30,17 +29,17 @@ def n1_header_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LABEL_SQL = """
     WITH cells AS (
-        SELECT 'url' AS col, page_id AS k, url AS v, false AS num, NULL::DOUBLE AS d FROM pages
-        UNION ALL SELECT 'html', page_id, html, false, NULL FROM pages
-        UNION ALL SELECT 'p_name', p_partkey, p_name, false, NULL FROM part
-        UNION ALL SELECT 'p_size', p_partkey, p_size::VARCHAR, true, p_size FROM part
-        UNION ALL SELECT 'o_totalprice', o_orderkey, o_totalprice::VARCHAR, true, o_totalprice FROM orders
-        UNION ALL SELECT 'o_orderpriority', o_orderkey, o_orderpriority, false, NULL FROM orders
-        UNION ALL SELECT 'text', doc_id, text, false, NULL FROM documents
+        SELECT 'url' AS col, 2 AS pos, page_id AS k, url AS v, false AS num, NULL::DOUBLE AS d FROM pages
+        UNION ALL SELECT 'html', 3, page_id, html, false, NULL FROM pages
+        UNION ALL SELECT 'p_name', 2, p_partkey, p_name, false, NULL FROM part
+        UNION ALL SELECT 'p_size', 5, p_partkey, p_size::VARCHAR, true, p_size FROM part
+        UNION ALL SELECT 'o_totalprice', 4, o_orderkey, o_totalprice::VARCHAR, true, o_totalprice FROM orders
+        UNION ALL SELECT 'o_orderpriority', 6, o_orderkey, o_orderpriority, false, NULL FROM orders
+        UNION ALL SELECT 'text', 2, doc_id, text, false, NULL FROM documents
     ), ranked AS (
         SELECT *, row_number() OVER (PARTITION BY col ORDER BY k) AS rn FROM cells WHERE v IS NOT NULL
     ), facts AS (
-        SELECT col, bool_or(num) AS num, median(d) AS med,
+        SELECT col, min(pos) AS pos, count(*) AS filled, bool_or(num) AS num, median(d) AS med,
                lower(string_agg(v, ' ' ORDER BY k) FILTER (rn <= 10)) AS s, min(v) FILTER (rn = 1) AS f
         FROM ranked GROUP BY col
     )
@@ -59,27 +58,33 @@ LABEL_SQL = """
         WHEN s LIKE '%name%' OR s LIKE '%title%' THEN 'name'
         WHEN s LIKE '%id%' OR s LIKE '%code%' THEN 'id'
         WHEN (s LIKE '%date%' OR s LIKE '%/%' OR s LIKE '%-%') AND length(f) <= 12 THEN 'date'
-        ELSE 'field' END AS label
+        ELSE 'field' END        || '_' || pos AS name, filled
     FROM facts
 """
+LABEL_SQL = f"SELECT *  REPLACE (CASE WHEN name LIKE 'date%' THEN 0 ELSE filled END AS filled) FROM ({LABEL_SQL})"
 
 
 @query(LABEL_SQL)
 def n2_column_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The label each of these columns would get if it had no name."""
+    """The name each of these columns gets if it has none, and how many of its values survive.
+
+    Order priorities look like dates at first sight, so they end as dates that cannot be read.
+    """
     picked = {
-        "pages": ("page_id", ["url", "html"], []),
-        "part": ("p_partkey", ["p_name", "p_size"], ["p_size"]),
-        "orders": ("o_orderkey", ["o_totalprice", "o_orderpriority"], ["o_totalprice"]),
-        "documents": ("doc_id", ["text"], []),
+        "pages": ("page_id", ["url", "html"]),
+        "part": ("p_partkey", ["p_name", "p_size"]),
+        "orders": ("o_orderkey", ["o_totalprice", "o_orderpriority"]),
+        "documents": ("doc_id", ["text"]),
     }
     parts = []
-    for name, (key, columns, numbers) in picked.items():
-        table = given(spark, sf_dir, name)
-        _, facts = pf.gather(table, {c: pf.amount_facts(F.col(c)) for c in numbers})
-        amounts = {c for c in numbers if pf.median_is_amount(facts[c])}
-        ordered = table.select(*columns, F.col(key).alias("__key0"))
-        parts.append(pf.inferred_labels(ordered, columns, ["__key0"], set(numbers), amounts).select("column", "label"))
+    for table, (key, columns) in picked.items():
+        given_names = [c for c, _ in columns_of(table)]
+        blank = given(spark, sf_dir, table).toDF(*[f"Unnamed: {c}" if c in columns else c for c in given_names])
+        done = normalize(blank, order_by=[key])
+        named = dict(zip(given_names, done.columns))
+        filled = done.data.agg(*[F.count(named[c]).alias(c) for c in columns]).unpivot([], columns, "column", "filled")
+        label = F.create_map(*[F.lit(x) for c in columns for x in (c, named[c])])
+        parts.append(filled.select("column", label[F.col("column")].alias("name"), "filled"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -75,14 +75,20 @@ def _any_word(text: Column, words: tuple[str, ...]) -> Column:
     return found
 
 
-def label(sample: Column, first: Column, is_number: Column, is_amount: Column) -> Column:
-    """Label for an unnamed column from its joined sample text and its first sample."""
-    rule = F.when(sample.isNull() | (sample == ""), F.lit("column"))
-    text = F.lower(sample)
+def label_before_numbers(sample: Column) -> Column:
+    """Label by the words that count for every type of column, else null."""
+    text, rule = F.lower(sample), None
     for name, words in WORDS_BEFORE_NUMBERS:
-        rule = rule.when(_any_word(text, words), F.lit(name))
-    rule = rule.when(is_number & is_amount, F.lit("amount")).when(is_number, F.lit("value"))
+        found = _any_word(text, words)
+        rule = F.when(found, name) if rule is None else rule.when(found, name)
+    return rule
+
+
+def label_after_numbers(sample: Column, first: Column) -> Column:
+    """Label of a column that holds no numbers."""
+    text, rule = F.lower(sample), None
     for name, words in WORDS_AFTER_NUMBERS:
-        rule = rule.when(_any_word(text, words), F.lit(name))
+        found = _any_word(text, words)
+        rule = F.when(found, name) if rule is None else rule.when(found, name)
     short = F.length(first) <= DATE_SAMPLE_LENGTH
-    return rule.when(_any_word(text, DATE_MARKS) & short, F.lit("date")).otherwise(F.lit("field"))
+    return rule.when(_any_word(text, DATE_MARKS) & short, "date").otherwise("field")

@@ -11,10 +11,11 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# How a plain decimal number and the true/false words look in a delimited file.
-NUMBER_PATTERN = r"^[ \t]*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?[ \t]*$"
-INTEGER_PATTERN = r"^[ \t]*[+-]?\d+[ \t]*$"
-INFINITY_PATTERN = r"(?i)^[ \t]*[+-]?inf(?:inity)?[ \t]*$"
+# How numbers and the true/false words look in a delimited file. The repeats are
+# possessive, so that a date or a long text fails without trying shorter matches.
+PLAIN_NUMBER_PATTERN = r"^[ \t]*+[+-]?(?:\d++(?:\.\d*+)?|\.\d++)[ \t]*+$"
+POWER_NUMBER_PATTERN = r"^[ \t]*+[+-]?(?:\d++(?:\.\d*+)?|\.\d++)[eE][+-]?\d++[ \t]*+$"
+INFINITY_PATTERN = r"(?i)^[ \t]*+[+-]?inf(?:inity)?[ \t]*+$"
 BOOLEAN_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
@@ -47,8 +48,12 @@ def iso_text(c: Column) -> Column:
 
 
 def safe_number(c: Column, type_name: str = "double") -> Column:
-    """Numeric conversion that yields null instead of failing."""
-    return c.try_cast(type_name)
+    """A text cell as a number; null unless it is written as one.
+
+    The pattern test comes first: a failed conversion is far dearer than a failed match.
+    """
+    number = c.rlike(PLAIN_NUMBER_PATTERN) | c.rlike(POWER_NUMBER_PATTERN) | c.rlike(INFINITY_PATTERN)
+    return F.when(number, c.try_cast(type_name))
 
 
 def float_text(c: Column) -> Column:

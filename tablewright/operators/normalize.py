@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,44 +53,44 @@ def _needs_fraction_test(field: T.StructField) -> bool:
     return isinstance(kind, pf.FRACTIONAL)
 
 
-def _order(df: DataFrame, order_by: Iterable[str | Column] | None) -> tuple[DataFrame, list[str]]:
-    if order_by is None:
-        return pf.with_file_order(df)
-    keys = [F.col(o) if isinstance(o, str) else o for o in order_by]
-    return df.select("*", *[k.alias(f"__key{i}") for i, k in enumerate(keys)]), [
-        f"__key{i}" for i in range(len(keys))
-    ]
-
-
-def _typed_text(c: Column, kind: str, facts: dict) -> Column:
-    if kind in (pf.INTEGER, pf.WIDE_INTEGER):
-        target = "bigint" if kind == pf.INTEGER else "decimal(20,0)"
-        if facts["whole"] == facts["filled"]:
-            return F.trim(c).try_cast(target)
-        return pf.number_value(c).try_cast(target)
-    if kind == pf.DOUBLE:
-        return pf.number_value(c)
-    if kind == pf.BOOLEAN:
-        return c.try_cast("boolean")
-    if kind == pf.EMPTY:
+def _typed_text(c: Column, marks: int | None) -> Column:
+    """A text column in the type all its cells fit. No cell fails to convert."""
+    kind = pf.text_kind(marks)
+    if kind == pf.INTEGER:
+        return c.try_cast("bigint") if not marks & pf.ROUND else c.try_cast("double").try_cast("bigint")
+    if kind == pf.WIDE_INTEGER:
+        return c.try_cast("decimal(20,0)")
+    if kind in (pf.DOUBLE, pf.EMPTY):
         return c.try_cast("double")
-    return c
+    return c.try_cast("boolean") if kind == pf.BOOLEAN else c
 
 
 def infer_types(df: DataFrame, keep_text: Iterable[str] = ()) -> DataFrame:
     """Type the text columns of a delimited file by all their values: bigint, double, boolean or text."""
     kept = set(keep_text)
-    cells = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    texts = [
-        c for c, f, n in zip(cells.columns, df.schema.fields, df.columns) if _is_text(f) and n not in kept
-    ]
-    _, facts = pf.gather(cells, {c: pf.text_kind_facts(F.col(c)) for c in texts})
+    names_ = [f"c{i}" for i in range(len(df.columns))]
+    cells, beginning = df.toDF(*names_), (pf.first_file(df) or df).toDF(*names_)
+    texts = [c for c, f, n in zip(names_, df.schema.fields, df.columns) if _is_text(f) and n not in kept]
+    marks, wanted = _text_marks(beginning, texts)
+    _, facts = pf.gather(cells, wanted)
+    marks |= {c: f["marks"] for c, f in facts.items()}
     return cells.select(*[
-        (_typed_text(F.col(c), pf.text_kind(facts[c]), facts[c]) if c in facts else F.col(c)).alias(n)
-        for c, n in zip(cells.columns, df.columns)
+        (_typed_text(F.col(c), marks[c]) if c in marks else F.col(c)).alias(n) for c, n in zip(names_, df.columns)
     ])
 
 
+def _text_marks(beginning: DataFrame, columns: list[str]) -> tuple[dict, dict[str, dict[str, Column]]]:
+    """Marks of the columns the beginning shows to be text, and what the rest must be asked."""
+    early = pf.early_marks(beginning, columns)
+    settled = {c: m for c, m in early.items() if pf.is_surely_text(m)}
+    open_ = {c: {"marks": pf.column_marks(F.col(c), early[c])} for c in columns if c not in settled}
+    return settled, open_
+
+
+def _without_nan(c: Column, data_type: T.DataType) -> Column:
+    return F.nanvl(c, F.lit(None).cast("double")) if isinstance(data_type, (T.FloatType, T.DoubleType)) else c
+
+
 def _whole(c: Column, target: str = "bigint") -> Column:
     return F.coalesce(c.try_cast(target), F.lit(0).cast(target))
 
@@ -103,11 +103,9 @@ def _text(c: Column) -> Column:
     return tx.empty_to_null(tx.clean_text(c))
 
 
-def _date(c: Column, facts: dict) -> Column:
-    first = facts.get("first")
-    layout = dates.guess_layout(first) if first else None
+def _date(c: Column, layout: dates.Layout | None, facts: dict) -> Column:
     if layout and layout.has_offset and facts["low_offset"] != facts["high_offset"]:
-        return _text(c)
+        return _text(c)  # several offsets: no common reading
     return dates.date_text(c, layout)
 
 
@@ -143,40 +141,53 @@ def normalize(
     inferred = [c for c in texts if untyped and source[c] not in kept]
     dated = [c for c in texts if c in unnamed or names.is_date_name(header[c])]
 
-    ordered, order = _order(df, order_by) if unnamed or dated else (df, [])
-    cells = ordered.toDF(*source, *order)
-    if drop_empty:
-        cells = cells.na.drop(how="all", subset=list(source))
+    def arrange(table: DataFrame) -> DataFrame:
+        renamed = table.toDF(*source, *table.columns[len(source):])
+        return renamed.na.drop(how="all", subset=list(source)) if drop_empty else renamed
+
+    beginning = pf.first_file(df) if inferred or (order_by is None and (unnamed or dated)) else None
+    first: dict[str, Row] = {}
+    if unnamed or dated:
+        ordered, order = pf.with_order(df, order_by)
+        head = arrange(pf.with_order(beginning, None)[0]) if beginning and order_by is None else None
+        only_dated = [c for c in dated if c not in unnamed]
+        for columns, n in ((unnamed, names.SAMPLE_SIZE), (only_dated, 1)):
+            if columns:
+                first |= pf.first_values(arrange(ordered), head, columns, order, n)
+    layout = {c: dates.guess_layout(first[c]["first"]) for c in dated if c in first}
+
+    cells = arrange(df)
+    marks, asked = _text_marks(arrange(beginning or df), inferred)
     wanted: dict[str, dict[str, Column]] = {c: {} for c in source}
     for c, facts in wanted.items():
-        value = F.col(c)
-        if c in inferred:
-            facts |= pf.text_kind_facts(value)
-        elif drop_empty:
-            facts["filled"] = F.count(F.nanvl(value, F.lit(None)) if isinstance(
-                field[c].dataType, (T.FloatType, T.DoubleType)) else value)
+        value = _without_nan(F.col(c), field[c].dataType)
+        facts |= asked.get(c, {})
+        if drop_empty:
+            facts["filled"] = F.count(value)
         if _needs_fraction_test(field[c]):
             facts["fraction"] = F.bool_or(pf.has_fraction(value))
-        if c in dated:
-            facts |= pf.date_facts(value, order)
+        if layout.get(c) and layout[c].has_offset:
+            facts |= pf.offset_facts(value)
         if c in unnamed and (_is_number(field[c]) or c in inferred):
-            facts |= pf.amount_facts(pf.number_value(value) if c in inferred else value)
+            facts |= pf.amount_facts(tx.safe_number(value) if c in inferred else value)
     rows, known = pf.gather(cells, {c: f for c, f in wanted.items() if f})
     facts = {c: known.get(c, {}) for c in source}
+    marks |= {c: facts[c]["marks"] for c in asked}
 
     columns = [c for c in source if not drop_empty or facts[c]["filled"] > 0]
-    kind = {c: pf.text_kind(facts[c]) for c in inferred}
+    kind = {c: pf.text_kind(marks[c]) for c in inferred}
     number_kinds = (pf.INTEGER, pf.WIDE_INTEGER, pf.DOUBLE)
     numbers = {c for c in columns if _is_number(field[c]) or kind.get(c) in number_kinds}
 
-    unnamed = [c for c in columns if c in unnamed]
-    if unnamed:
-        amounts = {c for c in unnamed if c in numbers and pf.median_is_amount(facts[c])}
-        labels = pf.inferred_labels(cells, unnamed, order, numbers, amounts)
-        label = {r["column"]: r["label"] for r in labels.collect()}
+    def label(c: str) -> str:
+        if c not in first:
+            return "column"
+        if c in numbers:
+            return first[c]["before"] or ("amount" if pf.median_is_amount(facts[c]) else "value")
+        return first[c]["before"] or first[c]["after"]
+
     final = [
-        f"{label.get(c, 'column')}_{i}" if c in unnamed else names.identifier(header[c])
-        for i, c in enumerate(columns, 1)
+        f"{label(c)}_{i}" if c in unnamed else names.identifier(header[c]) for i, c in enumerate(columns, 1)
     ]
 
     def rule(c: str, name: str) -> Column:
@@ -185,7 +196,8 @@ def normalize(
         if isinstance(data_type, pf.MOMENTS):
             return tx.empty_to_null(tx.iso_text(value))
         if _is_number(field[c]):
-            return _number(value, bool(known.get("fraction")), compat and is_date)
+            plain = _without_nan(value, data_type)
+            return _number(plain, bool(known.get("fraction")), compat and is_date)
         if isinstance(data_type, T.BooleanType):
             return tx.bool_text(value)
         if not _is_text(field[c]):
@@ -194,11 +206,11 @@ def normalize(
         if text_kind == pf.BOOLEAN:
             return tx.bool_text(value)
         if text_kind == pf.WIDE_INTEGER:
-            return _whole(_typed_text(value, text_kind, known), "decimal(20,0)")
+            return _whole(_typed_text(value, marks[c]), "decimal(20,0)")
         if text_kind in (pf.INTEGER, pf.DOUBLE):
-            return _number(_typed_text(value, text_kind, known), text_kind == pf.DOUBLE, compat and is_date)
+            return _number(_typed_text(value, marks[c]), text_kind == pf.DOUBLE, compat and is_date)
         if is_date:
-            return _date(value, known)
+            return _date(value, layout.get(c), known)
         if text_kind == pf.EMPTY:
             return F.lit(0).cast("bigint")
         return _text(value)

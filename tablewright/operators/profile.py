@@ -4,12 +4,13 @@ that need it. Everything is a partial + final aggregate with a fixed-size buffer
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 from pyspark.errors import AnalysisException
 
 from tablewright.functions import dates, names
@@ -20,27 +21,42 @@ FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 MOMENTS = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
+EARLY_ROWS = 1000
+FIRST_LENGTH = 100  # longer first values are no dates
 TEXT, INTEGER, WIDE_INTEGER, DOUBLE, BOOLEAN, EMPTY = (
     "text", "integer", "wide_integer", "double", "boolean", "empty",
 )
 
 
-def with_file_order(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Add columns whose order is the row order of the files (of the partitions, if not a file scan)."""
+def with_order(df: DataFrame, order_by: Iterable[str | Column] | None) -> tuple[DataFrame, list[str]]:
+    """Add columns that sort as the given keys, or as the rows of the files (else of the partitions)."""
+    if order_by is not None:
+        keys = [F.col(o) if isinstance(o, str) else o for o in order_by]
+        added = [f"__key{i}" for i in range(len(keys))]
+        return df.select("*", *[k.alias(a) for k, a in zip(keys, added)]), added
     row = F.monotonically_increasing_id().alias("__row")
-    try:
-        place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
-        return df.select("*", *place, row), ["__file", "__block", "__row"]
-    except AnalysisException:
+    if not has_file_rows(df):
         return df.select("*", row), ["__row"]
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+    return df.select("*", *place, row), ["__file", "__block", "__row"]
 
 
-def number_value(c: Column) -> Column:
-    """A text cell as double, null unless it is written as a number or infinity.
+def has_file_rows(df: DataFrame) -> bool:
+    """Whether each row is one row of a file, with the file's metadata at hand."""
+    try:
+        return bool(df.select("_metadata.file_path", "_metadata.file_block_start").columns)
+    except AnalysisException:
+        return False
+
 
-    The pattern test comes first: a failed parse is far dearer than a failed match.
-    """
-    return F.when(c.rlike(tx.NUMBER_PATTERN) | c.rlike(tx.INFINITY_PATTERN), F.trim(c).try_cast("double"))
+def first_file(df: DataFrame) -> DataFrame | None:
+    """The rows of the first of several files; the other files are not opened."""
+    files = df.inputFiles()
+    if len(files) < 2 or not has_file_rows(df):
+        return None
+    head = min(files)
+    # the listing writes local files as `file:///x`, the rows as `file:/x`
+    return df.filter(F.col("_metadata.file_path").isin(head, head.replace(":///", ":/", 1)))
 
 
 def has_fraction(v: Column) -> Column:
@@ -49,46 +65,76 @@ def has_fraction(v: Column) -> Column:
     return (v != F.rint(v)) | (F.abs(v) >= BIGINT_LIMIT)
 
 
-def text_kind_facts(c: Column) -> dict[str, Column]:
-    """Counts that decide whether a text column holds integers, doubles, booleans or text."""
-    whole = c.rlike(tx.INTEGER_PATTERN)
-    value = number_value(c)
-    wide = whole & c.try_cast("bigint").isNull()
-    too_wide = F.trim(c).try_cast("decimal(38,0)").between(F.lit(0), F.lit(Decimal(2**64 - 1)))
-    return {
-        "filled": F.count(c),
-        "whole": F.count_if(whole),
-        "number": F.count(value),
-        "wide": F.count_if(wide),
-        "beyond": F.count_if(wide & ~F.coalesce(too_wide, F.lit(False))),
-        "minus": F.count_if(whole & F.startswith(F.trim(c), F.lit("-"))),
-        "overflow": F.count_if((F.abs(value) == float("inf")) & ~c.rlike(tx.INFINITY_PATTERN)),
-        "fraction": F.bool_or(has_fraction(value)),
-        "boolean": F.count_if(c.isin(*tx.BOOLEAN_WORDS)),
-    }
+# What a text cell may be written as; the cells of a column combine by bitwise or.
+WHOLE, MINUS, WIDE, BEYOND, ROUND, FRACTION, WORD, OTHER = (1 << i for i in range(8))
+WHOLE_NUMBERS = WHOLE | MINUS | WIDE | BEYOND
+
+
+def cell_mark(c: Column, known: int | None = None) -> Column:
+    """The mark of one cell; `known` are marks other cells of the column have for certain.
+
+    Nested conditions keep conversions to the cells that convert. Almost every number is short, and
+    then one pattern test and a byte search tell a whole number, one more conversion a fraction.
+    """
+    long, value = c.try_cast("bigint"), c.try_cast("double")
+    unsigned = c.try_cast("decimal(38,0)").between(F.lit(0), F.lit(Decimal(2**64 - 1)))
+    in_range = (F.octet_length(c) <= 18) | long.isNotNull()
+    minus = F.startswith(F.ltrim(c), F.lit("-"))
+    whole = (
+        F.when(in_range, F.when(minus, WHOLE | MINUS).otherwise(WHOLE))
+        .when(unsigned, WIDE).otherwise(BEYOND)
+    )
+    number = F.when(has_fraction(value), FRACTION).otherwise(ROUND)
+    pointed = F.when(F.octet_length(c) > 17, number).when(value % 1 == 0, ROUND).otherwise(FRACTION)
+    plain = F.when(~F.contains(c, F.lit(".")), whole).otherwise(pointed)
+    if known and known & FRACTION:
+        plain = F.lit(FRACTION)  # a double whatever its other numbers are
+    return (
+        F.when(c.rlike(tx.PLAIN_NUMBER_PATTERN), plain)
+        .when(c.rlike(tx.POWER_NUMBER_PATTERN), F.when(F.abs(value) == float("inf"), OTHER).otherwise(number))
+        .when(c.isin(*tx.BOOLEAN_WORDS), WORD)
+        .when(c.rlike(tx.INFINITY_PATTERN), FRACTION)
+        .when(c.isNotNull(), OTHER)
+    )
+
+
+def column_marks(c: Column, known: int | None = None) -> Column:
+    """All marks of a column, 0 for none. Without nulls the aggregate evaluates each cell once."""
+    return F.bit_or(F.coalesce(cell_mark(c, known), F.lit(0)))
 
 
-def text_kind(facts: dict) -> str:
-    filled = facts["filled"]
-    if filled == 0:
+def early_marks(beginning: DataFrame, columns: list[str]) -> dict[str, int | None]:
+    """Marks of the first rows. Marks only add up, so a column that is text here is text."""
+    if not columns:
+        return {}
+    return beginning.select(*columns).limit(EARLY_ROWS).agg(
+        *[column_marks(F.col(c)).alias(c) for c in columns]
+    ).first().asDict()
+
+
+def is_surely_text(marks: int | None) -> bool:
+    """Whether no further cell can make the column anything but text."""
+    return bool(marks and (marks & OTHER or marks & WORD and marks != WORD))
+
+
+def text_kind(marks: int | None) -> str:
+    """What a text column holds, from the marks of all its cells."""
+    if not marks:
         return EMPTY
-    if facts["boolean"] == filled:
+    if marks == WORD:
         return BOOLEAN
-    if facts["number"] != filled or facts["overflow"]:
+    if is_surely_text(marks):
         return TEXT
-    if facts["whole"] == filled and facts["wide"]:
-        return TEXT if facts["beyond"] or facts["minus"] else WIDE_INTEGER
-    return DOUBLE if facts["fraction"] else INTEGER
+    if not marks & ~WHOLE_NUMBERS:
+        if marks & BEYOND or marks & WIDE and marks & MINUS:
+            return TEXT
+        return WIDE_INTEGER if marks & WIDE else INTEGER
+    return DOUBLE if marks & (FRACTION | WIDE | BEYOND) else INTEGER
 
 
-def date_facts(c: Column, order: list[str]) -> dict[str, Column]:
-    place = F.when(c.isNotNull(), F.struct(*order))
+def offset_facts(c: Column) -> dict[str, Column]:
     offset = dates.utc_offset(c)
-    return {
-        "first": F.min_by(c, place),
-        "low_offset": F.min(offset),
-        "high_offset": F.max(offset),
-    }
+    return {"low_offset": F.min(offset), "high_offset": F.max(offset)}
 
 
 def amount_facts(v: Column) -> dict[str, Column]:
@@ -125,38 +171,58 @@ def sample_text(c: Column, data_type: T.DataType) -> Column:
     return c.cast("string")
 
 
-def first_samples(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """`(column, sample, first)` from the first ten values of each column.
+def _first_of_each(df: DataFrame, columns: list[str], order: list[str], n: int) -> DataFrame:
+    """`(column, found, sample, first)` from the first n values of each column.
 
-    The rank limit is applied inside every task before the shuffle, so a column of any length sends
-    ten rows per task at most.
+    Each column is a top-n of its own: every task keeps n rows, and only those move. A column of
+    any length, or all its rows in one file, sends n rows per task.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    long = df.select(
-        *order, *[sample_text(F.col(c), types[c]).alias(c) for c in columns]
-    ).unpivot(order, columns, "column", "value").filter(F.col("value").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("column").orderBy(*order))
-    ranked = long.select("column", "value", rank.alias("rank")).filter(F.col("rank") <= names.SAMPLE_SIZE)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "value")))
-    return ranked.groupBy("column").agg(
+    tops = [
+        df.filter(F.col(c).isNotNull())
+        .select(F.lit(c).alias("column"), F.struct(*order).alias("place"), sample_text(F.col(c), types[c]).alias("value"))
+        .orderBy("place").limit(n)
+        for c in columns
+    ]
+    ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
+    return reduce(DataFrame.unionAll, tops).groupBy("column").agg(
+        F.count(F.lit(1)).alias("found"),
         F.array_join(F.transform(ordered, lambda s: s["value"]), " ").alias("sample"),
-        F.min_by("value", "rank").alias("first"),
+        F.min_by("value", "place").alias("first"),
     )
 
 
-def inferred_labels(
-    df: DataFrame, columns: list[str], order: list[str], numbers: set[str], amounts: set[str]
-) -> DataFrame:
-    """`(column, label, first)` for columns without a name that hold at least one value."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    moments = [c for c in columns if isinstance(types[c], MOMENTS)]
-    samples = first_samples(df, columns, order)
+def labelled(samples: DataFrame, moments: list[str]) -> DataFrame:
+    """`(column, found, before, after, first)`: the labels a column may get, and how its first value starts."""
     # a sample that is all midnights reads as plain dates
     midnight = F.col("column").isin(moments) & (
         F.regexp_count("sample", F.lit(" 00:00:00")) == F.regexp_count("sample", F.lit(r"\d:\d\d:"))
     )
     first = F.when(midnight, F.substring("first", 1, 10)).otherwise(F.col("first"))
-    label = names.label(
-        F.col("sample"), first, F.col("column").isin(list(numbers)), F.col("column").isin(list(amounts))
+    return samples.select(
+        "column", "found",
+        names.label_before_numbers(F.col("sample")).alias("before"),
+        names.label_after_numbers(F.col("sample"), first).alias("after"),
+        F.substring("first", 1, FIRST_LENGTH).alias("first"),
     )
-    return samples.select("column", label.alias("label"), "first")
+
+
+def first_values(
+    table: DataFrame, head: DataFrame | None, columns: list[str], order: list[str], n: int
+) -> dict[str, Row]:
+    """The labels and first values of some columns, by column.
+
+    `head` is a beginning of the table. The whole is read only for columns of which the head holds
+    too few values.
+    """
+    types = {f.name: f.dataType for f in table.schema.fields}
+    moments = [c for c in columns if isinstance(types[c], MOMENTS)]
+
+    def collect(part: DataFrame, wanted: list[str]) -> dict[str, Row]:
+        return {r["column"]: r for r in labelled(_first_of_each(part, wanted, order, n), moments).collect()}
+
+    if head is None:
+        return collect(table, columns)
+    found = collect(head, columns)
+    short = [c for c in columns if c not in found or found[c]["found"] < n]
+    return {**found, **collect(table, short)} if short else found
