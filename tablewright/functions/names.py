@@ -68,27 +68,20 @@ def is_date_name(name: str) -> bool:
     return "date" in name.lower() or "time" in name.lower()
 
 
-def _any_word(text: Column, words: tuple[str, ...]) -> Column:
-    found = F.lit(False)
-    for word in words:
-        found = found | F.contains(text, F.lit(word))
-    return found
+def _any_word(text: str, words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains(lower({text}), '{w}')" for w in words) + ")"
 
 
-def label_before_numbers(sample: Column) -> Column:
+def _label_rules(text: str, rules: tuple[tuple[str, tuple[str, ...]], ...]) -> str:
+    return " ".join(f"WHEN {_any_word(text, words)} THEN '{name}'" for name, words in rules)
+
+
+def label_before_numbers(sample: str) -> Column:
     """Label by the words that count for every type of column, else null."""
-    text, rule = F.lower(sample), None
-    for name, words in WORDS_BEFORE_NUMBERS:
-        found = _any_word(text, words)
-        rule = F.when(found, name) if rule is None else rule.when(found, name)
-    return rule
+    return F.expr(f"CASE {_label_rules(sample, WORDS_BEFORE_NUMBERS)} END")
 
 
-def label_after_numbers(sample: Column, first: Column) -> Column:
+def label_after_numbers(sample: str, first: str) -> Column:
     """Label of a column that holds no numbers."""
-    text, rule = F.lower(sample), None
-    for name, words in WORDS_AFTER_NUMBERS:
-        found = _any_word(text, words)
-        rule = F.when(found, name) if rule is None else rule.when(found, name)
-    short = F.length(first) <= DATE_SAMPLE_LENGTH
-    return rule.when(_any_word(text, DATE_MARKS) & short, "date").otherwise("field")
+    is_date = f"{_any_word(sample, DATE_MARKS)} AND length({first}) <= {DATE_SAMPLE_LENGTH}"
+    return F.expr(f"CASE {_label_rules(sample, WORDS_AFTER_NUMBERS)} WHEN {is_date} THEN 'date' ELSE 'field' END")

@@ -19,8 +19,17 @@ INFINITY_PATTERN = r"(?i)^[ \t]*+[+-]?inf(?:inity)?[ \t]*+$"
 BOOLEAN_WORDS = ("True", "TRUE", "true", "False", "FALSE", "false")
 
 
-def missing_to_null(c: Column) -> Column:
-    return F.when(~c.isin(*MISSING_TOKENS), c)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# Expressions of many parts are SQL text over a column name: the driver builds one part at a time
+# otherwise, which takes longer than small queries and adds up over wide tables.
+
+
+def missing_to_null(name: str) -> Column:
+    tokens = ", ".join(f"'{t}'" for t in MISSING_TOKENS)
+    return F.expr(f"CASE WHEN {quoted(name)} NOT IN ({tokens}) THEN {quoted(name)} END")
 
 
 def clean_text(c: Column) -> Column:
@@ -56,25 +65,26 @@ def safe_number(c: Column, type_name: str = "double") -> Column:
     return F.when(number, c.try_cast(type_name))
 
 
-def float_text(c: Column) -> Column:
-    """A double as plain digits between 1e-4 and 1e16, otherwise `1.5e-07` / `1e+20`."""
-    raw = c.cast("string")
-    plain = F.regexp_replace(
-        raw.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
-    digits = F.regexp_replace(F.substring_index(raw, "E", 1), r"\.0$", "")
-    power = F.substring_index(raw, "E", -1).try_cast("int")
-    scientific = F.concat(
-        digits, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0")
-    )
-    size = F.abs(c)
-    return (
-        F.when(F.isnan(c), F.lit(""))
-        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(size == 0, raw)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific)
-    )
+def float_text(name: str) -> Column:
+    """A double column as plain digits between 1e-4 and 1e16, otherwise `1.5e-07` / `1e+20`.
+
+    Texts with an exponent are few but take much code, which inlined for many columns makes a
+    method too long for the JVM to compile. As a lambda it stays out of the generated code.
+    """
+    number = f"CAST({quoted(name)} AS DOUBLE)"
+    raw = f"CAST({number} AS STRING)"
+    power = "try_cast(substring_index(t, 'E', -1) AS INT)"
+    return F.expr(rf"""
+        CASE WHEN {number} IS NULL OR isnan({number}) THEN IF({number} IS NULL, NULL, '')
+             WHEN contains({raw}, 'E') OR contains({raw}, 'y') THEN transform(array({raw}), t ->
+                 CASE WHEN contains(t, 'y') THEN IF(contains(t, '-'), '-inf', 'inf')
+                      WHEN {power} BETWEEN -4 AND 15
+                          THEN regexp_replace(CAST(try_cast(t AS DECIMAL(38, 21)) AS STRING), r'(\.\d+?)0+$', '$1')
+                      ELSE concat(regexp_replace(substring_index(t, 'E', 1), r'\.0$', ''),
+                                  IF({power} < 0, 'e-', 'e+'), lpad(CAST(abs({power}) AS STRING), 2, '0'))
+                 END)[0]
+             ELSE {raw} END
+    """)
 
 
 def path_stem(c: Column) -> Column:

@@ -83,7 +83,7 @@ def _text_marks(beginning: DataFrame, columns: list[str]) -> tuple[dict, dict[st
     """Marks of the columns the beginning shows to be text, and what the rest must be asked."""
     early = pf.early_marks(beginning, columns)
     settled = {c: m for c, m in early.items() if pf.is_surely_text(m)}
-    open_ = {c: {"marks": pf.column_marks(F.col(c), early[c])} for c in columns if c not in settled}
+    open_ = {c: {"marks": pf.column_marks(c, early[c])} for c in columns if c not in settled}
     return settled, open_
 
 
@@ -146,15 +146,19 @@ def normalize(
         return renamed.na.drop(how="all", subset=list(source)) if drop_empty else renamed
 
     beginning = pf.first_file(df) if inferred or (order_by is None and (unnamed or dated)) else None
-    first: dict[str, Row] = {}
+    samples: dict[str, Row] = {}
+    first: dict[str, str] = {}
     if unnamed or dated:
         ordered, order = pf.with_order(df, order_by)
+        ordered = arrange(ordered)
         head = arrange(pf.with_order(beginning, None)[0]) if beginning and order_by is None else None
+        if unnamed:
+            samples = pf.column_samples(ordered, head, unnamed, order)
+            first = {c: row["first"] for c, row in samples.items()}
         only_dated = [c for c in dated if c not in unnamed]
-        for columns, n in ((unnamed, names.SAMPLE_SIZE), (only_dated, 1)):
-            if columns:
-                first |= pf.first_values(arrange(ordered), head, columns, order, n)
-    layout = {c: dates.guess_layout(first[c]["first"]) for c in dated if c in first}
+        if only_dated:
+            first |= pf.first_values(ordered, head, only_dated, order)
+    layout = {c: dates.guess_layout(first[c]) for c in dated if c in first}
 
     cells = arrange(df)
     marks, asked = _text_marks(arrange(beginning or df), inferred)
@@ -180,11 +184,12 @@ def normalize(
     numbers = {c for c in columns if _is_number(field[c]) or kind.get(c) in number_kinds}
 
     def label(c: str) -> str:
-        if c not in first:
+        if c not in samples:
             return "column"
+        other = samples[c]["after"]
         if c in numbers:
-            return first[c]["before"] or ("amount" if pf.median_is_amount(facts[c]) else "value")
-        return first[c]["before"] or first[c]["after"]
+            other = "amount" if pf.median_is_amount(facts[c]) else "value"
+        return samples[c]["before"] or other
 
     final = [
         f"{label(c)}_{i}" if c in unnamed else names.identifier(header[c]) for i, c in enumerate(columns, 1)

@@ -5,7 +5,6 @@ that need it. Everything is a partial + final aggregate with a fixed-size buffer
 from __future__ import annotations
 
 from collections.abc import Iterable
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -70,37 +69,38 @@ WHOLE, MINUS, WIDE, BEYOND, ROUND, FRACTION, WORD, OTHER = (1 << i for i in rang
 WHOLE_NUMBERS = WHOLE | MINUS | WIDE | BEYOND
 
 
-def cell_mark(c: Column, known: int | None = None) -> Column:
-    """The mark of one cell; `known` are marks other cells of the column have for certain.
+def cell_mark(name: str, known: int | None = None) -> str:
+    """SQL for the mark of one cell; `known` are marks other cells of the column have for certain.
 
     Nested conditions keep conversions to the cells that convert. Almost every number is short, and
     then one pattern test and a byte search tell a whole number, one more conversion a fraction.
     """
-    long, value = c.try_cast("bigint"), c.try_cast("double")
-    unsigned = c.try_cast("decimal(38,0)").between(F.lit(0), F.lit(Decimal(2**64 - 1)))
-    in_range = (F.octet_length(c) <= 18) | long.isNotNull()
-    minus = F.startswith(F.ltrim(c), F.lit("-"))
-    whole = (
-        F.when(in_range, F.when(minus, WHOLE | MINUS).otherwise(WHOLE))
-        .when(unsigned, WIDE).otherwise(BEYOND)
-    )
-    number = F.when(has_fraction(value), FRACTION).otherwise(ROUND)
-    pointed = F.when(F.octet_length(c) > 17, number).when(value % 1 == 0, ROUND).otherwise(FRACTION)
-    plain = F.when(~F.contains(c, F.lit(".")), whole).otherwise(pointed)
+    c, value = tx.quoted(name), f"try_cast({tx.quoted(name)} AS DOUBLE)"
+    number = f"IF({value} != rint({value}) OR abs({value}) >= {BIGINT_LIMIT}D, {FRACTION}, {ROUND})"
+    plain = f"""
+        CASE WHEN contains({c}, '.') THEN
+                 CASE WHEN octet_length({c}) > 17 THEN {number} WHEN {value} % 1 = 0 THEN {ROUND} ELSE {FRACTION} END
+             WHEN octet_length({c}) <= 18 OR try_cast({c} AS BIGINT) IS NOT NULL THEN
+                 IF(startswith(ltrim({c}), '-'), {WHOLE | MINUS}, {WHOLE})
+             WHEN try_cast({c} AS DECIMAL(38, 0)) BETWEEN 0 AND {2**64 - 1} THEN {WIDE}
+             ELSE {BEYOND} END
+    """
     if known and known & FRACTION:
-        plain = F.lit(FRACTION)  # a double whatever its other numbers are
-    return (
-        F.when(c.rlike(tx.PLAIN_NUMBER_PATTERN), plain)
-        .when(c.rlike(tx.POWER_NUMBER_PATTERN), F.when(F.abs(value) == float("inf"), OTHER).otherwise(number))
-        .when(c.isin(*tx.BOOLEAN_WORDS), WORD)
-        .when(c.rlike(tx.INFINITY_PATTERN), FRACTION)
-        .when(c.isNotNull(), OTHER)
-    )
+        plain = str(FRACTION)  # a double whatever its other numbers are
+    words = ", ".join(f"'{w}'" for w in tx.BOOLEAN_WORDS)
+    return f"""
+        CASE WHEN {c} RLIKE r'{tx.PLAIN_NUMBER_PATTERN}' THEN {plain}
+             WHEN {c} RLIKE r'{tx.POWER_NUMBER_PATTERN}'
+                 THEN IF(abs({value}) = double('Infinity'), {OTHER}, {number})
+             WHEN {c} IN ({words}) THEN {WORD}
+             WHEN {c} RLIKE r'{tx.INFINITY_PATTERN}' THEN {FRACTION}
+             WHEN {c} IS NOT NULL THEN {OTHER} END
+    """
 
 
-def column_marks(c: Column, known: int | None = None) -> Column:
-    """All marks of a column, 0 for none. Without nulls the aggregate evaluates each cell once."""
-    return F.bit_or(F.coalesce(cell_mark(c, known), F.lit(0)))
+def column_marks(name: str, known: int | None = None) -> Column:
+    """All marks of a column, 0 for none."""
+    return F.expr(f"bit_or(coalesce({cell_mark(name, known)}, 0))")
 
 
 def early_marks(beginning: DataFrame, columns: list[str]) -> dict[str, int | None]:
@@ -108,7 +108,7 @@ def early_marks(beginning: DataFrame, columns: list[str]) -> dict[str, int | Non
     if not columns:
         return {}
     return beginning.select(*columns).limit(EARLY_ROWS).agg(
-        *[column_marks(F.col(c)).alias(c) for c in columns]
+        *[column_marks(c).alias(c) for c in columns]
     ).first().asDict()
 
 
@@ -198,19 +198,19 @@ def labelled(samples: DataFrame, moments: list[str]) -> DataFrame:
     midnight = F.col("column").isin(moments) & (
         F.regexp_count("sample", F.lit(" 00:00:00")) == F.regexp_count("sample", F.lit(r"\d:\d\d:"))
     )
-    first = F.when(midnight, F.substring("first", 1, 10)).otherwise(F.col("first"))
-    return samples.select(
+    shown = F.when(midnight, F.substring("first", 1, 10)).otherwise(F.col("first"))
+    return samples.withColumn("shown", shown).select(
         "column", "found",
-        names.label_before_numbers(F.col("sample")).alias("before"),
-        names.label_after_numbers(F.col("sample"), first).alias("after"),
+        names.label_before_numbers("sample").alias("before"),
+        names.label_after_numbers("sample", "shown").alias("after"),
         F.substring("first", 1, FIRST_LENGTH).alias("first"),
     )
 
 
-def first_values(
-    table: DataFrame, head: DataFrame | None, columns: list[str], order: list[str], n: int
+def column_samples(
+    table: DataFrame, head: DataFrame | None, columns: list[str], order: list[str]
 ) -> dict[str, Row]:
-    """The labels and first values of some columns, by column.
+    """Labels and first values of columns that need a name.
 
     `head` is a beginning of the table. The whole is read only for columns of which the head holds
     too few values.
@@ -219,10 +219,28 @@ def first_values(
     moments = [c for c in columns if isinstance(types[c], MOMENTS)]
 
     def collect(part: DataFrame, wanted: list[str]) -> dict[str, Row]:
-        return {r["column"]: r for r in labelled(_first_of_each(part, wanted, order, n), moments).collect()}
+        samples = _first_of_each(part, wanted, order, names.SAMPLE_SIZE)
+        return {r["column"]: r for r in labelled(samples, moments).collect()}
+
+    if head is None:
+        return collect(table, columns)
+    found = collect(head, columns)
+    short = [c for c in columns if c not in found or found[c]["found"] < names.SAMPLE_SIZE]
+    return {**found, **collect(table, short)} if short else found
+
+
+def first_values(table: DataFrame, head: DataFrame | None, columns: list[str], order: list[str]) -> dict[str, str]:
+    """How the first value of each column starts. One pass, one value a column and task."""
+
+    def collect(part: DataFrame, wanted: list[str]) -> dict[str, str]:
+        row = part.agg(*[
+            F.expr(f"min_by(substring({c}, 1, {FIRST_LENGTH}), IF({c} IS NOT NULL, struct({', '.join(order)}), NULL))")
+            .alias(c) for c in wanted
+        ]).first()
+        return {c: row[c] for c in wanted if row[c] is not None}
 
     if head is None:
         return collect(table, columns)
     found = collect(head, columns)
-    short = [c for c in columns if c not in found or found[c]["found"] < n]
+    short = [c for c in columns if c not in found]
     return {**found, **collect(table, short)} if short else found

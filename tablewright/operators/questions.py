@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.failures import FAILURES
-from tablewright.functions.text import float_text
+from tablewright.functions.text import float_text, quoted
 
 ROW_CAP = 1000
 PREVIEW_ROWS = 100
@@ -60,9 +60,9 @@ def capped(df: DataFrame, text: str, cap: int = ROW_CAP) -> DataFrame:
 
 
 def _json_value(name: str, data_type: T.DataType) -> Column:
-    value = F.col(f"`{name}`")
+    value = F.col(quoted(name))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        shown = float_text(value.cast("double"))
+        shown = float_text(name)
     elif isinstance(data_type, (T.IntegralType, T.BooleanType)):
         shown = value.cast("string")
     else:

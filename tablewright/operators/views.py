@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.failures import FAILURES
+from tablewright.functions.text import quoted
 from tablewright.operators.relations import viewable
 
 VIEW_LIMIT = 1000
 VIEW_REPORT_SCHEMA = "view string, from_table string, to_table string, on_column string, created boolean, error string"
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _sortable(schema: T.StructType, first: str) -> list[str]:
     """The key, then every other column that has an order."""
     rest = [
@@ -39,7 +36,8 @@ def join_sql(
     With a limit the result is ordered by the left columns, then the right ones. Every left row
     yields a row, so the first `limit` rows need only the first `limit` left rows, and per key the
     first `limit` right rows. Both are cut that way before the join: neither table is shuffled
-    whole, and a key with any number of rows sends `limit` rows per task at most.
+    whole, and a key with any number of rows sends `limit` rows per task at most. Which keys the
+    right side keeps takes a scan of the left key alone.
     """
     key_types = left_schema[left_key].dataType, right_schema[right_key].dataType
     if key_types[0] != key_types[1] and not all(map(_is_number, key_types)):
@@ -70,7 +68,7 @@ def join_sql(
             SELECT * FROM (
                 SELECT t.*, row_number() OVER (PARTITION BY {rk} ORDER BY {", ".join(right_order)}) AS __place
                 FROM {right} t
-                WHERE {rk} IN (SELECT {lk} FROM first_left)
+                WHERE {rk} IN (SELECT {lk} FROM {left} ORDER BY {lk} LIMIT {limit})
             ) WHERE __place <= {limit}
         )
         SELECT {columns} FROM first_left l LEFT JOIN first_right r ON l.{lk} = r.{rk}

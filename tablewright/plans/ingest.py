@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tablewright.operators.catalog import base_tables, column_catalog, database_
 from tablewright.operators.normalize import Normalized, normalize
 from tablewright.operators.relations import key_relationships, relationships
 from tablewright.operators.views import VIEW_LIMIT, create_views
-from tablewright.sinks.tables import load_counts, load_folder, refresh_database
+from tablewright.sinks.tables import TABLES_AT_ONCE, load_counts, load_folder, refresh_database
 from tablewright.sources.files import file_manifest, not_landed, path_exists
 from tablewright.sources.tables import is_text_source, read_table, table_paths
 
@@ -41,15 +42,20 @@ def normalize_all(
     order_by: dict[str, Iterable[str]] | None = None,
 ) -> NormalizedSet:
     """Normalize each table (a DataFrame, or the path of one); a failure is recorded and the loop goes on."""
-    done, status = {}, []
-    for name, table in tables.items():
+
+    def step(name: str) -> Normalized | str:
+        table = tables[name]
         try:
             untyped = isinstance(table, str) and is_text_source(table)
             data = read_table(spark, table) if isinstance(table, str) else table
-            done[name] = normalize(data, order_by=(order_by or {}).get(name), untyped=untyped)
-            status.append((name, True, None))
+            return normalize(data, order_by=(order_by or {}).get(name), untyped=untyped)
         except FAILURES as problem:
-            status.append((name, False, str(problem)))
+            return str(problem)
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        results = dict(zip(tables, pool.map(step, tables)))
+    done = {n: r for n, r in results.items() if isinstance(r, Normalized)}
+    status = [(n, n in done, None if n in done else r) for n, r in results.items()]
     return NormalizedSet(done, spark.createDataFrame(status, STATUS_SCHEMA))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.text import float_text
+from tablewright.functions.text import float_text, quoted
 
 
 def _quoted(c: Column) -> Column:
@@ -14,9 +14,9 @@ def _quoted(c: Column) -> Column:
 
 
 def _cell(name: str, data_type: T.DataType) -> Column:
-    value = F.col("`" + name.replace("`", "``") + "`")
+    value = F.col(quoted(name))
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.coalesce(float_text(value.cast("double")), F.lit(""))
+        return F.coalesce(float_text(name), F.lit(""))
     if isinstance(data_type, T.NumericType):
         return F.coalesce(value.cast("string"), F.lit(""))
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.failures import FAILURES
-from tablewright.operators.views import quoted
+from tablewright.functions.text import quoted
 from tablewright.sources.files import path_exists
 from tablewright.sources.tables import is_text_source, read_table, table_paths
 
 REPORT_SCHEMA = "table string, success boolean, rows bigint, error string"
 TRUNCATE, APPEND, EMPTY = "truncate", "append", "empty"
-LOADS_AT_ONCE = 4  # tables are independent; a few jobs side by side keep a cluster busy
+TABLES_AT_ONCE = 4  # tables are independent; a few jobs side by side keep a cluster busy
 
 
 class Loaded(NamedTuple):
@@ -74,7 +74,7 @@ def attempt(name: str, step: Callable[[], Loaded]) -> Loaded:
 
 def at_once(steps: dict[str, Callable[[], Loaded]]) -> list[Loaded]:
     """Run independent loads a few at a time; one that fails does not stop the others."""
-    with ThreadPoolExecutor(LOADS_AT_ONCE) as pool:
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
         return list(pool.map(attempt, steps.keys(), steps.values()))
 
 

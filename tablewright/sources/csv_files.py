@@ -25,25 +25,32 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return file_header(list(first))
 
 
-def _quoted_newline_files(spark: SparkSession, path: str, split: int) -> list[str]:
-    """Files beyond one split in which some line leaves a quote open."""
+def _split_size(spark: SparkSession, total: int) -> int:
+    """The bytes Spark gives one task of a scan of this size."""
+    conf = spark._jsparkSession.sessionState().conf()
+    share = total // max(spark.sparkContext.defaultParallelism, 1)
+    return min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share))
+
+
+def _open_quotes(spark: SparkSession, path: str, split: int) -> tuple[bool, list[str]]:
+    """Whether any line leaves a quote open, and the files beyond one split that have such lines."""
     line = F.col("value")
     # the last quoted field that opens on the line has only doubled quotes up to the line end
     open_line = F.contains(line, F.lit('"')) & line.rlike(r'(?:^|,)"[^"]*+(?:""[^"]*+)*+$')
-    rows = (
-        spark.read.text(path).filter(F.col("_metadata.file_size") > split).filter(open_line)
-        .select(F.col("_metadata.file_path").alias("path")).distinct().collect()
-    )
-    return [r.path for r in rows]
+    large = F.when(F.col("_metadata.file_size") > split, F.col("_metadata.file_path"))
+    found = spark.read.text(path).filter(open_line).agg(
+        F.count(F.lit(1)).alias("lines"), F.collect_set(large).alias("files")
+    ).first()
+    return found.lines > 0, found.files
 
 
 def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None) -> DataFrame:
     """All cells as text; missing tokens null; short rows padded, over-long rows dropped.
 
     A file read with quoted line breaks cannot be split. Files within one split lose nothing by
-    that. Larger files are first checked for quotes left open at a line end (one cheap text scan),
-    and only those that have some are read whole; the rest is split. `quoted_newlines` skips the
-    check: True reads every file whole, False splits every file.
+    that. If some are larger, one text scan looks for quotes left open at a line end. Without any,
+    every file is split; else the large files that have some, and the small ones, are read whole.
+    `quoted_newlines` skips the check: True reads every file whole, False splits every file.
     """
     names = read_header(spark, path)
     cells = [f"c{i}" for i in range(len(names))]
@@ -62,23 +69,18 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
     if quoted_newlines is not None:
         rows = read(quoted_newlines)
     else:
-        size, location = F.col("_metadata.file_size"), F.col("_metadata.file_path")
-        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
         listing = spark.read.format("binaryFile").load(path)
-        sizes = listing.agg(
-            F.bool_or(F.col("length") <= split).alias("small"),
-            F.bool_or(F.col("length") > split).alias("large"),
-        ).first()
-        rows = read(True)
-        if sizes.large:
-            open_files = _quoted_newline_files(spark, path, split)
-            whole = size <= split
-            if open_files:
-                whole = whole | location.isin(*open_files)
-            parts = [read(False).filter(~whole)]
-            if sizes.small or open_files:
-                parts.append(rows.filter(whole))
-            rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        total, high = listing.agg(F.sum("length"), F.max("length")).first()
+        split = _split_size(spark, total or 0)
+        any_open, open_files = _open_quotes(spark, path, split) if high and high > split else (True, [])
+        if not any_open:
+            rows = read(False)
+        elif not high or high <= split:
+            rows = read(True)
+        else:
+            size, location = F.col("_metadata.file_size"), F.col("_metadata.file_path")
+            whole = (size <= split) | location.isin(*open_files)
+            rows = read(False).filter(~whole).unionByName(read(True).filter(whole))
 
     raw = F.col(RAW_RECORD)
     width = F.regexp_count(F.regexp_replace(raw, QUOTED_FIELD, ""), F.lit(",")) + 1
@@ -87,4 +89,4 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
     kept = rows.filter((raw.isNull() | ((width <= len(names)) & (F.trim(raw) != ""))) & with_cell)
     if len(names) == 1:
         kept = kept.filter(F.trim(F.col(cells[0])) != "")
-    return kept.select(*[missing_to_null(F.col(c)).alias(n) for c, n in zip(cells, names)])
+    return kept.select(*[missing_to_null(c).alias(n) for c, n in zip(cells, names)])

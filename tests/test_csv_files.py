@@ -71,7 +71,17 @@ def test_header_names(spark, tmp_path, content, names):
     assert scan_csv(spark, path).columns == names
 
 
-def test_rows_below_odd_headers(spark, tmp_path):
+@pytest.mark.parametrize("split", ["128MB", "8b"])
+def test_rows_below_odd_headers(spark, tmp_path, split):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        check_odd_headers(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def check_odd_headers(spark, tmp_path):
     assert values(scan_csv(spark, put(tmp_path, "\n\na,b\n\n1,2\n \n3,4\n"))) == [("1", "2"), ("3", "4")]
     assert values(scan_csv(spark, put(tmp_path, '"l\nm",x\n1,2\n'))) == [("1", "2")]
     assert values(scan_csv(spark, put(tmp_path, "a\n1\n\n2\n"))) == [("1",), ("2",)]
@@ -149,5 +159,20 @@ def test_number_text(spark):
     given = [1.0, 12345678.9, 1e16, 1e15, 1.2345678901234568e17, 1e-4, 1e-5, 0.1 + 0.2, 1e22, -0.0, 1.5e-7, 100000.0, -2.5e-12]
     from tablewright.functions.text import float_text
 
-    df = spark.createDataFrame([(g,) for g in given], "v double").select(float_text(F.col("v")).alias("t"))
+    df = spark.createDataFrame([(g,) for g in given], "v double").select(float_text("v").alias("t"))
     assert [r.t for r in df.collect()] == [repr(g) for g in given]
+
+
+def test_many_numbers_read_as_python_writes_them(spark):
+    import random
+
+    from tablewright.functions.text import float_text
+
+    pick = random.Random(5)
+    given = [i / 1000 for i in range(3000)] + [i / 100 for i in range(900000, 903000)]
+    given += [pick.uniform(-1, 1) * 10 ** pick.randint(-20, 25) for _ in range(20000)]
+    df = spark.createDataFrame([(g,) for g in given], "v double").select("v", float_text("v").alias("t"))
+    off = [(r.v, r.t) for r in df.collect() if r.t != repr(r.v)]
+    # digits may exceed the shortest form on older Java versions, the value never differs
+    assert all(float(t) == v for v, t in off) and len(off) < len(given) / 20, off[:5]
+    assert not [o for o in off if "e" not in o[1] and len(o[1]) < 8], off[:5]
