@@ -41,7 +41,7 @@ def s1_csv_tolerant_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", start)
         .otherwise(full)
     )
-    path = scratch_path(spark, "s1") + ".csv"
+    path = scratch_path(spark, "s1", ".csv")
     write_lines(orders.select(line.alias("value")), ",".join(orders.columns), path)
     return infer_types(scan_csv(spark, path))
 
@@ -53,7 +53,7 @@ def s1_csv_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, with their line breaks, quotes and commas, out to CSV and back."""
     documents = given(spark, sf_dir, "documents")
     line = F.concat_ws(",", "doc_id", _quote("text"), "lang", "source", "n_chars")
-    path = scratch_path(spark, "s1text") + ".csv"
+    path = scratch_path(spark, "s1text", ".csv")
     write_lines(documents.select(line.alias("value")), ",".join(documents.columns), path)
     return infer_types(scan_csv(spark, path))
 
@@ -102,7 +102,7 @@ def s5_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(NORMAL["lineitem"])
 def s5_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "s5") + ".csv"
+    path = scratch_path(spark, "s5", ".csv")
     write_csv(normalize(given(spark, sf_dir, "lineitem")).data, path)
     return normalize(scan_csv(spark, path), untyped=True).data
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.text import float_text, quoted
+from tablewright.sources.files import total_bytes
 
 
 def _quoted(c: Column) -> Column:
@@ -44,7 +45,7 @@ def write_lines(lines: DataFrame, header: str, path: str) -> None:
     placed = lines.select("value", place.alias("place"))
     placed.select(F.explode(both).alias("value")).write.mode("overwrite").text(path)
     spark = lines.sparkSession
-    if spark.read.text(path).isEmpty():
+    if total_bytes(spark, path) == 0:
         spark.range(1).select(first.alias("value")).write.mode("overwrite").text(path)
 
 

@@ -26,7 +26,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
+def total_bytes(spark: SparkSession, path: str) -> int:
+    fs, target = _hadoop(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def scratch_path(spark: SparkSession, label: str, extension: str = "") -> str:
     """A new path in the shared folder named by `spark.checkpoint.dir`, removed when Spark ends.
 
     Only where that setting is absent (tests on one machine) a local temporary folder serves.
@@ -36,7 +41,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
-    path = f"{base.rstrip('/')}/tablewright-{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tablewright-{label}-{uuid.uuid4().hex}{extension}"
     fs, target = _hadoop(spark, path)
     fs.deleteOnExit(target)
     return path
