@@ -21,6 +21,7 @@ INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 MOMENTS = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 EARLY_ROWS = 1000
+EARLY_BYTES = 32 << 20
 FIRST_LENGTH = 100  # longer first values are no dates
 TEXT, INTEGER, WIDE_INTEGER, DOUBLE, BOOLEAN, EMPTY = (
     "text", "integer", "wide_integer", "double", "boolean", "empty",
@@ -104,9 +105,13 @@ def column_marks(name: str, known: int | None = None) -> Column:
 
 
 def early_marks(beginning: DataFrame, columns: list[str]) -> dict[str, int | None]:
-    """Marks of the first rows. Marks only add up, so a column that is text here is text."""
-    if not columns:
-        return {}
+    """Marks of the first rows. Marks only add up, so a column that is text here is text.
+
+    A small table is not worth the extra job.
+    """
+    size = beginning._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if not columns or size < EARLY_BYTES:
+        return dict.fromkeys(columns)
     return beginning.select(*columns).limit(EARLY_ROWS).agg(
         *[column_marks(c).alias(c) for c in columns]
     ).first().asDict()

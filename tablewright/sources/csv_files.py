@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.names import file_header
 from tablewright.functions.text import missing_to_null
+from tablewright.sources.files import total_bytes
 
 RAW_RECORD = "_corrupt_record"
 # a quoted field opens after a comma or at the start; possessive repeats keep long cells off the stack
@@ -32,6 +33,10 @@ def _split_size(spark: SparkSession, total: int) -> int:
     return min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share))
 
 
+def _largest_file(spark: SparkSession, path: str) -> int:
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
 def _open_quotes(spark: SparkSession, path: str, split: int) -> tuple[bool, list[str]]:
     """Whether any line leaves a quote open, and the files beyond one split that have such lines."""
     line = F.col("value")
@@ -69,13 +74,14 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
     if quoted_newlines is not None:
         rows = read(quoted_newlines)
     else:
-        listing = spark.read.format("binaryFile").load(path)
-        total, high = listing.agg(F.sum("length"), F.max("length")).first()
-        split = _split_size(spark, total or 0)
-        any_open, open_files = _open_quotes(spark, path, split) if high and high > split else (True, [])
+        total = total_bytes(spark, path)
+        split = _split_size(spark, total)
+        # a folder of small files: look for the largest one
+        high = total if total <= split else _largest_file(spark, path)
+        any_open, open_files = _open_quotes(spark, path, split) if high > split else (True, [])
         if not any_open:
             rows = read(False)
-        elif not high or high <= split:
+        elif high <= split:
             rows = read(True)
         else:
             size, location = F.col("_metadata.file_size"), F.col("_metadata.file_path")

@@ -67,7 +67,9 @@ def test_a_head_without_values_falls_back_to_the_table(spark, tmp_path):
         (5, "12 Oak Street", "2024-01-06"), (6, "x", None)]
 
 
-def test_text_after_the_first_thousand_rows_still_counts(spark, tmp_path):
+@pytest.mark.parametrize("early_bytes", [0, 32 << 20])
+def test_text_after_the_first_thousand_rows_still_counts(spark, tmp_path, monkeypatch, early_bytes):
+    monkeypatch.setattr(pf, "EARLY_BYTES", early_bytes)
     path = tmp_path / "late.csv"
     path.write_text("a,b,c\n" + "".join(f"{i},{i}.5,True\n" for i in range(3000)) + "x,y,1\n")
     done = normalize(scan_csv(spark, str(path)), untyped=True)
