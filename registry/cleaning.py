@@ -181,7 +181,7 @@ def n6_mixed_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def n6_numbers_as_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`compat`: numbers under a date name count nanoseconds. Without it they stay numbers."""
     events = given(spark, sf_dir, "events")
-    nanoseconds = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    nanoseconds = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) * 1000")
     dated = normalize(events.select("event_id", nanoseconds.alias("event_time")), compat=True).data
     plain = normalize(events.select("event_id", F.col("user_id").alias("lifetime"))).data
     return dated.join(plain, "event_id")
