@@ -15,7 +15,7 @@ from tablewright.operators.relations import key_relationships, relationships
 from tablewright.operators.views import VIEW_LIMIT, create_views
 from tablewright.sinks.tables import TABLES_AT_ONCE, load_counts, load_folder, refresh_database
 from tablewright.sources.files import file_manifest, not_landed, path_exists
-from tablewright.sources.tables import is_text_source, read_table, table_paths
+from tablewright.sources.tables import is_text_source, read_table
 
 STATUS_SCHEMA = "table string, ok boolean, error string"
 

@@ -2,7 +2,6 @@ from datetime import datetime
 
 import pytest
 from conftest import values
-from pyspark.sql import functions as F
 
 from tablewright import normalize
 from tablewright.functions import names
