@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import (
+    chosen_path,
     decontaminate,
     language,
     licenses,
     pieces_codec,
+    sorted_projections,
     token_counts,
     tool_calls,
     url_filter,
@@ -133,6 +135,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query()
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return sorted_projections.near_duplicates(given(spark, folder, "embeddings"))
+
+
 def _url_sql() -> str:
     rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
     levels = [("suffix", "suffix"), ("domain", "suffix, domain"), ("server", "suffix, domain, server")]
@@ -200,6 +207,11 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, outcomes, URL_RULES, key)
 
 
+@query()
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.similarity_join(given(spark, folder, "documents")).drop("mark")
+
+
 @query()
 def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     """Calls that messages hold as JSON, and each plain exchange of turns as a call and its result."""
