@@ -40,14 +40,8 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return parts.groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of `docs` (doc_id, text).
-
-    n_hit counts words inside any occurrence of a window, n_items the items with such windows, items_sha256 is over
-    their ids, sorted as text and joined by commas. Null and empty texts have no words and no hits. Rows that repeat
-    get a row each, and a doc_id with several texts the result of each. Columns of other names are ignored. An empty
-    benchmark hits nothing.
-    """
+def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, mark (xxhash64 of the text), start, length and items of each place where a window of words occurs."""
     windows = cut(item_windows(benchmark, window), "windows")
     size = windows.agg(F.sum(F.octet_length(F.array_join("words", " ")) + 64 + 32 * F.size("items"))).first()[0]
     blocks = max(1, math.ceil((size or 0) / BROADCAST_BYTES))
@@ -73,12 +67,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     start = F.col("pos") - F.col("offset")
     hits = []
     for b in range(blocks):
-        near = F.broadcast(prefixes.filter(_block(F.col("word"), blocks) == b))
+        near = F.broadcast(prefixes.filter(_block(F.col("words"), blocks) == b))
         met = placed.join(near, "word").filter((start >= 0) & (start + F.col("length") <= F.size("own")))
         met = met.filter(F.slice("own", start + 1, F.col("length")) == F.col("words"))
         hits.append(met.select("doc_id", "mark", start.alias("start"), "length", "items"))
-    found = cut(reduce(DataFrame.unionByName, hits).distinct(), "hits")
+    return cut(reduce(DataFrame.unionByName, hits).distinct(), "hits")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id and mark (xxhash64 of the text) of the documents with a window of a benchmark item, each once."""
+    return occurrences(docs, benchmark, window).select("doc_id", "mark").distinct()
 
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of `docs` (doc_id, text).
+
+    n_hit counts words inside any occurrence of a window, n_items the items with such windows, items_sha256 is over
+    their ids, sorted as text and joined by commas. Null and empty texts have no words and no hits. Rows that repeat
+    get a row each, and a doc_id with several texts the result of each. Columns of other names are ignored. An empty
+    benchmark hits nothing.
+    """
+    found = occurrences(docs, benchmark, window)
     last = F.col("start") + F.col("length") - 1
     covered = (
         found.select("doc_id", "mark", F.explode(F.sequence("start", last)).alias("pos")).distinct()
@@ -98,5 +107,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         (n_hit > 0).alias("contaminated"))
 
 
-def _block(word: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(blocks))
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks))

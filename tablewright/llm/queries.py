@@ -15,6 +15,7 @@ from tablewright.llm import (
     licenses,
     pieces_codec,
     sorted_projections,
+    suffix_dedup,
     token_counts,
     tool_calls,
     url_filter,
@@ -140,6 +141,29 @@ def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return sorted_projections.near_duplicates(given(spark, folder, "embeddings"))
 
 
+@query("""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, encode(coalesce(text, '')) AS b FROM documents),
+    h AS (SELECT doc_id, lower(hex(b)) AS x, octet_length(b) AS n FROM d),
+    w AS (SELECT doc_id, p, md5(substr(x, CAST(2 * p + 1 AS BIGINT), 400)) AS k
+          FROM (SELECT doc_id, x, unnest(range(0, n - 199)) AS p FROM h WHERE n >= 200)),
+    twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+    starts AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM w JOIN twice USING (k)),
+    marked AS (SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 200 THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY doc_id ORDER BY p) AS g FROM starts),
+    spans AS (SELECT doc_id, g, min(p) AS a, max(p) + 200 AS e FROM marked GROUP BY doc_id, g),
+    edges AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS upto FROM spans),
+    kept AS (SELECT doc_id, sum(e - a) AS n_removed, count(*) AS n_spans, max(e) AS last_end,
+                    string_agg(substr(x, CAST(2 * upto + 1 AS BIGINT), CAST(2 * (a - upto) AS BIGINT)), '' ORDER BY a) AS head
+             FROM edges JOIN h USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+           sha256(unhex(CASE WHEN n_removed IS NULL THEN x
+                             ELSE head || substr(x, CAST(2 * last_end + 1 AS BIGINT)) END)) AS kept_sha256
+    FROM h LEFT JOIN kept USING (doc_id)""")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(given(spark, folder, "documents")))
+
+
 def _url_sql() -> str:
     rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
     levels = [("suffix", "suffix"), ("domain", "suffix, domain"), ("server", "suffix, domain, server")]
