@@ -14,7 +14,7 @@ from tablewright.llm.common import cut
 
 REFERENCE = r'"\$call:([^"\\]+)"'  # a string argument that stands for the result of another call
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
-ROW = ("conv_id {0}, call_id string, turn long, name string, status string, level long, n_refs long, "
+ROW = ("conv_id {0}, call_id string, turn long, name string, status string, position long, level long, n_refs long, "
        "n_unresolved long, valid boolean, problems string, message string")
 
 
@@ -99,32 +99,40 @@ def canonical(value: Any) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def reference_levels(edges: DataFrame, calls: DataFrame) -> DataFrame:
-    """call_id and level: 0 without references, else one above the highest level referred to; cycles are left out.
+def reference_order(edges: DataFrame, calls: DataFrame) -> DataFrame:
+    """call_id, position and level of the calls that refer to others; every reference comes before its call.
 
-    `edges` has call_id and ref. One round per level, over the references still open, each cut in the shared folder.
+    `edges` has call_id, turn and ref, `calls` call_id and turn. position is the latest turn among the call and all it
+    refers to, however indirectly; it is the call's own turn, and nothing is repeated, if references point back. Those
+    that point to the same or a later turn take rounds: one for each step along such a chain. level orders calls of
+    one position; it is null in a cycle of references, and behind one at the same position.
     """
-    known = edges.join(calls.select(F.col("call_id").alias("ref")), "ref", "left_semi")
-    open_edges = cut(known.distinct(), "references")
-    waiting = open_edges.select("call_id").distinct()
-    done = calls.select("call_id").join(waiting, "call_id", "left_anti").withColumn("level", F.lit(0).cast("long"))
-    done = cut(done, "levels")
-    parts = [done]
+    known = calls.select(F.col("call_id").alias("ref"), F.col("turn").alias("ref_position"))
+    current = cut(edges.withColumnRenamed("turn", "position").join(known, "ref"), "references")
     while True:
-        latest = done.select(F.col("call_id").alias("ref"), "level")
-        marked = open_edges.join(latest, "ref", "left")
-        sums = marked.groupBy("call_id").agg(
+        late = current.filter("ref_position > position").groupBy("call_id").agg(F.max("ref_position").alias("new"))
+        late = cut(late, "late")
+        if late.isEmpty():
+            break
+        moved = current.join(late, "call_id", "left").withColumn("position", F.coalesce("new", "position")).drop("new")
+        moved = moved.join(late.withColumnRenamed("call_id", "ref"), "ref", "left")
+        current = cut(moved.withColumn("ref_position", F.coalesce("new", "ref_position")).drop("new"), "references")
+
+    placed = current.select("call_id", "position").distinct()
+    level = F.lit(0).cast("long")
+    waiting = cut(current.filter("ref_position = position").select("call_id", "ref"), "waiting")
+    if waiting.isEmpty():
+        return placed.withColumn("level", level)
+    heads = waiting.select(F.col("ref").alias("call_id")).unionByName(placed.select("call_id")).distinct()
+    done = cut(heads.join(waiting, "call_id", "left_anti").withColumn("level", level), "levels")
+    while True:
+        met = waiting.join(done.withColumnRenamed("call_id", "ref"), "ref", "left").groupBy("call_id").agg(
             F.count(F.lit(1)).alias("refs"), F.count("level").alias("met"), F.max("level").alias("level"))
-        new = cut(sums.filter("refs = met").select("call_id", (F.col("level") + 1).alias("level")), "levels")
+        new = cut(met.filter("refs = met").select("call_id", (F.col("level") + 1).alias("level")), "levels")
         if new.isEmpty():
-            break
-        parts.append(new)
-        open_edges = cut(open_edges.join(new, "call_id", "left_anti"), "references")
-        done = done.unionByName(new)
-    levels = parts[0]
-    for part in parts[1:]:
-        levels = levels.unionByName(part)
-    return levels
+            return placed.join(done, "call_id", "left")
+        waiting = cut(waiting.join(new, "call_id", "left_anti"), "waiting")
+        done = cut(done.unionByName(new), "levels")
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -133,27 +141,28 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     `calls` has conv_id, turn, call_id, name, arguments (JSON text), `results` conv_id, turn, call_id, content.
     status: linked, unanswered, early (the result stands before the call), orphan (result without call), unnamed (a
     call or result whose identifier is null or empty; each keeps a row). If an identifier repeats, the first by turn,
-    then by content, counts; the others add the problem `repeated`. Sorting by conv_id, level, turn is a topological
-    order; level is null for orphans and for calls in or behind a cycle of references. n_refs and n_unresolved count
-    distinct references and those without a call. A call is valid if its arguments are JSON, its name has a schema in
-    `schemas` and nothing breaks it. Empty tables give no rows; other columns are ignored.
+    then by content, counts; the others add the problem `repeated`. Sorting by conv_id, position, level is a
+    topological order (see reference_order). n_refs and n_unresolved count distinct references and those without a
+    call. A call is valid if its arguments are JSON, its name has a schema in `schemas` and nothing breaks it. A null
+    turn counts as 0. Empty tables give no rows; other columns are ignored.
     """
     ask = F.struct("turn", "arguments", "name", "conv_id")
     give = F.struct("turn", "content", "conv_id")
     named = F.coalesce(F.col("call_id"), F.lit("")) != ""
+    calls, results = (x.withColumn("turn", F.coalesce("turn", F.lit(0)).cast("long")) for x in (calls, results))
     first = cut(calls.filter(named).groupBy("call_id").agg(
         F.min(ask).alias("call"), F.count(F.lit(1)).alias("n_calls")), "calls")
     answers = results.filter(named).groupBy("call_id").agg(
         F.min(give).alias("result"), F.count(F.lit(1)).alias("n_results"))
     refs = F.array_distinct(F.regexp_extract_all(F.coalesce("call.arguments", F.lit("")), F.lit(REFERENCE), F.lit(1)))
-    edges = first.select("call_id", F.explode(refs).alias("ref"))
-    # what is referred to is matched against distinct identifiers, so that a hot reference stays one row there
-    levels = reference_levels(edges, first)
-    missing = edges.join(first.select(F.col("call_id").alias("ref")), "ref", "left_anti").groupBy("call_id").agg(
+    asked = first.select("call_id", F.col("call.turn").alias("turn"))
+    edges = first.select("call_id", F.col("call.turn").alias("turn"), F.explode(refs).alias("ref"))
+    order = reference_order(edges, asked)
+    missing = edges.join(asked.select(F.col("call_id").alias("ref")), "ref", "left_anti").groupBy("call_id").agg(
         F.count(F.lit(1)).alias("n_unresolved"))
     rows = (
         first.withColumn("n_refs", F.size(refs).cast("long"))
-        .join(levels, "call_id", "left").join(missing, "call_id", "left").join(answers, "call_id", "full"))
+        .join(order.withColumn("ordered", F.lit(True)), "call_id", "left").join(missing, "call_id", "left").join(answers, "call_id", "full"))
     blank_call = calls.filter(~named).select(
         "call_id", ask.alias("call"), F.lit(1).cast("long").alias("n_calls"))
     blank_result = results.filter(~named).select(
@@ -166,7 +175,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     flat = rows.select(
         F.coalesce("call.conv_id", "result.conv_id").alias("conv_id"), "call_id",
         F.coalesce("call.turn", "result.turn").alias("turn"), F.col("call.name").alias("name"), status.alias("status"),
-        "level", F.coalesce("n_refs", F.lit(0)).cast("long").alias("n_refs"),
+        F.coalesce("position", "call.turn", "result.turn").alias("position"),
+        F.when(~no_call & F.col("ordered").isNull(), F.lit(0)).otherwise(F.col("level")).cast("long").alias("level"),
+        F.coalesce("n_refs", F.lit(0)).cast("long").alias("n_refs"),
         F.coalesce("n_unresolved", F.lit(0)).cast("long").alias("n_unresolved"),
         F.col("call.arguments").alias("arguments"), F.col("result.content").alias("content"),
         no_call.alias("no_call"), no_result.alias("no_result"),
@@ -190,7 +201,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                     message |= {"name": row["name"], "arguments": value}
                 if not row["no_result"]:
                     message["result"] = row["content"]
-                kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "status", "level", "n_refs",
+                kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "status", "position", "level", "n_refs",
                                             "n_unresolved")}
                 problems = problems[:] + ["repeated"] * row["repeated"]
                 out.append(kept | {"valid": valid, "problems": "; ".join(problems), "message": canonical(message)})

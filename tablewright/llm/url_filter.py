@@ -43,7 +43,7 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
         )
         for h, p, verdict in sorted(rules, key=lambda r: (-len(r[0] + r[1]), r))
     ]
-    return F.coalesce(*found)
+    return F.coalesce(*found, F.lit(None).cast("struct<rule: string, verdict: string>"))
 
 
 def host_levels(host: Column) -> dict[str, Column]:
