@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+import registry
 from tablewright import normalize, scan_csv, write_csv
 from tablewright.operators import profile as pf
 from tablewright.sources.files import scratch_path
@@ -24,7 +25,8 @@ def orders(spark, tmp_path_factory):
 
 
 def test_contract():
-    queries, sql = contract.queries(), contract.oracle_sql()
+    queries, sql = registry.QUERIES, registry.ORACLES
+    assert set(queries) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
     assert set(sql) <= set(queries) and set(queries) - set(sql) == {"s4_file_manifest"}
     prefixes = {re.match(r"[a-z]\d+", n).group() for n in queries}
     items = {f"s{i}" for i in (1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 12)} | {f"n{i}" for i in range(1, 16)}
