@@ -1,18 +1,21 @@
-"""Tolerant scan of delimited files."""
+"""Tolerant scan of delimited files: the same rows whatever the size of a file, its line ends and its splits."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.names import file_header
 from tablewright.functions.text import missing_to_null
-from tablewright.sources.files import total_bytes
 
 RAW_RECORD = "_corrupt_record"
 # a quoted field opens after a comma or at the start; possessive repeats keep long cells off the stack
 QUOTED_FIELD = r'(?<![^,])"[^"]*+(?:""[^"]*+)*+"'
+MOST_HEADERS = 100  # different headers among the parts of one table
+CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_RECORD, "escape": '"', "maxCharsPerColumn": "-1"}
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -26,67 +29,122 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return file_header(list(first))
 
 
-def _split_size(spark: SparkSession, total: int) -> int:
-    """The bytes Spark gives one task of a scan of this size."""
-    conf = spark._jsparkSession.sessionState().conf()
-    share = total // max(spark.sparkContext.defaultParallelism, 1)
-    return min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines, ended by LF, CRLF or CR, with their file and their place in it (block, then idx)."""
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("idx"))
+
+
+def _opens(text: Column) -> Column:
+    """Whether a quote stays open at the end of a text that begins outside of quotes."""
+    return F.contains(text, F.lit('"')) & F.regexp_replace(text, QUOTED_FIELD, "").rlike('(?:^|,)"')
 
 
-def _largest_file(spark: SparkSession, path: str) -> int:
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+def _stays_open(line: Column) -> Column:
+    """The same for a line that begins inside of a quoted field."""
+    rest = F.regexp_extract(line, r'(?s)^[^"]*+(?:""[^"]*+)*+"(?!")(.*)\z', 1)
+    closes = line.rlike(r'^[^"]*+(?:""[^"]*+)*+"(?!")')
+    # what follows the closing quote belongs to its cell up to the next comma
+    return ~closes | _opens(F.concat(F.lit("x"), rest))
 
 
-def _open_quotes(spark: SparkSession, path: str, split: int) -> tuple[bool, list[str]]:
-    """Whether any line leaves a quote open, and the files beyond one split that have such lines."""
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """file, header (its first line with text) and open (whether any line leaves a quote open) of each file."""
     line = F.col("value")
-    # the last quoted field that opens on the line has only doubled quotes up to the line end
-    open_line = F.contains(line, F.lit('"')) & line.rlike(r'(?:^|,)"[^"]*+(?:""[^"]*+)*+$')
-    large = F.when(F.col("_metadata.file_size") > split, F.col("_metadata.file_path"))
-    found = spark.read.text(path).filter(open_line).agg(
-        F.count(F.lit(1)).alias("lines"), F.collect_set(large).alias("files")
-    ).first()
-    return found.lines > 0, found.files
+    place = F.when(F.trim(line) != "", F.struct("block", "idx"))
+    first = F.min_by(F.ltrim(line, F.lit("\ufeff")), place)
+    return _lines(spark, path).groupBy("file").agg(first.alias("header"), (F.count_if(_opens(line)) > 0).alias("open"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """file and record: lines joined, by LF, where a quoted field goes on in the next one; headers and blanks left out.
+
+    Whether a line begins inside of quotes depends on all lines before it. Each line either sets the state or flips
+    it or leaves it, and so does each block of a file as a whole: states are counted through within blocks, side by
+    side, and then from block to block. A record belongs to the block it begins in.
+    """
+    out, inside = _opens(F.col("value")), _stays_open(F.col("value"))
+    marked = lines.select("*", (out & ~inside).cast("int").alias("flip"), F.when(out == inside, out.cast("int")).alias("fixed"))
+    here = Window.partitionBy("file", "block").orderBy("idx")
+    flips = F.sum("flip").over(here)
+    marked = marked.withColumn("flips", flips).withColumn(
+        "base", F.last(F.pmod(F.col("fixed") + F.col("flips"), F.lit(2)), ignorenulls=True).over(here))
+    last = F.max_by(F.struct("flips", "base"), "idx")
+    blocks = marked.groupBy("file", "block").agg(last.alias("end"))
+    chain = Window.partitionBy("file").orderBy("block")
+    # the same once more, with a block in place of a line
+    blocks = blocks.select(
+        "file", "block", F.when(F.col("end.base").isNotNull(), F.pmod(F.col("end.base") + F.col("end.flips"), F.lit(2))).alias("set"),
+        F.col("end.flips").alias("turns"))
+    # turns since the last block that sets the state
+    blocks = blocks.withColumn("all_turns", F.sum(F.when(F.col("set").isNull(), F.col("turns")).otherwise(0)).over(chain))
+    blocks = blocks.withColumn("origin", F.last(F.when(F.col("set").isNotNull(), F.struct("set", "all_turns")), ignorenulls=True).over(chain))
+    state = F.pmod(F.coalesce("origin.set", F.lit(0)) + F.col("all_turns") - F.coalesce("origin.all_turns", F.lit(0)), F.lit(2))
+    blocks = blocks.select("file", "block", F.coalesce(F.lag(state).over(chain), F.lit(0)).alias("start"))
+
+    placed = marked.join(blocks, ["file", "block"])
+    after = F.pmod(F.coalesce("base", "start") + F.col("flips"), F.lit(2))
+    placed = placed.withColumn("after", after)
+    before = F.coalesce(F.lag("after").over(here), F.col("start"))
+    placed = placed.withColumn("seq", F.sum((before == 0).cast("int")).over(here))
+    # lines before the first record of a block end the last record of an earlier one
+    tails = placed.groupBy("file", "block").agg(F.max("seq").alias("records"))
+    owner = F.last(F.when(F.col("records") > 0, F.struct("block", "records")), ignorenulls=True).over(
+        chain.rowsBetween(Window.unboundedPreceding, -1))
+    tails = tails.select("file", "block", owner.alias("earlier"))
+    placed = placed.join(tails, ["file", "block"])
+    home = F.when(F.col("seq") > 0, F.struct("block", F.col("seq").alias("records"))).otherwise(F.col("earlier"))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "idx", "value")))
+    records = placed.select("file", home.alias("home"), "block", "idx", "value").groupBy("file", "home").agg(
+        F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
+    records = records.filter(F.trim("record") != "")
+    heads = records.groupBy("file").agg(F.min("home").alias("first"))
+    return records.join(heads, "file").filter(F.col("home") != F.col("first")).select("file", "record")
 
 
 def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None) -> DataFrame:
     """All cells as text; missing tokens null; short rows padded, over-long rows dropped.
 
-    A file read with quoted line breaks cannot be split. Files within one split lose nothing by
-    that. If some are larger, one text scan looks for quotes left open at a line end. Without any,
-    every file is split; else the large files that have some, and the small ones, are read whole.
-    `quoted_newlines` skips the check: True reads every file whole, False splits every file.
+    Lines end in LF, CRLF or CR, also mixed. One text scan looks, in every file, for quotes left open at a line end and
+    for the header. Files without open quotes are split and parsed line by line; the lines of the others are joined
+    to records first, in as many tasks as they have blocks. Parts of a folder may order their columns differently;
+    parts with other columns are an error. `quoted_newlines` skips the check and takes the first header for all:
+    True joins lines in every file, False in none.
     """
     names = read_header(spark, path)
+    orders, some_open, all_open = {}, quoted_newlines, quoted_newlines
+    parts = None
+    if quoted_newlines is None:
+        parts = _parts(spark, path)
+        found = parts.filter("header IS NOT NULL").groupBy("header").agg(
+            F.count(F.lit(1)).alias("files"), F.count_if("open").alias("open"), F.min("file").alias("file")
+        ).limit(MOST_HEADERS + 1).collect()
+        some_open = any(r.open for r in found)
+        all_open = all(r.open == r.files for r in found)
+        if len(found) > 1:
+            names, orders = _column_orders(path, found)
+
     cells = [f"c{i}" for i in range(len(names))]
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in cells] + [T.StructField(RAW_RECORD, T.StringType())]
     )
-    reader = (
-        spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RAW_RECORD).option("escape", '"')
-        .option("maxCharsPerColumn", "-1")
-    )
-
-    def read(whole: bool) -> DataFrame:
-        return reader.option("multiLine", str(whole).lower()).csv(path)
-
-    if quoted_newlines is not None:
-        rows = read(quoted_newlines)
+    file = F.col("_metadata.file_path").alias("file")
+    by_line = spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(path)
+    by_line = by_line.select(*cells, RAW_RECORD, file) if some_open or orders else by_line
+    if some_open:
+        lines = _lines(spark, path)
+        if not all_open:
+            lines = lines.join(parts.filter("open").select("file"), "file", "left_semi")
+        parsed = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), CSV_OPTIONS)
+        joined = _records(lines).select("file", parsed.alias("r")).select("r.*", "file")
+        rows = joined
+        if not all_open:
+            rows = by_line.join(parts.filter("open").select("file"), "file", "left_anti").unionByName(joined)
     else:
-        total = total_bytes(spark, path)
-        split = _split_size(spark, total)
-        # a folder of small files: look for the largest one
-        high = total if total <= split else _largest_file(spark, path)
-        any_open, open_files = _open_quotes(spark, path, split) if high > split else (True, [])
-        if not any_open:
-            rows = read(False)
-        elif high <= split:
-            rows = read(True)
-        else:
-            size, location = F.col("_metadata.file_size"), F.col("_metadata.file_path")
-            whole = (size <= split) | location.isin(*open_files)
-            rows = read(False).filter(~whole).unionByName(read(True).filter(whole))
+        rows = by_line
+    if orders:
+        rows = rows.join(parts.select("file", "header"), "file")
 
     raw = F.col(RAW_RECORD)
     width = F.regexp_count(F.regexp_replace(raw, QUOTED_FIELD, ""), F.lit(",")) + 1
@@ -95,4 +153,35 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
     kept = rows.filter((raw.isNull() | ((width <= len(names)) & (F.trim(raw) != ""))) & with_cell)
     if len(names) == 1:
         kept = kept.filter(F.trim(F.col(cells[0])) != "")
-    return kept.select(*[missing_to_null(c).alias(n) for c, n in zip(cells, names)])
+    arranged = kept.select(*_arranged(cells, orders))
+    return arranged.select(*[missing_to_null(c).alias(n) for c, n in zip(cells, names)])
+
+
+def _column_orders(path: str, found: list) -> tuple[list[str], dict[str, list[int]]]:
+    """The names of the first file, and for each header where it holds them."""
+    if len(found) > MOST_HEADERS:
+        raise ValueError(f"The files of {path} have more than {MOST_HEADERS} different headers")
+    found = sorted(found, key=lambda r: r.file)
+    names = file_header(next(csv.reader([found[0].header])))
+    orders = {}
+    for row in found:
+        own = file_header(next(csv.reader([row.header])))
+        if sorted(own) != sorted(names):
+            raise ValueError(f"{row.file} has the columns {own}, {found[0].file} has {names}")
+        orders[row.header] = [own.index(n) for n in names]
+    return names, orders
+
+
+def _arranged(cells: list[str], orders: dict[str, list[int]]) -> list[Column]:
+    """The cells in the order of the names, whatever the order in their file."""
+    if not orders:
+        return [F.col(c) for c in cells]
+    columns = []
+    for i in range(len(cells)):
+        column = None
+        for header, places in orders.items():
+            chosen = F.col(cells[places[i]])
+            is_header = F.col("header") == header
+            column = F.when(is_header, chosen) if column is None else column.when(is_header, chosen)
+        columns.append(column.alias(cells[i]))
+    return columns

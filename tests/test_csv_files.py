@@ -44,7 +44,7 @@ def test_large_files_are_split_unless_a_quote_stays_open(spark, tmp_path):
     try:
         df = scan_csv(spark, str(folder))
         rows = values(df)
-        # 20+ splits of the plain file, one task each for the two that hold line breaks
+        # 20+ splits of the plain file, and the lines of the others dealt to several tasks
         assert df.rdd.getNumPartitions() > 5
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -176,3 +176,56 @@ def test_many_numbers_read_as_python_writes_them(spark):
     # digits may exceed the shortest form on older Java versions, the value never differs
     assert all(float(t) == v for v, t in off) and len(off) < len(given) / 20, off[:5]
     assert not [o for o in off if "e" not in o[1] and len(o[1]) < 8], off[:5]
+
+
+def both_splits(spark, check, small="7b"):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in ("128MB", small):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            check()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize(
+    "content, rows",
+    [
+        ("a,b\r\n1,2\n3,4\n5,6\r\n", [("1", "2"), ("3", "4"), ("5", "6")]),
+        ("a,b\n1,x\ry,2\r\n3,4", [("1", "x"), ("3", "4"), ("y", "2")]),
+        ("a,b\r1,2\r3,4\r", [("1", "2"), ("3", "4")]),
+        ('a,b\r\n1,"x\r\ny"\r2,"p\n\nq"\n\r\n3,"r\rs"', [("1", "x\ny"), ("2", "p\n\nq"), ("3", "r\ns")]),
+        ('a,b\n1,"Smith,"\n2,"""q"", "\n', [("1", "Smith,"), ("2", '"q", ')]),
+        ('a,b\n1,"one ""two\n"", three""\n,""4\n"\n2,x"y\n', [("1", 'one "two\n", three"\n,"4\n'), ("2", 'x"y')]),
+    ],
+)
+def test_any_line_end_at_any_split(spark, tmp_path, content, rows):
+    path = put(tmp_path, content)
+    both_splits(spark, lambda: values(scan_csv(spark, path).orderBy("a")) == rows or pytest.fail(
+        f"{values(scan_csv(spark, path).orderBy('a'))} for {rows}"))
+
+
+def test_long_quoted_fields_across_many_blocks(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    lines = ["k,t"]
+    want = []
+    for i in range(300):
+        text = "".join(rng.choice(['x', '\n', '"', ',', 'yz']) for _ in range(rng.randrange(30)))
+        want.append((str(i), text or None))
+        lines.append(f'{i},"' + text.replace('"', '""') + '"')
+    path = put(tmp_path, "\n".join(lines))
+    both_splits(spark, lambda: values(scan_csv(spark, path).selectExpr("cast(k as int) k", "t").orderBy("k").selectExpr(
+        "cast(k as string)", "t")) == want or pytest.fail("rows differ"), "200b")
+
+
+def test_parts_may_order_their_columns_differently(spark, tmp_path):
+    folder = tmp_path / "p.csv"
+    folder.mkdir()
+    (folder / "p1.csv").write_text("a,b\n1,2\n")
+    (folder / "p2.csv").write_text('b,a\n4,3\n"x\ny",5\n')
+    assert values(scan_csv(spark, str(folder)).orderBy("a")) == [("1", "2"), ("3", "4"), ("5", "x\ny")]
+    (folder / "p3.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(ValueError, match="p3.csv"):
+        scan_csv(spark, str(folder))
