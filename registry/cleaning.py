@@ -312,7 +312,8 @@ REPORT_SQL = " UNION ALL ".join(
 
 @query(REPORT_SQL)
 def n14_normalization_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reports({n: normalize(given(spark, sf_dir, n), order_by=[given(spark, sf_dir, n).columns[0]]) for n in COLUMNS})
+    tables = {n: given(spark, sf_dir, n) for n in COLUMNS}
+    return _reports(normalize_all(spark, tables, {n: [t.columns[0]] for n, t in tables.items()}).tables)
 
 
 @query("""

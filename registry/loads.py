@@ -13,6 +13,7 @@ from tablewright import (
     ingest, key_relationships, column_catalog, load_folder, load_table, normalize, normalize_and_load,
     refresh_database, relationship_document, with_row_counts, write_csv,
 )
+from tablewright.operators.catalog import base_tables
 from tablewright.sinks.tables import report
 from tablewright.sources.files import scratch_path
 
@@ -21,13 +22,20 @@ def _normal(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return normalize(given(spark, sf_dir, name)).data
 
 
-def _stored_rows(spark: SparkSession, database: str) -> DataFrame:
-    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.tableType != "VIEW"]
-    counted = [
-        spark.table(f"{database}.{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
-        for n in names
+# a key, an amount and a text of the tables that the queries here store
+SHOWN = {
+    "orders": ("o_orderkey", "o_totalprice", "o_orderpriority"), "part": ("p_partkey", "p_retailprice", "p_name"),
+    "customer": ("c_custkey", "c_acctbal", "c_name"), "supplier": ("s_suppkey", "s_acctbal", "s_name"),
+}
+
+
+def _contents(spark: SparkSession, database: str) -> DataFrame:
+    """Three columns of every row of every stored table."""
+    stored = [
+        t.select(F.lit(n).alias("table"), *[F.col(c).alias(x) for c, x in zip(SHOWN[n], ("key", "amount", "label"))])
+        for n, t in base_tables(spark, database).items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, stored)
 
 
 @query(NORMAL["orders"])
@@ -48,6 +56,20 @@ def s6_load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.orders")
 
 
+@query(f"""
+    SELECT 'new' AS "table", * FROM ({NORMAL['orders']}) UNION ALL SELECT 'void', * FROM ({NORMAL['orders']})
+""")
+def s6_if_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tables hold after loads that only empty ones accept."""
+    database = new_database(spark, "s6r")
+    orders = _normal(spark, sf_dir, "orders")
+    load_table(orders.filter("o_totalprice < 0"), database, "void")
+    for name in ("new", "void", "new"):
+        load_table(orders, database, name, "empty")
+    stored = [spark.table(f"{database}.{n}").select(F.lit(n).alias("table"), "*") for n in ("new", "void")]
+    return stored[0].unionByName(stored[1])
+
+
 @query("""
     SELECT 'new' AS "table", true AS success, count(*) AS rows FROM orders
     UNION ALL SELECT 'void', true, count(*) FROM orders
@@ -71,11 +93,30 @@ def s7_folder_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two readable tables, and one whose content is not what its extension says."""
     folder = scratch_path(spark, "s7")
     write_csv(given(spark, sf_dir, "customer"), f"{folder}/customer.csv")
-    given(spark, sf_dir, "lineitem").drop("l_shipdate").write.parquet(f"{folder}/line-items.parquet")
+    given(spark, sf_dir, "lineitem").write.parquet(f"{folder}/line-items.parquet")
     given(spark, sf_dir, "nation").select(F.col("n_name").alias("value")).write.text(f"{folder}/broken.parquet")
     return load_folder(spark, folder, new_database(spark, "s7")).select("table", "success", "rows")
 
 
+@query("""
+    SELECT 'customer' AS "table", c_custkey AS key, CAST(c_nationkey AS BIGINT) AS part, c_acctbal AS amount,
+           c_name AS label, NULL::TIMESTAMP AS at FROM customer
+    UNION ALL SELECT 'line_items', l_orderkey, l_linenumber, l_extendedprice, l_returnflag, l_shipdate FROM lineitem
+""")
+def s7_folder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tables hold after a folder was loaded."""
+    folder, database = scratch_path(spark, "s7r"), new_database(spark, "s7r")
+    write_csv(given(spark, sf_dir, "customer"), f"{folder}/customer.csv")
+    given(spark, sf_dir, "lineitem").write.parquet(f"{folder}/line-items.parquet")
+    load_folder(spark, folder, database)
+    customer = spark.table(f"{database}.customer").selectExpr(
+        "'customer' AS table", "c_custkey AS key", "c_nationkey AS part", "c_acctbal AS amount", "c_name AS label",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS at")
+    return customer.unionByName(spark.table(f"{database}.line_items").selectExpr(
+        "'line_items' AS table", "l_orderkey AS key", "CAST(l_linenumber AS BIGINT) AS part", "l_extendedprice AS amount",
+        "l_returnflag AS label", "l_shipdate AS at"))
+
+
 @query("""
     SELECT 'customer' AS from_table, 'c_nationkey' AS from_column, 'orders_of' AS to_table,
            'c_nationkey' AS to_column, 'medium' AS confidence,
@@ -110,7 +151,8 @@ def s10_relationship_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'orders' AS "table", count(*) AS rows FROM orders UNION ALL SELECT 'part', count(*) FROM part
+    SELECT 'orders' AS "table", o_orderkey AS key, o_totalprice AS amount, o_orderpriority AS label FROM orders
+    UNION ALL SELECT 'part', p_partkey, p_retailprice, p_name FROM part
 """)
 def s11_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After the second refresh the tables only the first one named are gone."""
@@ -118,22 +160,23 @@ def s11_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = {n: given(spark, sf_dir, n) for n in ("customer", "orders", "supplier")}
     refresh_database(spark, first, database)
     refresh_database(spark, {n: given(spark, sf_dir, n) for n in ("orders", "part")}, database)
-    return _stored_rows(spark, database)
+    return _contents(spark, database)
 
 
 @query("""
-    SELECT 'counts' AS "table", 3 AS total, 2 AS succeeded, 1 AS failed, NULL::BIGINT AS rows
-    UNION ALL SELECT 'orders', NULL, NULL, NULL, count(*) FROM orders
-    UNION ALL SELECT 'part', NULL, NULL, NULL, count(*) FROM part
+    SELECT 'counts' AS "table", 3 AS total, 2 AS succeeded, 1 AS failed, NULL::BIGINT AS key, NULL::DOUBLE AS amount,
+           NULL AS label
+    UNION ALL SELECT 'orders', NULL, NULL, NULL, o_orderkey, o_totalprice, o_orderpriority FROM orders
+    UNION ALL SELECT 'part', NULL, NULL, NULL, p_partkey, p_retailprice, p_name FROM part
 """)
 def p1_normalize_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources and a missing one: the counts, and what the database holds then."""
     database = new_database(spark, "p1")
     paths = {n: f"{sf_dir}/{n}.parquet" for n in ("orders", "gone", "part")}
     counts = normalize_and_load(spark, paths, database).withColumn("table", F.lit("counts"))
-    return counts.unionByName(_stored_rows(spark, database), allowMissingColumns=True).select(
+    return counts.unionByName(_contents(spark, database), allowMissingColumns=True).select(
         "table", F.col("total").cast("int").alias("total"), F.col("succeeded").cast("int").alias("succeeded"),
-        F.col("failed").cast("int").alias("failed"), "rows",
+        F.col("failed").cast("int").alias("failed"), "key", "amount", "label",
     )
 
 

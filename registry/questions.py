@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.tables import NORMAL, given
-from tablewright import digest, normalize
+from tablewright import answer, digest, normalize
 from tablewright.functions.text import safe_number
 from tablewright.operators import questions as q
 
@@ -25,9 +25,10 @@ def cents(column: str) -> Column:
 
 @query(PRICING_SQL)
 def q1_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same SQL text, run over registered tables under the default cap."""
-    given(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
-    return q.capped(spark.sql(PRICING_SQL), PRICING_SQL)
+    """The same SQL text as a question."""
+    done = answer(spark, PRICING_SQL, tables={"lineitem": given(spark, sf_dir, "lineitem")})
+    return spark.createDataFrame(
+        done.data, "l_returnflag string, l_linestatus string, line_count long, revenue double, avg_quantity double")
 
 
 ORDERED_SQL = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice, o_orderkey"
@@ -35,15 +36,17 @@ ORDERED_SQL = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus =
 
 @query(f"{ORDERED_SQL} LIMIT 1000")
 def q2_default_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text without a limit is cut at a thousand rows."""
+    """A text without a limit is cut at a thousand rows, if that is asked for."""
     given(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    return q.capped(spark.sql(ORDERED_SQL), ORDERED_SQL)
+    return q.capped(spark.sql(ORDERED_SQL), ORDERED_SQL, 1000)
 
 
-@query(f"{ORDERED_SQL} LIMIT 100")
+@query(f"SELECT *, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS row_count FROM ({ORDERED_SQL} LIMIT 100)")
 def q2_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given(spark, sf_dir, "orders").createOrReplaceTempView("orders")
-    return q.capped(spark.sql(ORDERED_SQL), ORDERED_SQL).limit(q.PREVIEW_ROWS)
+    """The first hundred rows beside the count of all."""
+    done = answer(spark, ORDERED_SQL, tables={"orders": given(spark, sf_dir, "orders")}, cap=1000)
+    rows = [r | {"row_count": done.row_count} for r in done.data]
+    return spark.createDataFrame(rows, "o_orderkey long, o_totalprice double, row_count long")
 
 
 @query("""

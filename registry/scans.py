@@ -83,9 +83,24 @@ def s2_table_set_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-@query()
+@query("""
+    SELECT 'orders_' || lower(o_orderstatus) AS table_name, '.parquet' AS extension, true AS sized, count(*) AS rows,
+           min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+    FROM orders GROUP BY o_orderstatus
+""")
 def s4_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_manifest(spark, sf_dir, (".parquet",)).select("name", "extension", "table_name", "length", "size_mb")
+    """The manifest of files written from a table, joined with what each of them holds."""
+    folder = scratch_path(spark, "s4")
+    orders = given(spark, sf_dir, "orders")
+    for status in ("F", "O", "P"):
+        orders.filter(F.col("o_orderstatus") == status).write.parquet(f"{folder}/Orders-{status}.parquet")
+    held = spark.read.parquet(*[f"{folder}/Orders-{s}.parquet" for s in ("F", "O", "P")])
+    held = held.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+    listed = file_manifest(spark, folder, (".parquet",)).join(held, "path")
+    return listed.groupBy("table_name", "extension").agg(
+        F.every(F.col("length") == F.col("bytes")).alias("sized"), F.sum("rows").alias("rows"),
+        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"))
 
 
 @query("""
@@ -117,13 +132,21 @@ def s8_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT * FROM (VALUES ('benchmark'), ('conversations'), ('documents'), ('embeddings'), ('events'), ('labels'),
-        ('lineitem'), ('nation'), ('pages'), ('part'), ('region'), ('supplier')) AS t(table_name)
+    SELECT 'lineitem' AS table_name, count(*) AS rows, sum(l_orderkey) AS keys FROM lineitem
+    UNION ALL SELECT 'part', count(*), sum(p_partkey) FROM part
+    UNION ALL SELECT 'supplier', count(*), sum(s_suppkey) FROM supplier
+    UNION ALL SELECT 'events', count(*), sum(event_id) FROM events
 """)
 def s12_not_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Source tables the landing folder does not hold after two of them were ingested."""
+    """Source tables the landing folder does not hold after two of them were ingested, and what they hold."""
     landing = scratch_path(spark, "s12")
     for name in ("customer", "orders"):
         given(spark, sf_dir, name).write.parquet(f"{landing}/{name}.parquet")
-    source = file_manifest(spark, sf_dir, (".parquet",))
-    return not_landed(source, file_manifest(spark, landing), "table_name").select("table_name")
+    keys = {"lineitem": "l_orderkey", "part": "p_partkey", "supplier": "s_suppkey", "events": "event_id",
+            "customer": "c_custkey", "orders": "o_orderkey"}
+    source = file_manifest(spark, sf_dir, (".parquet",)).filter(F.col("table_name").isin(*keys))
+    missing = not_landed(source, file_manifest(spark, landing), "table_name").select("table_name").distinct()
+    held = [
+        given(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("rows"), F.sum(k).alias("keys")).withColumn("table_name", F.lit(n))
+        for n, k in keys.items()]
+    return missing.join(reduce(DataFrame.unionByName, held), "table_name")

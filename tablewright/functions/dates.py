@@ -8,23 +8,23 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts (how the text looks -> Spark pattern). Day and month may have one digit.
+# What the parts of a date look like. y year, t two digits of a year, m month (l: one that cannot be a
+# day), d day, M D with two digits, b short and B long month name.
+NAMES = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November",
+         "December")
+SHAPES = {
+    "y": r"\d{4}", "t": r"\d{2}", "m": r"\d{1,2}", "l": r"(?:0?[1-9]|1[0-2])", "d": r"\d{1,2}", "M": r"\d{2}",
+    "D": r"\d{2}", "b": f"(?i:{'|'.join(n[:3] for n in NAMES)})", "B": f"(?i:{'|'.join(NAMES)})",
+}
+# Date layouts, in the order in which the first value is held against them.
 DATE_LAYOUTS = (
-    (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
-    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
-    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
-    (r"\d{4}-[A-Za-z]{3}-\d{1,2}", "yyyy-MMM-d"),
-    (r"\d{8}", "yyyyMMdd"),
-    (r"\d{4}-\d{1,2}", "yyyy-M"),
-    (r"(?:0?[1-9]|1[0-2])([-/.])\d{1,2}\1\d{4}", "M{s}d{s}yyyy"),
-    (r"\d{1,2}([-/.])\d{1,2}\1\d{4}", "d{s}M{s}yyyy"),
-    (r"[A-Za-z]{3} \d{1,2} \d{4}", "MMM d yyyy"),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", "MMM d, yyyy"),
-    (r"[A-Za-z]{4,9} \d{1,2} \d{4}", "MMMM d yyyy"),
-    (r"[A-Za-z]{4,9} \d{1,2}, \d{4}", "MMMM d, yyyy"),
-    (r"\d{1,2}([- ])[A-Za-z]{3}\1\d{4}", "d{s}MMM{s}yyyy"),
-    (r"\d{1,2} [A-Za-z]{4,9} \d{4}", "d MMMM yyyy"),
+    "{y}-{m}-{d}", "{y}/{m}/{d}", "{y}.{m}.{d}", "{y}-{b}-{d}", "{y}{M}{D}", "{y}-{m}",
+    "{l}-{d}-{y}", "{l}/{d}/{y}", "{l}.{d}.{y}", "{d}-{m}-{y}", "{d}/{m}/{y}", "{d}.{m}.{y}",
+    "{b} {d} {y}", "{b} {d}, {y}", "{B} {d} {y}", "{B} {d}, {y}",
+    "{d}-{b}-{y}", "{d} {b} {y}", "{d}/{b}/{y}", "{d} {B} {y}",
+    "{y}", "{b} {y}", "{B} {y}", "{m}/{y}", "{d}-{b}-{t}",
 )
+WEEKDAY = "(?i:(?:Mon|Tues?|Wed(?:nes)?|Thu(?:rs)?|Fri|Sat(?:ur)?|Sun)(?:day)?),? "
 # Times that may follow a date.
 HOUR, HOUR_12, SIXTY = r"(?:[01]?\d|2[0-3])", r"(?:0?[1-9]|1[0-2])", r"[0-5]?\d"
 TIME_LAYOUTS = (
@@ -37,80 +37,91 @@ TIME_LAYOUTS = (
     f"T{HOUR}:{SIXTY}",
     f"T{HOUR}:{SIXTY}:{SIXTY}",
     rf"T{HOUR}:{SIXTY}:{SIXTY}\.\d{{1,6}}",
+    r"[T ](?:[01]\d|2[0-3])[0-5]\d[0-5]\d",
 )
 # Layouts tried per value, in this order, when the first value has none of those above.
-ANY_TIME = rf"(?:[T ]{HOUR}:{SIXTY}(?::{SIXTY}(?:\.\d+)?)?(?: [APap][Mm])?)?"
+ANY_TIME = rf"(?:[T ]{HOUR}:{SIXTY}(?::{SIXTY}(?:\.\d+)?)?(?: [APap][Mm])?|[T ]\d{{6}})?"
 FALLBACK_LAYOUTS = (
-    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
-    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
-    (r"\d{8}", ("yyyyMMdd",)),
-    (r"\d{1,2}/\d{1,2}/\d{4}", ("M/d/yyyy", "d/M/yyyy")),
-    (r"\d{1,2}-\d{1,2}-\d{4}", ("M-d-yyyy", "d-M-yyyy")),
-    (r"\d{1,2}/\d{1,2}/\d{2}", ("M/d/yy", "d/M/yy")),
-    (r"[A-Za-z]{3} \d{1,2} \d{4}", ("MMM d yyyy",)),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
-    (r"[A-Za-z]{4,9} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
-    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
-    (r"\d{1,2} [A-Za-z]{4,9} \d{4}", ("d MMMM yyyy",)),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
+    "{y}-{m}-{d}", "{y}/{m}/{d}", "{y}{M}{D}", "{m}/{d}/{y}", "{d}/{m}/{y}", "{m}-{d}-{y}", "{d}-{m}-{y}",
+    "{m}/{d}/{t}", "{d}/{m}/{t}", "{b} {d} {y}", "{b} {d}, {y}", "{B} {d}, {y}", "{d} {b} {y}", "{d} {B} {y}",
+    "{d}-{b}-{y}", "{d}/{b}/{y}", "{d}-{b}-{t}", "{y}", "{y}-{m}", "{b} {y}", "{B} {y}", "{m}/{y}",
 )
 # The calendar days a 64-bit nanosecond timestamp covers in full.
 EARLIEST, LATEST = "1677-09-22", "2262-04-11"
-OFFSET = r"(?:Z|[+-]\d{2}:?\d{2})"
+OFFSET = r"(?: ?(?:Z|UTC|GMT)|[+-]\d{2}(?::?\d{2})?)"
 NANOSECONDS_PER_DAY = 86_400_000_000_000
 
 
 class Layout(NamedTuple):
-    date_shape: str
-    pattern: str
+    date: str
     time_shape: str
     has_offset: bool
 
 
+def _shape(date: str, named: bool = False) -> str:
+    """The pattern of a date layout; with `named`, its parts are groups y, m and d for Java."""
+    def part(found: re.Match) -> str:
+        letter = found.group(1)
+        group = {"t": "y", "l": "m", "M": "m", "b": "m", "B": "m", "D": "d"}.get(letter, letter)
+        return f"(?<{group}>{SHAPES[letter]})" if named else SHAPES[letter]
+
+    return re.sub(r"\{(\w)\}", part, date.replace(".", r"\."))
+
+
 def guess_layout(value: str) -> Layout | None:
     """The layout of one date text, or None if it has none of the known ones."""
     year = re.search(r"\d{4}", value)
-    if not year or not 1678 <= int(year.group()) <= 2261:
+    if year and not 1678 <= int(year.group()) <= 2261:
         return None
-    for date_shape, pattern in DATE_LAYOUTS:
+    for date in DATE_LAYOUTS:
         for time_shape in TIME_LAYOUTS:
-            zone = f"(?P<zone>{OFFSET})?" if ":" in time_shape else "(?P<zone>$)?"
-            found = re.fullmatch(date_shape + time_shape + zone, value)
+            if time_shape.startswith("[T ]") and date != "{y}{M}{D}" or time_shape and "{d}" not in date and "{D}" not in date:
+                continue
+            zone = f"(?P<zone>{OFFSET})?" if ":" in time_shape or time_shape[:1] == "[" else "(?P<zone>$)?"
+            found = re.fullmatch(f"(?:{WEEKDAY})?{_shape(date)}{time_shape}{zone}", value)
             if found:
-                mark = found.group(1) if "{s}" in pattern else ""
-                exact = date_shape.replace("[-/.]", re.escape(mark)).replace("[- ]", mark) if mark else date_shape
-                return Layout(exact, pattern.replace("{s}", mark), time_shape, bool(found["zone"]))
+                return Layout(date, time_shape, bool(found["zone"]))
     return None
 
 
 def utc_offset(c: Column) -> Column:
-    """The `+hhmm` offset a timestamp text ends in, else null. `Z` counts as `+0000`."""
-    mark = F.regexp_extract(c, rf":\d{{1,2}}(?:\.\d+)?({OFFSET})$", 1)
-    return F.when(mark == "Z", "+0000").when(mark != "", F.replace(mark, F.lit(":"), F.lit("")))
+    """The `+hhmm` offset a timestamp text ends in, else null. `Z`, `UTC` and `GMT` count as `+0000`."""
+    mark = F.ltrim(F.regexp_extract(c, rf":\d{{1,2}}(?:\.\d+)?({OFFSET})$", 1))
+    digits = F.rpad(F.replace(mark, F.lit(":"), F.lit("")), 5, "0")
+    return F.when(mark.isin("Z", "UTC", "GMT"), "+0000").when(mark != "", digits)
+
+
+def _day(c: Column, date: str, rest: str) -> Column:
+    """The day of a text of this layout, else null, by one match: its parts in order, or else two hyphens."""
+    parts = "-".join("${%s}" % x if f"(?<{x}>" in _shape(date, True) else "1" for x in "ymd")
+    none = F.regexp_replace(c, rf"(?s)^(?:(?:{WEEKDAY})?{_shape(date, True)}{rest}\z|.*)", parts)
+    if not any(x in date for x in ("{b}", "{B}", "{t}")):
+        # what does not match has no year
+        return none.try_cast("date")
 
+    def number(ordered: Column) -> Column:
+        year, month = F.split_part(ordered, F.lit("-"), F.lit(1)), F.split_part(ordered, F.lit("-"), F.lit(2))
+        if "{t}" in date:
+            year = F.when(year.between("00", "68"), F.concat(F.lit("20"), year)).when(year != "", F.concat(F.lit("19"), year))
+        if "{b}" in date or "{B}" in date:
+            place = F.instr(F.lit("".join(n[:3].lower() for n in NAMES)), F.lower(F.substring(month, 1, 3)))
+            month = ((place + 2) / 3).cast("int").cast("string")
+        return F.concat_ws("-", F.coalesce(year, F.lit("")), month, F.split_part(ordered, F.lit("-"), F.lit(3)))
 
-def _parsed(text: Column, pattern: str) -> Column:
-    return text.try_cast("date") if pattern == "yyyy-M-d" else F.try_to_date(text, pattern)
+    return F.transform(F.array(none), number).getItem(0).try_cast("date")
 
 
 def date_text(c: Column, layout: Layout | None) -> Column:
     """Values of that layout as `yyyy-MM-dd`, all others null. Offsets keep the date as written.
 
-    A shape test guards every parse, because a failed parse costs a hundred times a failed match.
+    A pattern brings the parts of a date into order, so that a plain cast reads it: parsing by a formatter is several
+    times slower, and a failed parse costs a hundred times a failed match.
     """
     if layout is None:
         text = F.trim(c)
-        day = None
-        for shape, patterns in FALLBACK_LAYOUTS:
-            part = F.regexp_extract(text, f"^{shape}", 0)
-            parsed = F.coalesce(*[_parsed(part, p) for p in patterns])
-            fits = text.rlike(f"^{shape}{ANY_TIME}{OFFSET}?$")
-            day = F.when(fits, parsed) if day is None else day.when(fits, parsed)
+        day = F.coalesce(*[_day(text, date, f"{ANY_TIME}{OFFSET}?" if "d}" in date.lower() else "") for date in FALLBACK_LAYOUTS])
     else:
-        zone = OFFSET if layout.has_offset else ""
-        part = F.regexp_extract(c, f"^{layout.date_shape}", 0) if layout.time_shape else c
-        fits = c.rlike(f"^{layout.date_shape}{layout.time_shape}{zone}$")
-        day = F.when(fits, _parsed(part, layout.pattern))
+        day = _day(c, layout.date, layout.time_shape + (OFFSET if layout.has_offset else ""))
     return F.when(day.between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date")), day.cast("string"))
 
 

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NO_DESCRIPTION = "No description"
-SHOWN_COLUMNS = 10
+NO_DESCRIPTION = "No description"  # fixed value, as are the labels in schema_document
+UNFINISHED = ("__incoming", "__replaced")  # tables a load has not put in place yet
 CATALOG_SCHEMA = (
     "table_name string, table_ord int, ordinal int, column_name string, data_type string, description string"
 )
@@ -54,7 +54,7 @@ def base_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The stored tables of a database by name. Views are left out: they would relate to their own parts."""
     listed = [
         t for t in spark.catalog.listTables(database)
-        if not t.isTemporary and t.tableType != "VIEW"
+        if not t.isTemporary and t.tableType != "VIEW" and not t.name.endswith(UNFINISHED)
     ]
     return {t.name: spark.table(f"{database}.`{t.name}`") for t in sorted(listed, key=lambda t: t.name)}
 
@@ -75,14 +75,15 @@ def column_list(catalog: DataFrame) -> DataFrame:
     )
 
 
-def schema_document(catalog: DataFrame, namespace: str | None = None) -> DataFrame:
-    """`(table_name, context)`: the text that describes each table to whoever writes the SQL."""
-    shown = F.col("ordinal") <= SHOWN_COLUMNS
+def schema_document(catalog: DataFrame, namespace: str | None = None, columns: int | None = None) -> DataFrame:
+    """`(table_name, context)`: the text that describes each table, with all or the first `columns` of its columns."""
+    columns = columns or 2**31 - 1
+    shown = F.col("ordinal") <= columns
     line = F.concat(
         F.lit("    - "), F.col("column_name"), F.lit(" ("), F.upper("data_type"), F.lit(")\n")
     )
     lines: Column = F.array_sort(F.collect_list(F.when(shown, F.struct("ordinal", line.alias("line")))))
-    more = F.max("ordinal") - SHOWN_COLUMNS
+    more = F.max("ordinal") - columns
     full_name = F.concat(F.lit(f"{namespace}." if namespace else ""), F.col("table_name"))
     return catalog.groupBy("table_name").agg(
         F.concat(
@@ -96,7 +97,9 @@ def schema_document(catalog: DataFrame, namespace: str | None = None) -> DataFra
     )
 
 
-def schema_context(catalog: DataFrame, namespace: str | None = None, title: str = "Available tables:") -> str:
+def schema_context(
+    catalog: DataFrame, namespace: str | None = None, title: str = "Available tables:", columns: int | None = None
+) -> str:
     """The whole document as one text, tables by name."""
-    parts = schema_document(catalog, namespace).orderBy("table_name").collect()
+    parts = schema_document(catalog, namespace, columns).orderBy("table_name").collect()
     return f"{title}\n\n" + "".join(p.context for p in parts)

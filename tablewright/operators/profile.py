@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -22,6 +22,7 @@ MOMENTS = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 EARLY_ROWS = 1000
 EARLY_BYTES = 32 << 20
+FIRST_ROWS = 100  # rows that names are first looked for in
 FIRST_LENGTH = 100  # longer first values are no dates
 TEXT, INTEGER, WIDE_INTEGER, DOUBLE, BOOLEAN, EMPTY = (
     "text", "integer", "wide_integer", "double", "boolean", "empty",
@@ -197,6 +198,22 @@ def _first_of_each(df: DataFrame, columns: list[str], order: list[str], n: int)
     )
 
 
+def _first_together(df: DataFrame, columns: list[str], order: list[str], n: int) -> DataFrame:
+    """The same from the first rows alone, all columns in one scan: exact for columns with n values among them."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    first = df.select(F.struct(*order).alias("place"), *[sample_text(F.col(c), types[c]).alias(f"v{i}") for i, c in enumerate(columns)])
+    first = first.orderBy("place").limit(FIRST_ROWS)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("value")) for i, c in enumerate(columns)]
+    cells = first.select("place", F.explode(F.array(*cells)).alias("cell")).select("place", "cell.*").filter("value IS NOT NULL")
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("place"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
+    return cells.withColumn("rank", rank).filter(F.col("rank") <= n).groupBy("column").agg(
+        F.count(F.lit(1)).alias("found"),
+        F.array_join(F.transform(ordered, lambda s: s["value"]), " ").alias("sample"),
+        F.min_by("value", "place").alias("first"),
+    )
+
+
 def labelled(samples: DataFrame, moments: list[str]) -> DataFrame:
     """`(column, found, before, after, first)`: the labels a column may get, and how its first value starts."""
     # a sample that is all midnights reads as plain dates
@@ -224,8 +241,14 @@ def column_samples(
     moments = [c for c in columns if isinstance(types[c], MOMENTS)]
 
     def collect(part: DataFrame, wanted: list[str]) -> dict[str, Row]:
-        samples = _first_of_each(part, wanted, order, names.SAMPLE_SIZE)
-        return {r["column"]: r for r in labelled(samples, moments).collect()}
+        samples = _first_together(part, wanted, order, names.SAMPLE_SIZE)
+        found = {r["column"]: r for r in labelled(samples, moments).collect()}
+        # columns with few values among the first rows get a top-n of their own
+        rare = [c for c in wanted if c not in found or found[c]["found"] < names.SAMPLE_SIZE]
+        if rare:
+            samples = _first_of_each(part, rare, order, names.SAMPLE_SIZE)
+            found |= {r["column"]: r for r in labelled(samples, moments).collect()}
+        return found
 
     if head is None:
         return collect(table, columns)

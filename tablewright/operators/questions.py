@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,6 @@ from pyspark.sql import types as T
 from tablewright.failures import FAILURES
 from tablewright.functions.text import float_text, quoted
 
-ROW_CAP = 1000
 PREVIEW_ROWS = 100
 DIGEST_ROWS = 5
 NO_RESULTS = "No results found."
@@ -53,10 +53,17 @@ def filtered_average(df: DataFrame, condition: Column, value: str | Column, name
     return df.filter(condition).agg(F.avg(value).alias(name))
 
 
-def capped(df: DataFrame, text: str, cap: int = ROW_CAP) -> DataFrame:
-    """The query with the default row cap, unless its text ends in a limit of its own."""
-    own = re.search(r"\blimit\s+\w+(\s+offset\s+\d+)?[\s;]*$", text, re.IGNORECASE)
-    return df if own else df.limit(cap)
+def has_limit(spark: SparkSession, text: str) -> bool:
+    """Whether the statement as a whole has a limit of its own, as Spark parses it."""
+    plan = spark.sql(f"EXPLAIN EXTENDED {text.strip().rstrip(';')}").first()[0]
+    parsed = plan.partition("== Parsed Logical Plan ==")[2].partition("== Analyzed Logical Plan ==")[0].strip("\n")
+    # the outermost operators: those with nothing but one branch above them
+    return re.match(r"(?:'?UnresolvedWith[^\n]*\n(?:[: ][^\n]*\n)*|CTE [^\n]*\n(?:: [^\n]*\n)*)?(?:\+- )?'?GlobalLimit", parsed) is not None
+
+
+def capped(df: DataFrame, text: str, cap: int) -> DataFrame:
+    """The query cut at a number of rows, unless the statement has a limit of its own."""
+    return df if has_limit(df.sparkSession, text) else df.limit(cap)
 
 
 def _json_value(name: str, data_type: T.DataType) -> Column:
@@ -120,31 +127,42 @@ def answer(
     to_sql: Callable[[str], str | None] = lambda text: text,
     tables: dict[str, DataFrame] | None = None,
     mode: str = "data",
-    cap: int | None = ROW_CAP,
+    cap: int | None = None,
 ) -> Answer:
-    """Turn a question into SQL, run it over the table set, and return a preview, a count and a digest.
+    """Turn a question into SQL, run it over the table set, and return a preview, the full count and a digest.
 
-    `to_sql` writes the SQL; by default the question is SQL already. Mode `sql` stops before running.
+    `to_sql` writes the SQL; by default the question is SQL already. Mode `sql` stops before running. A `cap` cuts
+    what is previewed, not the count. The names of `tables` hold for this question alone.
     """
     if not question:
-        return Answer(question, error="Please provide a query.")
+        return Answer(question, error="The question is empty.")
     text = to_sql(question)
     if not text:
-        return Answer(question, error="Failed to generate SQL query")
+        return Answer(question, error="No SQL came back for the question.")
     if mode == "sql":
         return Answer(question, text)
     try:
-        for name, table in (tables or {}).items():
-            table.createOrReplaceTempView(name)
-        result = spark.sql(text)
-        if cap is not None:
-            result = capped(result, text, cap)
-        result = result.persist()  # count, preview and digest read one run of the query
-        try:
-            summary = digest(result).first()
-            preview = [r.asDict(recursive=True) for r in result.limit(PREVIEW_ROWS).collect()]
-        finally:
-            result.unpersist()
+        with _named(spark, tables or {}):
+            result = spark.sql(text)
+            shown = PREVIEW_ROWS if cap is None or has_limit(spark, text) else min(cap, PREVIEW_ROWS)
+        summary = digest(result).first()
+        preview = [r.asDict(recursive=True) for r in result.limit(shown).collect()]
         return Answer(question, text, summary.row_count, preview, summary.digest)
     except FAILURES as problem:
-        return Answer(question, text, error=f"Query execution failed: {problem}")
+        return Answer(question, text, error=f"The query did not run: {problem}")
+
+
+@contextmanager
+def _named(spark: SparkSession, tables: dict[str, DataFrame]) -> Iterator[None]:
+    """Tables under a name while a statement is read; views of that name come back after it."""
+    listed = {v.name.lower() for v in spark.catalog.listTables() if v.isTemporary}
+    hidden = {n: spark.table(n) for n in tables if n.lower() in listed}
+    try:
+        for name, table in tables.items():
+            table.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, table in hidden.items():
+            table.createOrReplaceTempView(name)

@@ -1,7 +1,9 @@
-"""Relationships between tables, found by joining the column catalog with itself."""
+"""Relationships between tables, from the columns their catalog entries share."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,34 +15,42 @@ LOCATION_NAMES = ("address", "city", "state", "zip", "zipcode", "postal_code")
 VIEWABLE_CONFIDENCE = ("HIGH", "MEDIUM")
 LOCATION_REASON = "Both tables have location fields - potential geographic join"
 
-# A name that many tables share is one join key. The left side is spread over this many parts of
-# it and the right side repeated for each, so no single task pairs up all tables of a common name.
-SPREAD = 16
+def key_groups(catalog: DataFrame) -> DataFrame:
+    """`(column_name, tables)`: the tables that share a name (case counts) that looks like a key, in set order.
 
+    One row per name, so that it grows with the catalog, however many tables share a name.
+    """
+    columns = catalog.filter(F.lower("column_name").rlike("|".join(KEY_WORDS)))
+    return _groups(columns, "column_name")
 
-def _spread_left(df: DataFrame) -> DataFrame:
-    return df.withColumn("part", F.pmod(F.xxhash64("table_name"), F.lit(SPREAD)))
 
+def typed_groups(catalog: DataFrame) -> DataFrame:
+    """`(name, data_type, tables)`: the same for names (case ignored) with equal types, without generic names."""
+    name = F.lower("column_name")
+    columns = catalog.withColumn("name", name).filter(~name.isin(*GENERIC_NAMES))
+    return _groups(columns, "name", "data_type")
 
-def _spread_right(df: DataFrame) -> DataFrame:
-    return df.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<bigint>")))
 
+def _groups(columns: DataFrame, *keys: str) -> DataFrame:
+    tables = F.array_sort(F.collect_list(F.struct("table_ord", "table_name")))
+    return columns.groupBy(*keys).agg(tables.alias("tables")).filter(F.size("tables") > 1)
 
-def _table_pairs(columns: DataFrame, keys: list[str], condition: Column) -> DataFrame:
-    left, right = _spread_left(columns).alias("a"), _spread_right(columns).alias("b")
-    on = condition
-    for key in [*keys, "part"]:
-        on = on & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return left.join(right, on)
 
+def _pairs(groups: DataFrame, tables: Iterable[str] | None) -> DataFrame:
+    """Each group as pairs (a, b) of its tables, the earlier first; with `tables`, those that hold one of them."""
+    keys = [c for c in groups.columns if c != "tables"]
+    firsts = groups.select(*keys, "tables", F.posexplode("tables").alias("at", "a"))
+    both = firsts.select(*keys, "a", F.explode(F.slice("tables", F.col("at") + 2, F.size("tables"))).alias("b"))
+    if tables is None:
+        return both
+    wanted = list(tables)
+    return both.filter(F.col("a.table_name").isin(wanted) | F.col("b.table_name").isin(wanted))
 
-def key_relationships(catalog: DataFrame) -> DataFrame:
-    """Equal names (case counts) that look like keys, earlier table of the set to later table."""
-    columns = catalog.select("table_name", "table_ord", "column_name").filter(
-        F.lower("column_name").rlike("|".join(KEY_WORDS))
-    )
-    pairs = _table_pairs(columns, ["column_name"], F.col("a.table_ord") < F.col("b.table_ord"))
-    name = F.col("a.column_name")
+
+def key_relationships(catalog: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
+    """The pairs of key_groups, earlier table of the set to later table; of all tables, or of those named."""
+    pairs = _pairs(key_groups(catalog), tables)
+    name = F.col("column_name")
     return pairs.select(
         F.col("a.table_name").alias("from_table"),
         name.alias("from_column"),
@@ -51,14 +61,10 @@ def key_relationships(catalog: DataFrame) -> DataFrame:
     )
 
 
-def typed_relationships(catalog: DataFrame) -> DataFrame:
-    """Equal names (case ignored) with equal types, without generic names."""
-    name = F.lower("column_name")
-    columns = catalog.select("table_name", "table_ord", name.alias("name"), "data_type").filter(
-        ~name.isin(*GENERIC_NAMES)
-    )
-    pairs = _table_pairs(columns, ["name", "data_type"], F.col("a.table_ord") < F.col("b.table_ord"))
-    name = F.col("a.name")
+def typed_relationships(catalog: DataFrame, tables: Iterable[str] | None = None) -> DataFrame:
+    """The pairs of typed_groups, earlier table of the set to later table; of all tables, or of those named."""
+    pairs = _pairs(typed_groups(catalog), tables)
+    name = F.col("name")
     return pairs.select(
         F.col("a.table_name").alias("from_table"),
         name.alias("from_column"),
@@ -66,22 +72,34 @@ def typed_relationships(catalog: DataFrame) -> DataFrame:
         name.alias("to_column"),
         F.when(name.isin(*STRONG_NAMES), "HIGH").otherwise("MEDIUM").alias("confidence"),
         F.concat(
-            F.lit("Common column '"), name, F.lit("' with matching type "), F.upper("a.data_type")
+            F.lit("Common column '"), name, F.lit("' with matching type "), F.upper("data_type")
         ).alias("reason"),
     )
 
 
-def location_relationships(catalog: DataFrame, related: DataFrame) -> DataFrame:
-    """Ordered pairs of tables with location columns that `related` does not hold in that direction."""
+def located_tables(catalog: DataFrame) -> DataFrame:
+    """`(table_name, names)`: the location columns of each table that has some."""
     rank = F.array_position(F.array(*[F.lit(n) for n in LOCATION_NAMES]), F.col("name"))
-    located = (
+    return (
         catalog.select("table_name", F.lower("column_name").alias("name"))
         .filter(F.col("name").isin(*LOCATION_NAMES))
         .groupBy("table_name")
         .agg(F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "name"))).alias("found"))
         .select("table_name", F.array_join(F.transform("found", lambda s: s["name"]), ", ").alias("names"))
     )
-    pairs = _table_pairs(located, [], F.col("a.table_name") != F.col("b.table_name"))
+
+
+def location_relationships(
+    catalog: DataFrame, related: DataFrame, tables: Iterable[str] | None = None
+) -> DataFrame:
+    """Ordered pairs of tables with location columns that `related` does not hold in that direction.
+
+    Every located table relates to every other: the rows are their pairs, made from one list of them (metadata). Name
+    the `tables` in question to get theirs alone.
+    """
+    group = located_tables(catalog).agg(F.collect_list(F.struct(F.lit(0).alias("table_ord"), "table_name", "names")).alias("tables"))
+    one_way = _pairs(group, tables)
+    pairs = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.select(
         F.col("a.table_name").alias("from_table"),
         F.col("a.names").alias("from_column"),

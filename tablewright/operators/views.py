@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from tablewright.failures import FAILURES
 from tablewright.functions.text import quoted
 from tablewright.operators.relations import viewable
 
-VIEW_LIMIT = 1000
+VIEWS_AT_ONCE = 4
 VIEW_REPORT_SCHEMA = "view string, from_table string, to_table string, on_column string, created boolean, error string"
 
 
@@ -29,7 +31,7 @@ def _is_number(t: T.DataType) -> bool:
 
 def join_sql(
     left: str, right: str, left_schema: T.StructType, right_schema: T.StructType,
-    left_key: str, right_key: str, right_name: str, limit: int | None = VIEW_LIMIT,
+    left_key: str, right_key: str, right_name: str, limit: int | None = None,
 ) -> str:
     """All left columns and the right ones but its key; a right name the left has gets the table's prefix.
 
@@ -78,9 +80,9 @@ def join_sql(
 
 def relationship_view(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
-    right_name: str = "right", limit: int | None = VIEW_LIMIT,
+    right_name: str = "right", limit: int | None = None,
 ) -> DataFrame:
-    """The join of one relationship as a DataFrame; `limit=None` gives all of it."""
+    """The join of one relationship as a DataFrame: all of it, or with a limit its first rows."""
     text = join_sql(
         "{left}", "{right}", left.schema, right.schema, left_key, right_key or left_key, right_name, limit
     )
@@ -88,11 +90,13 @@ def relationship_view(
 
 
 def create_views(
-    spark: SparkSession, database: str, found: DataFrame, limit: int | None = VIEW_LIMIT,
+    spark: SparkSession, database: str, found: DataFrame, limit: int | None = None,
     every_column: bool = False,
 ) -> DataFrame:
     """Publish one view per pair of related tables and report each; a view that fails does not stop the rest.
 
+    Views hold all rows unless a `limit` is given. Pairs are read page by page, and their views made a few at a time.
+
     A pair related by several columns gets `view_<from>_join_<to>` for the first column by name;
     `every_column` adds `..._on_<column>` for the others.
     """
@@ -101,8 +105,9 @@ def create_views(
     )
     if not every_column:
         fit = fit.withColumn("keys", F.slice("keys", 1, 1))
-    report = []
-    for pair in fit.orderBy("from_table", "to_table").collect():
+
+    def publish(pair) -> list[list]:
+        report = []
         for i, (left_key, right_key) in enumerate(pair["keys"]):
             name = f"view_{pair.from_table}_join_{pair.to_table}" + (f"_on_{left_key}" if i else "")
             left, right = (f"{quoted(database)}.{quoted(t)}" for t in (pair.from_table, pair.to_table))
@@ -118,4 +123,9 @@ def create_views(
                 report.append([*row, True, None])
             except FAILURES as problem:
                 report.append([*row, False, str(problem)])
-    return spark.createDataFrame(report, VIEW_REPORT_SCHEMA)
+        return report
+
+    with ThreadPoolExecutor(VIEWS_AT_ONCE) as pool:
+        pairs = fit.orderBy("from_table", "to_table").toLocalIterator()
+        made = [row for rows in pool.map(publish, pairs) for row in rows]
+    return spark.createDataFrame(made, VIEW_REPORT_SCHEMA)

@@ -12,7 +12,7 @@ from tablewright.failures import FAILURES
 from tablewright.operators.catalog import base_tables, column_catalog, database_catalog
 from tablewright.operators.normalize import Normalized, normalize
 from tablewright.operators.relations import key_relationships, relationships
-from tablewright.operators.views import VIEW_LIMIT, create_views
+from tablewright.operators.views import create_views
 from tablewright.sinks.tables import TABLES_AT_ONCE, load_counts, load_folder, refresh_database
 from tablewright.sources.files import file_manifest, not_landed, path_exists
 from tablewright.sources.tables import is_text_source, read_table
@@ -87,7 +87,7 @@ def normalize_and_load(spark: SparkSession, tables: dict[str, DataFrame | str],
 
 
 def analyze(
-    spark: SparkSession, database: str, analyze_only: bool = False, limit: int | None = VIEW_LIMIT
+    spark: SparkSession, database: str, analyze_only: bool = False, limit: int | None = None
 ) -> Analysis:
     """Catalog, relationships and, unless `analyze_only`, a view for each related pair."""
     tables = base_tables(spark, database)
@@ -105,7 +105,7 @@ def missing_files(spark: SparkSession, source: str, landed: str) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, folder: str, database: str, limit: int | None = VIEW_LIMIT
+    spark: SparkSession, folder: str, database: str, limit: int | None = None
 ) -> tuple[DataFrame, Analysis]:
     """Folder to related tables: normalize and load every file, then analyze and publish views."""
     reported = load_folder(

@@ -43,7 +43,8 @@ def write_lines(lines: DataFrame, header: str, path: str) -> None:
     first = F.lit(header)
     both = F.when(F.col("place") == 0, F.array(first, F.col("value"))).otherwise(F.array("value"))
     placed = lines.select("value", place.alias("place"))
-    placed.select(F.explode(both).alias("value")).write.mode("overwrite").text(path)
+    # a partition must stay one file, or the others would begin without a header
+    placed.select(F.explode(both).alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 0).text(path)
     spark = lines.sparkSession
     if total_bytes(spark, path) == 0:
         spark.range(1).select(first.alias("value")).write.mode("overwrite").text(path)

@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from tablewright.failures import FAILURES
 from tablewright.functions.text import quoted
+from tablewright.operators.catalog import UNFINISHED
 from tablewright.sources.files import path_exists
 from tablewright.sources.tables import is_text_source, read_table, table_paths
 
 REPORT_SCHEMA = "table string, success boolean, rows bigint, error string"
 TRUNCATE, APPEND, EMPTY = "truncate", "append", "empty"
+KEPT_BY_CATALOG = ("comment", "owner", "provider", "location", "external", "transient_lastDdlTime", "numFiles",
+                   "totalSize", "rawDataSize", "numRows")
 TABLES_AT_ONCE = 4  # tables are independent; a few jobs side by side keep a cluster busy
 
 
@@ -34,15 +37,19 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 def load_table(df: DataFrame, database: str, name: str, disposition: str = TRUNCATE) -> Loaded:
     """Write a table and report its row count after the load; any failure becomes the report.
 
-    Truncate writes beside the old table and swaps when done. A load that fails, or whose source
-    is the table itself, leaves the old rows untouched.
+    Truncate writes beside the old table and then renames: the old one aside, the new one in, the old one away last.
+    A load that fails, or whose source is the table itself, leaves the old rows under their name; comment and
+    properties stay.
     """
     spark = df.sparkSession
-    table = f"{quoted(database)}.{quoted(name)}"
-    incoming = f"{quoted(database)}.{quoted(name + '__incoming')}"
+    table, incoming, replaced = (f"{quoted(database)}.{quoted(name + end)}" for end in ("", *UNFINISHED))
     try:
         ensure_database(spark, database)
         exists = spark.catalog.tableExists(f"{database}.{name}")
+        if not exists and spark.catalog.tableExists(f"{database}.{name}{UNFINISHED[1]}"):
+            # a load that ended between its two renames
+            spark.sql(f"ALTER TABLE {replaced} RENAME TO {table}")
+            exists = True
         if disposition == APPEND or (disposition == EMPTY and not exists):
             df.write.mode("append").saveAsTable(table)
         elif disposition == EMPTY:
@@ -54,8 +61,15 @@ def load_table(df: DataFrame, database: str, name: str, disposition: str = TRUNC
                 df.write.mode("overwrite").saveAsTable(table)
             else:
                 df.write.mode("overwrite").saveAsTable(incoming)
-                spark.sql(f"DROP TABLE {table}")
-                spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+                _describe_alike(spark, database, name, table, incoming)
+                spark.sql(f"DROP TABLE IF EXISTS {replaced}")
+                _rename(spark, table, replaced)
+                try:
+                    _rename(spark, incoming, table)
+                except FAILURES:
+                    _rename(spark, replaced, table)
+                    raise
+                spark.sql(f"DROP TABLE IF EXISTS {replaced}")
         else:
             return Loaded(name, False, None, f"Unknown write disposition: {disposition}")
         return Loaded(name, True, spark.table(table).count(), None)
@@ -65,6 +79,26 @@ def load_table(df: DataFrame, database: str, name: str, disposition: str = TRUNC
         return Loaded(name, False, None, str(problem))
 
 
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+
+
+def _describe_alike(spark: SparkSession, database: str, name: str, table: str, incoming: str) -> None:
+    """Give the incoming table the comment and the properties users have set on the old one."""
+    def literal(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    comment = spark.catalog.getTable(f"{quoted(database)}.{quoted(name)}").description
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {incoming} IS {literal(comment)}")
+    kept = [
+        f"{literal(r.key)} = {literal(r.value)}" for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        if not r.key.startswith(("spark.sql.", "view.")) and r.key not in KEPT_BY_CATALOG
+    ]
+    if kept:
+        spark.sql(f"ALTER TABLE {incoming} SET TBLPROPERTIES ({', '.join(kept)})")
+
+
 def attempt(name: str, step: Callable[[], Loaded]) -> Loaded:
     try:
         return step()

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tablewright import (
     file_manifest, ingest, key_relationships, column_catalog, load_folder, load_table, load_tables, normalize_all,
-    normalize_and_load, normalize_sheets, read_table, refresh_database, relationship_document, scan_tables,
-    write_relationships,
+    normalize_and_load, normalize_sheets, read_table, refresh_database, relationship_document, scan_csv, scan_tables,
+    write_csv, write_relationships,
 )
 from tablewright.functions.text import path_extension, path_stem, table_name
+from tablewright.operators.catalog import base_tables
 from tablewright.plans.ingest import missing_files
 from tablewright.sinks.tables import load_counts
 
@@ -170,3 +171,43 @@ def test_ingest(spark, database, tmp_path):
     assert done.relationships.count() == 0 and done.views.count() == 0
     tables = {n: spark.table(f"{database}.{n}") for n in stored(spark, database)}
     assert key_relationships(column_catalog(tables, rows=False)).count() == 3
+
+
+def test_a_failed_swap_leaves_the_old_rows(spark, database, monkeypatch):
+    from tablewright.sinks import tables as sink
+
+    load_table(spark.range(3), database, "x")
+    spark.sql(f"COMMENT ON TABLE {database}.x IS 'what''s here'")
+    spark.sql(f"ALTER TABLE {database}.x SET TBLPROPERTIES ('team' = 'a''b')")
+    assert load_table(spark.range(5), database, "x").rows == 5
+    assert spark.catalog.getTable(f"{database}.x").description == "what's here"
+    assert spark.sql(f"SHOW TBLPROPERTIES {database}.x ('team')").first().value == "a'b"
+    real, calls = sink._rename, []
+
+    def broken(session, old, new):
+        calls.append(new)
+        if len(calls) == 2:
+            raise ValueError("no rename")
+        real(session, old, new)
+
+    monkeypatch.setattr(sink, "_rename", broken)
+    done = load_table(spark.range(9), database, "x")
+    assert not done.success and spark.table(f"{database}.x").count() == 5
+    assert [t.name for t in spark.catalog.listTables(database)] == ["x"]
+
+
+def test_an_interrupted_swap_is_finished_by_the_next_load(spark, database):
+    load_table(spark.range(3), database, "x")
+    spark.sql(f"ALTER TABLE {database}.x RENAME TO {database}.x__replaced")
+    assert base_tables(spark, database) == {}
+    assert load_table(spark.range(2), database, "x", "append").rows == 5
+
+
+def test_record_caps_do_not_lose_rows(spark, tmp_path):
+    old = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        write_csv(spark.range(100).coalesce(2), str(tmp_path / "c.csv"))
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", old)
+    assert scan_csv(spark, str(tmp_path / "c.csv")).count() == 100

@@ -184,3 +184,21 @@ def test_plans_have_no_python_and_read_only_what_they_need(spark, tmp_path):
     ).write.parquet(path)
     plan = normalize(spark.read.parquet(path)).data._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+LISTED = [
+    "2024", "Jan 2024", "1/2024", "05/Jan/2024", "5-Jan-24", "20240105T101112", "20240105 101112", "2024-01-05 10:00:00 UTC",
+    "2024-01-05 10:00:00+02", "Fri, 05 Jan 2024", "Friday, January 5, 2024", "january 2024", "2024-01-05T10:00:00 GMT",
+]
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_dates_read_as_pandas_reads_them(spark, first):
+    """Each text as the first value of its column, and behind one that is no date."""
+    pandas = pytest.importorskip("pandas")
+    for part in (LISTED[:5], LISTED[5:10], LISTED[10:]):
+        rows = [tuple(part)] if first else [("junk",) * len(part), tuple(part)]
+        df = spark.createDataFrame(rows, ", ".join(f"d{i}_date string" for i in range(len(part))))
+        got = normalize(df).data.collect()[-1]
+        for text, value in zip(part, got):
+            assert value == pandas.Timestamp(text).strftime("%Y-%m-%d"), (text, value)

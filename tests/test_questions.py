@@ -34,10 +34,14 @@ def test_safe_number(spark):
 
 def test_cap_follows_the_text(spark):
     df = spark.range(20)
-    assert q.capped(df, "SELECT * FROM t", 5).count() == 5
-    assert q.capped(df, "SELECT * FROM t LIMIT 12", 5).count() == 20
-    assert q.capped(df, "select * from t\nlimit 12 ;", 5).count() == 20
-    assert q.capped(df, "SELECT * FROM (SELECT * FROM t LIMIT 12)", 5).count() == 5
+    for own in ("", " -- limit 5", " /* limit 5 */"):
+        assert q.capped(df, f"SELECT * FROM range(20){own}", 5).count() == 5
+    assert q.capped(df, "SELECT * FROM range(20) WHERE 'x limit 5' <> '' ", 5).count() == 5
+    assert q.capped(df, "SELECT * FROM (SELECT * FROM range(20) LIMIT 12)", 5).count() == 5
+    assert q.capped(df, "WITH t AS (SELECT * FROM range(20) LIMIT 3) SELECT * FROM t", 5).count() == 5
+    for own in ("LIMIT 12", "\nlimit 12 ;", "ORDER BY id LIMIT 3 + 4", "LIMIT 5 OFFSET 2", "LIMIT 4 -- all"):
+        assert q.capped(df, f"SELECT * FROM range(20) {own}", 5).count() == 20
+    assert q.capped(df, "WITH t AS (SELECT * FROM range(20)) SELECT * FROM t ORDER BY id LIMIT 4", 5).count() == 20
 
 
 def test_digest_layout(spark):
@@ -59,12 +63,20 @@ def test_answers(spark):
     assert done.success and done.row_count == 3 and done.data[0] == {"g": "x", "n": 2}
     assert done.digest.startswith("[")
     big = answer(spark, "rows?", to_sql=lambda text: "SELECT id FROM range(5000)")
-    assert big.row_count == 1000 and len(big.data) == 100
+    assert big.row_count == 5000 and len(big.data) == 100 and "Total rows: 5000" in big.digest
     own = answer(spark, "SELECT id FROM range(5000) LIMIT 2000")
     assert own.row_count == 2000
+    cut = answer(spark, "SELECT id FROM range(5000)", cap=7)
+    assert cut.row_count == 5000 and len(cut.data) == 7
+    # names hold for one question, and do not replace a view of the session
+    spark.range(3).createOrReplaceTempView("people")
+    assert answer(spark, "SELECT count(*) AS n FROM people", tables=tables).data == [{"n": people(spark).count()}]
+    assert spark.table("people").count() == 3
+    spark.catalog.dropTempView("people")
+    assert not answer(spark, "SELECT * FROM people").success
     assert answer(spark, "q", to_sql=lambda text: "SELECT 1", mode="sql").sql == "SELECT 1"
     assert not answer(spark, "").success
-    assert answer(spark, "q", to_sql=lambda text: None).error == "Failed to generate SQL query"
+    assert answer(spark, "q", to_sql=lambda text: None).error == "No SQL came back for the question."
     bad = answer(spark, "SELECT nothing FROM nowhere")
-    assert "Query execution failed" in bad.error and bad.sql == "SELECT nothing FROM nowhere"
-    assert "Query execution failed" in answer(spark, "SELECT CAST('x' AS INT)").error
+    assert "The query did not run" in bad.error and bad.sql == "SELECT nothing FROM nowhere"
+    assert "The query did not run" in answer(spark, "SELECT CAST('x' AS INT)").error

@@ -9,7 +9,7 @@ from tablewright import (
     relationship_view, relationships, schema_document, typed_relationships, viewable, with_row_counts,
 )
 from tablewright.operators.catalog import schema_context
-from tablewright.operators.relations import KEY_WORDS, LOCATION_NAMES, view_counts
+from tablewright.operators.relations import typed_groups, KEY_WORDS, LOCATION_NAMES, view_counts
 
 
 def table(spark, schema, rows=()):
@@ -84,6 +84,9 @@ def test_against_brute_force(spark):
     assert sorted(got) == sorted(typed)
     got = values(location_relationships(catalog, found).select("from_table", "from_column", "to_table", "to_column"))
     assert sorted(got) == sorted(place)
+    named = values(location_relationships(catalog, found, ["t03"]).select("from_table", "from_column", "to_table", "to_column"))
+    assert sorted(named) == sorted(r for r in place if "t03" in (r[0], r[2]))
+    assert typed_groups(catalog).agg({"tables": "count"}).first()[0] <= catalog.count()
     plan = relationships(catalog)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
@@ -107,7 +110,7 @@ def test_view_rows_equal_the_plain_join(spark, limit):
 def test_capped_view_cuts_both_sides_before_the_join(spark):
     a = spark.range(5000).selectExpr("id % 10 AS k", "id AS n")
     b = spark.range(5000).selectExpr("id % 10 AS k", "id AS m")
-    plan = relationship_view(a, b, "k")._jdf.queryExecution().executedPlan().toString()
+    plan = relationship_view(a, b, "k", limit=1000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2 and "TakeOrderedAndProject" in plan
 
 
@@ -138,7 +141,8 @@ def test_views_in_a_database(spark, database):
 def test_schema_document(spark):
     wide = table(spark, ", ".join(f"c{i} long" for i in range(12)), [tuple(range(12))] * 1234)
     catalog = column_catalog({"w": wide, "n": table(spark, "a string")})
-    text = schema_context(catalog, "db")
+    assert "    - c11 (BIGINT)\n\n" in schema_context(catalog, "db")
+    text = schema_context(catalog, "db", columns=10)
     assert text.startswith("Available tables:\n\nTable: db.n\n  Rows: 0\n  Columns:\n    - a (STRING)\n\nTable: db.w\n")
     assert "  Rows: 1,234\n" in text and "    - c9 (BIGINT)\n    ... and 2 more columns\n\n" in text
     assert "c10" not in text
