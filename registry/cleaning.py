@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.tables import COLUMNS, NORMAL, columns_of, given
-from tablewright import Normalized, normalize, normalize_all, normalize_sheets
+from tablewright import Normalized, normalize, normalize_all, normalize_sheets, scan_csv, write_sheets
+from tablewright.sources.files import scratch_path
 
 
 def _reports(tables: dict[str, Normalized]) -> DataFrame:
@@ -290,6 +291,24 @@ def s3_sheet_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reports(normalize_sheets(_sheets(spark, sf_dir), "book").tables)
 
 
+@query("""
+    SELECT 'book_Parts_All' AS "table", p_partkey AS key, p_retailprice AS amount, p_name AS label FROM part
+    UNION ALL SELECT 'book_Open_Orders', o_orderkey, o_totalprice, NULL FROM orders WHERE o_orderstatus <> 'P'
+""")
+def s3_written_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheets that stay, written as delimited files and read back."""
+    folder = scratch_path(spark, "s3")
+    done = write_sheets(_sheets(spark, sf_dir), folder, "book")
+    shown = {"book_Parts_All": ("p_partkey", "p_retailprice", "p_name"), "book_Open_Orders": ("o_orderkey", "o_totalprice", None)}
+    read = [
+        normalize(scan_csv(spark, f"{folder}/{n}.csv"), untyped=True).data.select(
+            F.lit(n).alias("table"), F.col(shown[n][0]).alias("key"), F.col(shown[n][1]).alias("amount"),
+            (F.col(shown[n][2]) if shown[n][2] else F.lit(None).cast("string")).alias("label"))
+        for n in done.tables
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
 @query("""
     SELECT 'book_Parts_All' AS "table", 'p_partkey' AS first_column, count(*) AS rows FROM part
     UNION ALL SELECT 'book_Open_Orders', 'o_orderkey', count(*) FROM orders WHERE o_orderstatus <> 'P'

@@ -11,7 +11,7 @@ from registry import query
 from registry.tables import NORMAL, given, new_database
 from tablewright import (
     ingest, key_relationships, column_catalog, load_folder, load_table, normalize, normalize_and_load,
-    refresh_database, relationship_document, with_row_counts, write_csv,
+    refresh_database, with_row_counts, write_csv, write_relationships,
 )
 from tablewright.operators.catalog import base_tables
 from tablewright.sinks.tables import report
@@ -124,7 +124,7 @@ def s7_folder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def s10_relationship_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The JSON document of a set, written and read back."""
+    """The metadata of a set, written as JSON lines and read back."""
     customer = given(spark, sf_dir, "customer")
     orders = given(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderstatus", "c_nationkey"
@@ -136,18 +136,18 @@ def s10_relationship_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     found = key_relationships(column_catalog({n: t.data for n, t in tables.items()}, rows=False))
     path = scratch_path(spark, "s10")
-    relationship_document(reports, found).write.text(path)
+    write_relationships(reports, found, path)
     shape = (
-        "sheets map<string, struct<path: string, rows: bigint, cols: int, columns: array<string>>>, "
-        "relationships array<struct<from_table: string, from_column: string, to_table: string, to_column: string, "
-        "relationship_type: string, confidence: string>>"
-    )
-    document = spark.read.text(path).select(F.from_json("value", shape).alias("d")).select("d.*")
-    return document.select("sheets", F.explode("relationships").alias("r")).select(
-        "r.from_table", "r.from_column", "r.to_table", "r.to_column", "r.confidence",
-        F.col("sheets")[F.col("r.from_table")]["rows"].alias("from_rows"),
-        F.col("sheets")[F.col("r.to_table")]["rows"].alias("to_rows"),
+        "sheet struct<table: string, path: string, rows: bigint, cols: int, columns: array<string>>, "
+        "relationship struct<from_table: string, from_column: string, to_table: string, to_column: string, "
+        "relationship_type: string, confidence: string>"
     )
+    lines = spark.read.text(path).select(F.from_json("value", shape).alias("d")).select("d.*")
+    rows = lines.filter("sheet IS NOT NULL").select("sheet.table", "sheet.rows")
+    related = lines.filter("relationship IS NOT NULL").select("relationship.*")
+    related = related.join(rows.withColumnsRenamed({"table": "from_table", "rows": "from_rows"}), "from_table")
+    return related.join(rows.withColumnsRenamed({"table": "to_table", "rows": "to_rows"}), "to_table").select(
+        "from_table", "from_column", "to_table", "to_column", "confidence", "from_rows", "to_rows")
 
 
 @query("""

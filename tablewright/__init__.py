@@ -12,9 +12,9 @@ from tablewright.operators.relations import (
     with_row_counts,
 )
 from tablewright.operators.views import create_views, relationship_view
-from tablewright.plans.ingest import analyze, ingest, normalize_and_load, normalize_all, normalize_sheets
+from tablewright.plans.ingest import analyze, ingest, normalize_and_load, normalize_all, normalize_sheets, write_sheets
 from tablewright.sinks.csv_files import csv_lines, write_csv
-from tablewright.sinks.metadata import relationship_document, write_relationships
+from tablewright.sinks.metadata import relationship_document, relationship_lines, write_relationships
 from tablewright.sinks.tables import load_folder, load_table, load_tables, refresh_database
 from tablewright.sources.csv_files import scan_csv
 from tablewright.sources.files import file_manifest, not_landed
@@ -25,7 +25,7 @@ __all__ = [
     "database_catalog", "digest", "file_manifest", "infer_types", "ingest", "key_relationships",
     "load_folder", "load_table", "load_tables", "location_relationships", "normalize",
     "normalize_all", "normalize_and_load", "normalize_sheets", "not_landed", "read_table",
-    "refresh_database", "relationship_document", "relationship_view", "relationships", "scan_csv",
+    "refresh_database", "relationship_document", "relationship_lines", "relationship_view", "relationships", "scan_csv",
     "scan_tables", "schema_document", "typed_relationships", "viewable", "with_row_counts",
-    "write_csv", "write_relationships",
+    "write_csv", "write_relationships", "write_sheets",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 NO_DESCRIPTION = "No description"  # fixed value, as are the labels in schema_document
 UNFINISHED = ("__incoming", "__replaced")  # tables a load has not put in place yet
+LANDED = "files__landed"  # the table of files that a database was loaded from
 CATALOG_SCHEMA = (
     "table_name string, table_ord int, ordinal int, column_name string, data_type string, description string"
 )
@@ -54,7 +55,7 @@ def base_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The stored tables of a database by name. Views are left out: they would relate to their own parts."""
     listed = [
         t for t in spark.catalog.listTables(database)
-        if not t.isTemporary and t.tableType != "VIEW" and not t.name.endswith(UNFINISHED)
+        if not t.isTemporary and t.tableType != "VIEW" and not t.name.endswith((*UNFINISHED, LANDED))
     ]
     return {t.name: spark.table(f"{database}.`{t.name}`") for t in sorted(listed, key=lambda t: t.name)}
 

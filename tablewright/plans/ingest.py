@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablewright.failures import FAILURES
-from tablewright.operators.catalog import base_tables, column_catalog, database_catalog
+from tablewright.functions.text import quoted
+from tablewright.operators.catalog import LANDED, base_tables, column_catalog, database_catalog
 from tablewright.operators.normalize import Normalized, normalize
 from tablewright.operators.relations import key_relationships, relationships
 from tablewright.operators.views import create_views
-from tablewright.sinks.tables import TABLES_AT_ONCE, load_counts, load_folder, refresh_database
-from tablewright.sources.files import file_manifest, not_landed, path_exists
-from tablewright.sources.tables import is_text_source, read_table
+from tablewright.sinks.csv_files import write_csv
+from tablewright.sinks.metadata import write_relationships
+from tablewright.sinks.tables import TABLES_AT_ONCE, ensure_database, load_counts, load_folder, load_table, refresh_database
+from tablewright.sources.files import file_manifest, not_landed, path_exists, qualified
+from tablewright.sources.tables import is_text_source, read_table, table_paths
 
 STATUS_SCHEMA = "table string, ok boolean, error string"
 
@@ -28,6 +33,7 @@ class NormalizedSet(NamedTuple):
 class SheetSet(NamedTuple):
     tables: dict[str, Normalized]
     relationships: DataFrame | None
+    status: DataFrame | None = None  # (sheet, table, state, error); state is kept, empty or failed
 
 
 class Analysis(NamedTuple):
@@ -62,17 +68,49 @@ def normalize_all(
 def normalize_sheets(
     sheets: dict[str, DataFrame], base: str | None = None, order_by: dict[str, Iterable[str]] | None = None
 ) -> SheetSet:
-    """Normalize a named set: empty tables leave it, all-null rows and columns go, key names are related."""
-    tables = {}
-    for sheet, table in sheets.items():
-        result = normalize(table, order_by=(order_by or {}).get(sheet), drop_empty=True)
-        if not result.is_empty:
-            name = sheet.replace(" ", "_").replace("/", "_")
-            tables[f"{base}_{name}" if base else name] = result
-    if not tables:
+    """Normalize a named set side by side: empty tables leave it, all-null rows and columns go, key names are related."""
+    if not sheets:
         return SheetSet({}, None)
+
+    def step(sheet: str) -> Normalized | str:
+        try:
+            return normalize(sheets[sheet], order_by=(order_by or {}).get(sheet), drop_empty=True)
+        except FAILURES as problem:
+            return str(problem)
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        results = dict(zip(sheets, pool.map(step, sheets)))
+    tables, status = {}, []
+    for sheet, result in results.items():
+        name = sheet.replace(" ", "_").replace("/", "_")
+        name = f"{base}_{name}" if base else name
+        if isinstance(result, str):
+            status.append((sheet, name, "failed", result))
+        else:
+            status.append((sheet, name, "empty" if result.is_empty else "kept", None))
+            if not result.is_empty:
+                tables[name] = result
+    spark = next(iter(sheets.values())).sparkSession
+    reported = spark.createDataFrame(status, "sheet string, table string, state string, error string")
+    if not tables:
+        return SheetSet({}, None, reported)
     catalog = column_catalog({n: t.data for n, t in tables.items()}, rows=False)
-    return SheetSet(tables, key_relationships(catalog))
+    return SheetSet(tables, key_relationships(catalog), reported)
+
+
+def write_sheets(
+    sheets: dict[str, DataFrame], folder: str, base: str | None = None, order_by: dict[str, Iterable[str]] | None = None
+) -> SheetSet:
+    """Normalize a set and write it: `<table>.csv` each, and the metadata as `<base>_relationships.json`."""
+    done = normalize_sheets(sheets, base, order_by)
+    if not done.tables:
+        return done
+    paths = {n: f"{folder.rstrip('/')}/{n}.csv" for n in done.tables}
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(lambda n: write_csv(done.tables[n].data, paths[n]), paths))
+    reports = reduce(DataFrame.unionByName, [t.report(n).withColumn("path", F.lit(paths[n])) for n, t in done.tables.items()])
+    write_relationships(reports, done.relationships, f"{folder.rstrip('/')}/{base or 'sheets'}_relationships.json")
+    return done
 
 
 def normalize_and_load(spark: SparkSession, tables: dict[str, DataFrame | str], database: str) -> DataFrame:
@@ -107,8 +145,26 @@ def missing_files(spark: SparkSession, source: str, landed: str) -> DataFrame:
 def ingest(
     spark: SparkSession, folder: str, database: str, limit: int | None = None
 ) -> tuple[DataFrame, Analysis]:
-    """Folder to related tables: normalize and load every file, then analyze and publish views."""
+    """Folder to related tables: normalize and load every file, then analyze and publish views.
+
+    The database remembers the files it holds by path, length and time. Those are not loaded again; a table of which
+    any file is new or changed is. The report names the tables that were loaded.
+    """
+    if not path_exists(spark, folder):
+        raise ValueError(f"Folder not found: {folder}")
+    ensure_database(spark, database)
+    key = ["path", "length", "modified"]
+    files = file_manifest(spark, folder).select("entry", *key)
+    held = spark.table(f"{quoted(database)}.{LANDED}") if spark.catalog.tableExists(f"{database}.{LANDED}") else None
+    fresh = files if held is None else files.join(held, key, "left_anti")
+    root = qualified(spark, folder).rstrip("/")
+    changed = {f"{root}/{r.entry}" for r in fresh.select("entry").distinct().collect()}
     reported = load_folder(
-        spark, folder, database, prepare=lambda table, untyped: normalize(table, untyped=untyped).data
+        spark, folder, database, prepare=lambda table, untyped: normalize(table, untyped=untyped).data, only=changed
     )
+    failed = {r.table for r in reported.filter("NOT success").collect()}
+    lost = [p for n, p in table_paths(spark, folder).items() if n in failed]
+    if changed:
+        kept = files.filter(~F.concat(F.lit(root + "/"), F.col("entry")).isin(lost)).select(*key)
+        load_table(kept, database, LANDED)
     return reported, analyze(spark, database, limit=limit)

@@ -1,32 +1,42 @@
-"""Relationship metadata as JSON: `{sheets: {...}, relationships: [...]}`."""
+"""Relationship metadata as JSON: one line per sheet and per relationship, or all of it as one document."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def relationship_document(reports: DataFrame, found: DataFrame) -> DataFrame:
-    """One row with the JSON text; no row when nothing is related.
+def _sheet() -> Column:
+    return F.struct("table", "path", "rows", "cols", "columns")
+
+
+def _relationship() -> Column:
+    return F.struct("from_table", "from_column", "to_table", "to_column", "relationship_type", "confidence")
+
 
-    `reports` is `(table, path, rows, cols, columns)`. Both inputs are metadata: one entry per
-    table and per relationship.
+def relationship_lines(reports: DataFrame, found: DataFrame) -> DataFrame:
+    """`{"sheet": {...}}` and `{"relationship": {...}}`, one line each.
+
+    `reports` is `(table, path, rows, cols, columns)`.
     """
-    sheet = F.struct(F.col("table"), F.struct("path", "rows", "cols", "columns"))
-    sheets = reports.agg(F.map_from_entries(F.array_sort(F.collect_list(sheet))).alias("sheets"))
-    entries = found.agg(
-        F.array_sort(F.collect_list(F.struct(
-            "from_table", "from_column", "to_table", "to_column", "relationship_type", "confidence"
-        ))).alias("relationships")
-    ).filter(F.size("relationships") > 0)
-    parts = sheets.select("sheets", F.lit(1).alias("one")).join(entries.withColumn("one", F.lit(1)), "one")
-    return parts.select(F.to_json(F.struct("sheets", "relationships")).alias("value"))
+    sheets = reports.select(F.to_json(F.struct(_sheet().alias("sheet"))).alias("value"))
+    return sheets.unionByName(found.select(F.to_json(F.struct(_relationship().alias("relationship"))).alias("value")))
+
+
+def relationship_document(reports: DataFrame, found: DataFrame) -> DataFrame:
+    """One row with all of it as `{sheets: {...}, relationships: [...]}`; no row when nothing is related."""
+    parts = reports.select(_sheet().alias("sheet")).unionByName(
+        found.select(_relationship().alias("relationship")), allowMissingColumns=True)
+    sheets = F.transform(F.array_sort(F.collect_list("sheet")), lambda s: F.struct(
+        s["table"].alias("key"), F.struct(*[s[c].alias(c) for c in ("path", "rows", "cols", "columns")]).alias("value")))
+    both = parts.agg(
+        F.map_from_entries(sheets).alias("sheets"), F.array_sort(F.collect_list("relationship")).alias("relationships"))
+    return both.filter(F.size("relationships") > 0).select(F.to_json(F.struct("sheets", "relationships")).alias("value"))
 
 
 def write_relationships(reports: DataFrame, found: DataFrame, path: str) -> bool:
-    """Write the document; nothing is written when nothing is related."""
-    document = relationship_document(reports, found)
-    if document.isEmpty():
+    """Write the lines; nothing is written when nothing is related."""
+    if found.isEmpty():
         return False
-    document.write.mode("overwrite").text(path)
+    relationship_lines(reports, found).write.mode("overwrite").text(path)
     return True

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -139,8 +139,9 @@ def load_folder(
     database: str,
     disposition: str = TRUNCATE,
     prepare: Callable[[DataFrame, bool], DataFrame] | None = None,
+    only: Collection[str] | None = None,
 ) -> DataFrame:
-    """Load every readable file of a folder under the name derived from its path.
+    """Load every readable file of a folder, or the paths in `only`, under the name derived from its path.
 
     `prepare(table, untyped)` turns a scan into what is stored; by default text cells are typed.
     """
@@ -155,6 +156,7 @@ def load_folder(
     paths = table_paths(spark, folder)
     if not paths:
         raise ValueError(f"No tables found in {folder}")
+    paths = {n: p for n, p in paths.items() if only is None or p in only}
     ensure_database(spark, database)
 
     def step(name: str, path: str) -> Loaded:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablewright import (
     file_manifest, ingest, key_relationships, column_catalog, load_folder, load_table, load_tables, normalize_all,
     normalize_and_load, normalize_sheets, read_table, refresh_database, relationship_document, scan_csv, scan_tables,
-    write_csv, write_relationships,
+    write_csv, write_relationships, write_sheets,
 )
 from tablewright.functions.text import path_extension, path_stem, table_name
 from tablewright.operators.catalog import base_tables
@@ -140,7 +140,13 @@ def test_sheets(spark, tmp_path):
     assert text["relationships"][0]["to_table"] == "book_Other"
     out = str(tmp_path / "rel.json")
     assert write_relationships(reports, done.relationships, out)
-    assert json.loads(spark.read.text(out).first().value) == text
+    lines = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert [x["relationship"] for x in lines if "relationship" in x] == text["relationships"]
+    assert {x["sheet"].pop("table"): x["sheet"] for x in lines if "sheet" in x} == text["sheets"]
+    assert sorted(r.state for r in done.status.collect()).count("kept") == 2
+    written = write_sheets(sheets, str(tmp_path / "set"), "book")
+    assert values(scan_csv(spark, str(tmp_path / "set" / "book_Other.csv"))) == [("1", "2")]
+    assert spark.read.text(str(tmp_path / "set" / "book_relationships.json")).count() == 3 and len(written.tables) == 2
     none = done.relationships.limit(0)
     assert not write_relationships(reports, none, str(tmp_path / "none.json"))
     assert normalize_sheets({"v": sheets["Void/1"]}).relationships is None
@@ -211,3 +217,18 @@ def test_record_caps_do_not_lose_rows(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxRecordsPerFile", old)
     assert scan_csv(spark, str(tmp_path / "c.csv")).count() == 100
+
+
+def test_a_second_ingest_loads_what_is_new(spark, database, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a_id,v\n1,2\n")
+    (folder / "b.csv").write_text("a_id,w\n1,x\n")
+    first, done = ingest(spark, str(folder), database)
+    assert sorted(r.table for r in first.collect()) == ["a", "b"] and done.views.count() == 1
+    again, _ = ingest(spark, str(folder), database)
+    assert again.count() == 0 and stored(spark, database) == ["a", "b", "files__landed"]
+    (folder / "b.csv").write_text("a_id,w\n1,x\n2,yy\n")
+    (folder / "c.csv").write_text("k\n1\n")
+    more, _ = ingest(spark, str(folder), database)
+    assert sorted((r.table, r.rows) for r in more.collect()) == [("b", 2), ("c", 1)]
