@@ -51,18 +51,22 @@ def column_catalog(
     return catalog.join(row_counts(tables, known_rows), "table_name") if rows else catalog
 
 
-def base_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+def base_tables(spark: SparkSession, database: str, listed: list | None = None) -> dict[str, DataFrame]:
     """The stored tables of a database by name. Views are left out: they would relate to their own parts."""
     listed = [
-        t for t in spark.catalog.listTables(database)
+        t for t in (spark.catalog.listTables(database) if listed is None else listed)
         if not t.isTemporary and t.tableType != "VIEW" and not t.name.endswith((*UNFINISHED, LANDED))
     ]
     return {t.name: spark.table(f"{database}.`{t.name}`") for t in sorted(listed, key=lambda t: t.name)}
 
 
-def database_catalog(spark: SparkSession, database: str) -> DataFrame:
-    described = {t.name: t.description for t in spark.catalog.listTables(database) if t.description}
-    return column_catalog(base_tables(spark, database), described)
+def database_catalog(
+    spark: SparkSession, database: str, known_rows: dict[str, int | None] | None = None
+) -> DataFrame:
+    """Catalog of the stored tables; those whose rows are known, from a load, are not counted again."""
+    listed = spark.catalog.listTables(database)
+    described = {t.name: t.description for t in listed if t.description}
+    return column_catalog(base_tables(spark, database, listed), described, known_rows=known_rows)
 
 
 def column_list(catalog: DataFrame) -> DataFrame:

@@ -125,13 +125,14 @@ def normalize_and_load(spark: SparkSession, tables: dict[str, DataFrame | str],
 
 
 def analyze(
-    spark: SparkSession, database: str, analyze_only: bool = False, limit: int | None = None
+    spark: SparkSession, database: str, analyze_only: bool = False, limit: int | None = None,
+    known_rows: dict[str, int | None] | None = None,
 ) -> Analysis:
     """Catalog, relationships and, unless `analyze_only`, a view for each related pair."""
-    tables = base_tables(spark, database)
-    found = relationships(column_catalog(tables, rows=False))
+    catalog = database_catalog(spark, database, known_rows)
+    found = relationships(column_catalog(base_tables(spark, database), rows=False))
     views = None if analyze_only else create_views(spark, database, found, limit)
-    return Analysis(database_catalog(spark, database), found, views)
+    return Analysis(catalog, found, views)
 
 
 def missing_files(spark: SparkSession, source: str, landed: str) -> DataFrame:
@@ -162,9 +163,10 @@ def ingest(
     reported = load_folder(
         spark, folder, database, prepare=lambda table, untyped: normalize(table, untyped=untyped).data, only=changed
     )
-    failed = {r.table for r in reported.filter("NOT success").collect()}
+    loads = reported.collect()
+    failed = {r.table for r in loads if not r.success}
     lost = [p for n, p in table_paths(spark, folder).items() if n in failed]
     if changed:
         kept = files.filter(~F.concat(F.lit(root + "/"), F.col("entry")).isin(lost)).select(*key)
         load_table(kept, database, LANDED)
-    return reported, analyze(spark, database, limit=limit)
+    return reported, analyze(spark, database, limit=limit, known_rows={r.table: r.rows for r in loads if r.success})

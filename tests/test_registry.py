@@ -102,3 +102,18 @@ def test_one_value_holding_a_third_of_the_rows(spark, tmp_path):
 
 def test_scratch_is_shared_or_refused(spark):
     assert scratch_path(spark, "x", ".csv").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_unnamed_columns_are_looked_at_in_one_scan(orders):
+    together = pf._first_together(orders, orders.columns, ["o_orderkey"], 10)
+    assert plan(together).count("FileScan") == 1
+    apart = pf._first_of_each(orders, orders.columns, ["o_orderkey"], 10)
+    assert sorted(map(tuple, together.collect())) == sorted(map(tuple, apart.collect()))
+
+
+def test_known_counts_are_not_counted_again(orders):
+    from tablewright import column_catalog
+
+    tables = {"a": orders, "b": orders.limit(7)}
+    assert plan(column_catalog(tables, known_rows={"a": 200, "b": 7})).count("FileScan") == 0
+    assert {r.num_rows for r in column_catalog(tables, known_rows={"a": 200}).collect()} == {200, 7}
