@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.names import file_header
 from tablewright.functions.text import missing_to_null
+from tablewright.sources.files import stored
 
 RAW_RECORD = "_corrupt_record"
 # a quoted field opens after a comma or at the start; possessive repeats keep long cells off the stack
@@ -64,8 +65,12 @@ def _records(lines: DataFrame) -> DataFrame:
     it or leaves it, and so does each block of a file as a whole: states are counted through within blocks, side by
     side, and then from block to block. A record belongs to the block it begins in.
     """
-    out, inside = _opens(F.col("value")), _stays_open(F.col("value"))
-    marked = lines.select("*", (out & ~inside).cast("int").alias("flip"), F.when(out == inside, out.cast("int")).alias("fixed"))
+    out, inside = F.col("out"), F.col("inside")
+    marked = lines.select("*", _opens(F.col("value")).alias("out"), _stays_open(F.col("value")).alias("inside"))
+    # the patterns are matched once; what follows reads the lines several times
+    marked = stored(marked, "lines").select(
+        "value", "file", "block", "idx", (out & ~inside).cast("int").alias("flip"),
+        F.when(out == inside, out.cast("int")).alias("fixed"))
     here = Window.partitionBy("file", "block").orderBy("idx")
     flips = F.sum("flip").over(here)
     marked = marked.withColumn("flips", flips).withColumn(
@@ -137,7 +142,7 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
         if not all_open:
             lines = lines.join(parts.filter("open").select("file"), "file", "left_semi")
         parsed = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), CSV_OPTIONS)
-        joined = _records(lines).select("file", parsed.alias("r")).select("r.*", "file")
+        joined = stored(_records(lines), "records").select("file", parsed.alias("r")).select("r.*", "file")
         rows = joined
         if not all_open:
             rows = by_line.join(parts.filter("open").select("file"), "file", "left_anti").unionByName(joined)

@@ -47,6 +47,13 @@ def scratch_path(spark: SparkSession, label: str, extension: str = "") -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder once, for steps that read them several times."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def file_manifest(
     spark: SparkSession,
     folder: str,
