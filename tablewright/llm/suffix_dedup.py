@@ -210,8 +210,22 @@ def _counted(strings: DataFrame) -> DataFrame:
     windows = strings.select("least", "digest", "string").mapInArrow(
         run, "least long, digest long, at long, one long, two long")
     often = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
-    found = windows.join(often, ["one", "two"], "left_semi")
-    return found.select("least", "digest", F.col("at").alias("first"), (F.col("at") + 1).alias("last"))
+    found = windows.join(often, ["one", "two"], "left_semi").groupBy("least", "digest").agg(
+        F.sort_array(F.collect_set("at")).alias("at"))
+
+    def together(batches):
+        for batch in batches:
+            at = batch.column("at").flatten().to_numpy()
+            owner = np.repeat(np.arange(len(batch)), [len(x) for x in batch.column("at")])
+            first = np.ones(len(at), bool)
+            first[1:] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])
+            last = np.append(first[1:], True)
+            rows = pa.array(owner[first])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("least").take(rows), batch.column("digest").take(rows), pa.array(at[first]),
+                 pa.array(at[last] + 1)], names=["least", "digest", "first", "last"])
+
+    return found.mapInArrow(together, "least long, digest long, first long, last long")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -246,13 +260,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = cut(found.unionByName(whole), "ranges").groupBy("least", "digest").agg(
         F.collect_list(F.struct("first", "last")).alias("ranges"))
 
-    def spans(first, last):
-        return F.struct((F.col("start") + first).alias("begin"), (F.col("start") + last + LENGTH - 1).alias("end"))
-
-    part = mixed.join(found, ["least", "digest"]).select("doc_id", "mark", "start", F.explode("ranges").alias("r"))
-    part = part.select("doc_id", "mark", spans(F.col("r.first"), F.col("r.last")).alias("span"))
-    full = shared.filter("NOT mixed").select("doc_id", "mark", spans(F.lit(0), F.col("windows")).alias("span"))
-    return cut(part.unionByName(full).groupBy("doc_id", "mark").agg(F.collect_list("span").alias("spans")), "spans")
+    start, reach = F.col("start"), F.lit(LENGTH - 1)
+    part = mixed.join(found, ["least", "digest"]).select("doc_id", "mark", F.transform("ranges", lambda r: F.struct(
+        (start + r["first"]).alias("begin"), (start + r["last"] + reach).alias("end"))).alias("spans"))
+    full = shared.filter("NOT mixed").select("doc_id", "mark", F.array(F.struct(
+        start.alias("begin"), (start + F.col("windows") + reach).alias("end"))).alias("spans"))
+    return cut(part.unionByName(full).groupBy("doc_id", "mark").agg(
+        F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
 def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
