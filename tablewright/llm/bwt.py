@@ -66,11 +66,13 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum([0, *(len(s.order) for s in shards)])
     inside = np.concatenate([s.order + b for s, b in zip(shards, starts)])
     known, code = np.unique(np.concatenate([s.before for s in shards]), return_inverse=True)
+    code = code.astype(np.int32)
     low, high = (code & 0xFFFF).astype(np.uint16), (code >> 16).astype(np.uint16)
     owner = np.repeat(np.arange(len(shards), dtype=np.uint16), np.diff(starts))
-    source = np.arange(total)          # which entry of the transforms each place of the interleaving holds
-    group = np.zeros(total, np.int64)  # equal for places that agree in all bytes so far
-    common = np.full(max(total - 1, 0), depth, np.int64)
+    places = np.arange(total, dtype=np.int32)
+    source = places.copy()             # which entry of the transforms each place of the interleaving holds
+    group = np.zeros(total, np.int32)  # equal for places that agree in all bytes so far
+    common = np.full(max(total - 1, 0), depth, np.int32)
     for reach in range(0, depth, STEP):
         place = np.argsort(low[source], kind="stable")
         if len(known) > 0x10000:
@@ -78,6 +80,6 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
         symbol, group, owner = code[source[place]], group[place], owner[place]
         parted = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
         common[parted & (common == depth)] = reach
-        group = np.concatenate(([0], np.cumsum(parted)))
-        source[np.argsort(owner, kind="stable")] = np.arange(total)
+        group = np.concatenate(([0], np.cumsum(parted, dtype=np.int32)))
+        source[np.argsort(owner, kind="stable")] = places
     return inside[source], common

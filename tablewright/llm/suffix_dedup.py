@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ GRAM = 64
 SPAN = 1 << 19        # bytes that are hashed in one go
 MOST_WINDOWS = 256    # windows in a segment; longer runs (of periodic text) are cut
 CROWD = 512           # different segments of a hash that go through one merge
-MERGE_BYTES = 1 << 18  # segments that are merged together, whole hashes each, ...
+MERGE_BYTES = 48 << 10  # segments that are merged together, whole hashes each (in a size that caches hold), ...
 SHARDS = 4            # ... from so many transforms
 _rng = np.random.default_rng(7)
 _LETTERS = _rng.integers(1 << 62, size=(2, 256), dtype=np.uint64) * 2 + 1
@@ -175,15 +176,14 @@ def _merged(strings: DataFrame) -> DataFrame:
         kept = None
         for batch in batches:
             kept = batch if kept is None else pa.concat_batches([kept, batch])
-            while kept.column("string").nbytes > MERGE_BYTES:
-                least = kept.column("least").to_numpy()
-                ends = np.flatnonzero(np.diff(least)) + 1
-                filled = np.cumsum([len(x) for x in kept.column("string").to_pylist()])
-                enough = ends[filled[ends - 1] >= MERGE_BYTES] if len(ends) else ends
-                if not len(enough):
-                    break
-                yield settle(kept.slice(0, enough[0]))
-                kept = pa.concat_batches([kept.slice(enough[0])])
+            filled = np.cumsum(pc.binary_length(kept.column("string")).to_numpy())
+            at = last = 0
+            for end in np.flatnonzero(np.diff(kept.column("least").to_numpy())) + 1:
+                if last > at and filled[end - 1] - (filled[at - 1] if at else 0) > MERGE_BYTES:
+                    yield settle(kept.slice(at, last - at))
+                    at = last
+                last = int(end)
+            kept = pa.concat_batches([kept.slice(at)])
         if kept is not None and len(kept):
             yield settle(kept)
 
