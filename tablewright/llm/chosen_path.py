@@ -11,6 +11,7 @@ component of candidates all pairs are compared exactly, in blocks of bounded siz
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ TOKENS = 64           # tokens that embed a set
 LIKELY = 38           # candidates share at least so many (a pair at the bound shares 51 +- 3.2)
 LIMIT = 256           # sets in a bucket that is compared all against all
 FANOUT = 4            # tokens by which a larger bucket is split
-DEPTH = 4             # after so many tokens a bucket that is still too large is one group of candidates
+DEPTH = 6             # after so many tokens a bucket that is still too large is one group of candidates
 BLOCK_SHINGLES = 150_000
 BLOCK_SETS = 512
 FEW = 300_000         # members sent to all executors to fetch their texts; more are joined by a shuffle
@@ -76,30 +77,30 @@ def _candidates(classes: DataFrame) -> DataFrame:
     n_runs = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILARITY))
     path = F.xxhash64(F.col("step"), _token(F.col("step")))
     level = classes.select("class", "tokens", F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))).alias("step"))
-    level = level.select(path.alias("path"), "class")
+    level = level.select(path.alias("path"), "class", F.lit(None).cast("long").alias("above"))
     edges = []
     for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("least"))
+        sizes = level.groupBy("path").agg(
+            F.count(F.lit(1)).alias("size"), F.min("class").alias("least"), F.first("above").alias("above"))
         sizes = sizes.filter("size > 1")
-        met = cut(level.join(sizes, "path"), "paths")
+        met = cut(level.drop("above").join(sizes, "path"), "paths")
         small = met.filter(F.col("size") <= LIMIT).select("path", "class")
         small = small.join(classes.select("class", "n", "tokens"), "class")
         edges.append(_compare(small))
         large = met.filter(F.col("size") > LIMIT)
+        # most of the bucket above has stayed together: one group of candidates, no need to split it further
+        whole = F.coalesce(2 * F.col("size") > F.col("above"), F.lit(False)) | F.lit(depth == DEPTH)
+        edges.append(large.filter(whole).select(F.col("class").alias("a"), F.col("least").alias("b")))
+        large = large.filter(~whole)
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            edges.append(large.select(F.col("class").alias("a"), F.col("least").alias("b")))
-            break
         steps = F.transform(F.sequence(F.lit(1), F.lit(FANOUT)),
                             lambda i: F.pmod(F.xxhash64(F.col("path"), i), F.lit(TOKENS)))
         split = large.join(classes.select("class", "tokens"), "class")
-        split = split.select("path", "class", "tokens", F.explode(F.array_distinct(steps)).alias("step"))
-        level = split.select(F.xxhash64("path", "step", _token(F.col("step"))).alias("path"), "class")
-    whole = edges[0]
-    for more in edges[1:]:
-        whole = whole.unionByName(more)
-    return whole
+        split = split.select("path", "class", "tokens", "size", F.explode(F.array_distinct(steps)).alias("step"))
+        level = split.select(
+            F.xxhash64("path", "step", _token(F.col("step"))).alias("path"), "class", F.col("size").alias("above"))
+    return reduce(DataFrame.unionByName, edges)
 
 
 def _compare(rows: DataFrame) -> DataFrame:
