@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut, lean_shuffles, pieces, utf8
+from tablewright.llm.common import cut, lean_batches, lean_shuffles, pieces, utf8
 from tablewright.llm.components import components, forest
 from tablewright.llm.shingles import mix, shingle_hashes
 
@@ -221,6 +221,7 @@ def similarity_join(docs: DataFrame) -> DataFrame:
     row, with the same result. Other columns are ignored.
     """
     lean_shuffles(docs.sparkSession)
+    lean_batches(docs.sparkSession)
     rows = cut(embed(docs), "sets")
     name = F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("set1", "set2")])
     classes = rows.filter("n > 0").groupBy(name.alias("class")).agg(

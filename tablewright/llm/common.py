@@ -27,6 +27,11 @@ def lean_shuffles(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Let Python workers get texts a thousand at a time: what a worker holds stays small beside the executor's heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else unchanged; texts of ASCII alone take the byte-wise path."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
@@ -47,6 +52,7 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose texts have about `limit` bytes at most; one longer text is a slice of its own."""
     for batch in batches:
+        pa.default_memory_pool().release_unused()
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         part = np.concatenate(([0], np.cumsum(sizes)[:-1])) // limit if len(sizes) else sizes
         for start, end in runs(part):

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import pieces, within
+from tablewright.llm.common import lean_batches, pieces, within
 
 SAMPLE_ROWS = 64      # labelled rows per language that the model learns from, ...
-SAMPLE_LETTERS = 512  # ... and characters of each
+SAMPLE_LETTERS = 256  # ... and characters of each
 STRETCH = 1024        # a long text is parsed in stretches of so many characters, side by side
 UNKNOWN = "und"
 
@@ -165,12 +165,12 @@ class Parser:
         joined = [t or "" for t in texts.to_pylist()]
         sizes = np.array([len(t) for t in joined], np.int64)
         codes = np.frombuffer("".join(joined).encode("utf-32-le", "replace"), np.uint32)
-        owner = np.repeat(np.arange(len(joined)), sizes)
+        owner = np.repeat(np.arange(len(joined), dtype=np.int32), sizes)
         folded, known = fold[codes], letter[codes]
         keep = known.copy()
         keep[1:] |= known[:-1] & (owner[1:] == owner[:-1])
         has = np.bincount(owner[known], minlength=len(joined)) > 0
-        symbols, owner = self.classes[folded[keep]].astype(np.int64), owner[keep]
+        symbols, owner = self.classes[folded[keep]], owner[keep]
         count = np.bincount(owner, minlength=len(joined)) if len(owner) else np.zeros(len(joined), np.int64)
 
         parts = -(-count // STRETCH)
@@ -196,7 +196,7 @@ class Parser:
         return totals, count, has
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _parser(model: LanguageModel) -> Parser:
     return Parser(model)
 
@@ -208,6 +208,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     score is how many fewer phrases the winner needs than the next language, as a share (1.0 with one language);
     equal counts go to the first name. Columns lang_pred and score that `docs` has are replaced.
     """
+    lean_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
@@ -215,7 +216,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches):
         parser = _parser(shipped.value)
         names = np.array([*parser.names, UNKNOWN], object)
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", 3 << 19):
             totals, _, has = parser.phrases(batch.column("text"))
             if len(parser.names):
                 best = totals.argmin(axis=0)

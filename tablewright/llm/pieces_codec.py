@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tablewright.llm.common import pieces
+from tablewright.llm.common import lean_batches, pieces
 
 # fixed values of the model format: kinds of pieces, kinds of models, the marker of a space
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -126,7 +126,7 @@ def build_tokenizer(model: PieceModel):
     return tokenizer
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _tokenizer(serialized: str, threads: int):
     os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
     from tokenizers import Tokenizer
@@ -142,6 +142,7 @@ def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
 
 def _shipped(docs: DataFrame, model_file: str):
     """The tokenizer as JSON for the workers, built once from the model file."""
+    lean_batches(docs.sparkSession)
     with open(model_file, "rb") as file:
         built = build_tokenizer(parse_model(file.read()))
     return docs.sparkSession.sparkContext.broadcast(built.to_str())

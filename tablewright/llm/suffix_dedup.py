@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.bwt import build_shard, merge
-from tablewright.llm.common import cut, lean_shuffles, pieces, utf8, within
+from tablewright.llm.common import cut, lean_batches, lean_shuffles, pieces, utf8, within
 from tablewright.llm.shingles import mix
 
 LENGTH = 200
@@ -231,6 +231,7 @@ def _counted(strings: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, mark (xxhash64 of the text) and spans: (begin, end) of bytes under repeated windows, not yet united."""
     lean_shuffles(docs.sparkSession)
+    lean_batches(docs.sparkSession)
     rows = cut(_segment_rows(docs), "segments")
     hashes = rows.groupBy("least").agg(
         F.count(F.lit(1)).alias("n"), (F.min("digest") != F.max("digest")).alias("mixed"), F.max("twice").alias("twice"))
