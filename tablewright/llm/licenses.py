@@ -82,24 +82,25 @@ def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     few = known.limit(MOST_KNOWN + 1).count() <= MOST_KNOWN
     known = F.broadcast(known) if few else known
-    lines = F.col("lines")
-    units = docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
+    lines, mark = F.col("lines"), F.xxhash64("text").alias("mark")
+    units = docs.select("doc_id", mark, canonical_lines(F.col("text")).alias("lines"))
     whole = units.select(
-        "doc_id", digest(lines).alias("digest"),
-        F.size(F.filter(F.split(lines, "\n"), lambda x: F.trim(x) != "")).cast("long").alias("n_lines"))
-    single = units.select("doc_id", digest(lines).alias("whole"), F.explode(F.split(lines, "\n")).alias("line"))
-    single = single.select("doc_id", "whole", digest(F.col("line")).alias("digest"))
+        "doc_id", "mark", digest(lines).alias("digest"),
+        F.regexp_count(lines, F.lit(r"(?m)^.*[^ \n]")).cast("long").alias("n_lines"))
+    single = units.select("doc_id", "mark", F.explode(F.split(lines, "\n")).alias("line"))
+    single = single.select("doc_id", "mark", digest(F.col("line")).alias("digest"))
     notices = (
-        single.join(known, "digest").groupBy("doc_id", "whole", "license_id").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("doc_id", "whole").agg(
+        single.join(known, "digest").groupBy("doc_id", "mark", "license_id").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("doc_id", "mark").agg(
             F.sum("n").alias("n"), F.sort_array(F.collect_set("license_id")).alias("names")))
-    rows = whole.join(known, "digest", "left").alias("r")
+    rows = whole.join(known, "digest", "left")
     # a doc_id and text that occur in several rows have counted their lines together
-    copies = whole.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    copies = docs.groupBy("doc_id", mark).agg(F.count(F.lit(1)).alias("copies"))
     notices = notices.alias("x").join(
-        copies.alias("c"), F.col("x.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("x.whole") == F.col("c.digest"))
-    ).select(F.col("x.doc_id").alias("key"), "whole", (F.col("n") / F.col("copies")).cast("long").alias("n"), "names")
-    joined = rows.join(notices, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("digest") == F.col("whole")), "left")
+        copies.alias("c"), F.col("x.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("x.mark") == F.col("c.mark"))
+    ).select(F.col("x.doc_id").alias("key"), F.col("x.mark").alias("key_mark"),
+             (F.col("n") / F.col("copies")).cast("long").alias("n"), "names")
+    joined = rows.join(notices, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("mark") == F.col("key_mark")), "left")
     return joined.select(
         "doc_id", "digest", "license_id", "n_lines", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"),
         F.coalesce(F.array_join("names", ","), F.lit("")).alias("notices"))
