@@ -5,6 +5,10 @@ each with a bounded window of neighbours in that order. Similar vectors agree in
 that they come to lie side by side in some pass. Verified pairs of all passes are united to components. Windows bound
 how many partners a pass compares; inside each component all pairs are therefore compared once more, in blocks, so
 that its links are counted whole however large it is. Pairs are counted and never emitted.
+
+A pair whose windows never meet is lost only if nothing else joins its components. The more rows there are, and the
+more they crowd, the less often a pair meets in one pass. So rounds of passes with new projections go on, whatever
+their number, until those that follow join hardly any components.
 """
 
 from __future__ import annotations
@@ -20,15 +24,17 @@ from tablewright.llm.common import cut, lean_shuffles, runs
 from tablewright.llm.components import components, forest
 
 COSINE = 0.9
-PASSES = 16
-BITS = 48     # hashes that are concatenated, each the side of a random hyperplane
+PASSES = 16   # passes of a round
+RECALL = 0.999  # share of the joins between components that should be found when rounds end
+QUIET = 2     # rounds in a row that must say so
+BITS = 128    # hashes that are concatenated, each the side of a random hyperplane
 WINDOW = 24   # neighbours that follow a vector in the order of a pass
 BLOCK = 512   # vectors of a component that are compared as one block
 
 
-@functools.lru_cache(maxsize=64)
-def _planes(size: int) -> np.ndarray:
-    return np.random.default_rng(size).standard_normal((size, PASSES * BITS))
+@functools.lru_cache(maxsize=8)
+def _planes(size: int, turn: int) -> np.ndarray:
+    return np.random.default_rng([size, turn]).standard_normal((size, PASSES * BITS))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -45,14 +51,14 @@ def _by_length(batch: pa.RecordBatch, column: str):
         yield int(size), batch.take(pa.array(np.flatnonzero(sizes == size)))
 
 
-def _hashed(vectors: DataFrame) -> DataFrame:
-    """key, pass, place (length and concatenated hashes) of each distinct vector, once per pass, with the vector."""
+def _hashed(vectors: DataFrame, turn: int) -> DataFrame:
+    """key and place (pass, length and concatenated hashes) of each distinct vector, once per pass of a round."""
 
     def run(batches):
         for whole in batches:
             for at in range(0, len(whole), 2048):
                 for size, batch in _by_length(whole.slice(at, 2048), "embedding"):
-                    sides = _matrix(batch.column("embedding")) @ _planes(size) > 0
+                    sides = _matrix(batch.column("embedding")) @ _planes(size, turn) > 0
                     for p in range(PASSES):
                         bits = np.packbits(sides[:, p * BITS:(p + 1) * BITS], axis=1)
                         head = np.array([p], ">u2").tobytes() + np.array([size], ">u4").tobytes()
@@ -138,6 +144,25 @@ def _neighbours(hashed: DataFrame) -> DataFrame:
     return found.filter("b IS NOT NULL").select("a", "b").unionByName(seams)
 
 
+def _groups(distinct: DataFrame) -> DataFrame:
+    """id and root of every vector that a window has linked: rounds go on until few joins are left to find.
+
+    What is left is estimated from the joins that the last two rounds added, as a geometric series.
+    """
+    groups, joins, before, quiet, turn = None, 0, 0, 0, 0
+    while quiet < QUIET:
+        edges = _neighbours(_hashed(distinct, turn))
+        if groups is not None:
+            edges = edges.unionByName(groups.select(F.col("id").alias("a"), F.col("root").alias("b")))
+        groups = components(edges)
+        found = groups.agg(F.count(F.lit(1)) - F.count_distinct("root")).first()[0]
+        added, joins = found - joins, found
+        left = added * max(1.0, added / (before - added)) if added < before else float(added and np.inf)
+        quiet = quiet + 1 if turn and left <= (1 - RECALL) * joins else 0
+        before, turn = added, turn + 1
+    return groups
+
+
 def _count_links(members: DataFrame) -> DataFrame:
     """key and weight: rows of linked vectors of the same component (key, root, copies, embedding)."""
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
@@ -185,7 +210,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     distinct = cut(rows.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")), "vectors")
 
-    groups = components(_neighbours(_hashed(distinct))).withColumnsRenamed({"id": "key"})
+    groups = _groups(distinct).withColumnsRenamed({"id": "key"})
     members = groups.join(distinct, "key")
     weights = _count_links(members).groupBy("key").agg(F.sum("weight").alias("weight"))
     heads = members.groupBy("root").agg(F.min("least").alias("head"))

@@ -136,6 +136,25 @@ def test_vectors_against_all_pairs(spark):
     assert sorted_projections.near_duplicates(vectors.limit(0)).collect() == []
 
 
+def test_rounds_go_on_until_few_vectors_are_left(spark, monkeypatch):
+    """Pairs at cosine 0.9 in a crowd of vectors at 0.6: one pass with a small window meets few of them."""
+    monkeypatch.setattr(sorted_projections, "PASSES", 4)
+    monkeypatch.setattr(sorted_projections, "WINDOW", 6)
+    rng = np.random.default_rng(5)
+    middle, rows = rng.standard_normal(32), []
+    for i in range(1500):
+        rows.append(middle + 0.8 * rng.standard_normal(32))
+        if i < 300:
+            rows.append(rows[-1] + 0.5 * rng.standard_normal(32))
+    unit = np.array([r / np.linalg.norm(r) for r in rows])
+    near = unit @ unit.T >= 0.9
+    links = near.sum(axis=1) - 1
+    vectors = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in sorted_projections.near_duplicates(vectors).collect()}
+    assert links.sum() > 300 and all(got[i] <= n for i, n in enumerate(links))
+    assert sum(got.values()) >= 0.99 * links.sum()
+
+
 def test_urls_rules_and_parts(spark):
     cases = [
         ("http://EXAMPLE.com/en/x?q#f", "example.com", "/en/x", "example.com/en/", "block"),
