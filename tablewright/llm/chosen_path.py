@@ -214,7 +214,7 @@ def _verify(members: DataFrame) -> DataFrame:
 def similarity_join(docs: DataFrame) -> DataFrame:
     """doc_id, mark, class_id, group_id, n_links and kept for every row of `docs` (doc_id, text).
 
-    class_id is the least doc_id among rows with the same shingle set, group_id the least one that links lead to,
+    class_id is the least doc_id (null first) among rows with the same shingle set, group_id the least one that links lead to,
     n_links the number of other rows whose set has a similarity of at least 0.8 (copies included), kept whether the
     row is the one that stays of its group (doc_id = group_id and the class of least text hash). mark is the xxhash64
     of the text. Null and wordless texts link with nothing. Rows that repeat are copies of each other: each gets a
@@ -233,8 +233,11 @@ def similarity_join(docs: DataFrame) -> DataFrame:
     keyed = cut(found.join(classes.select("class", "first", "copies", "n"), "class").select(
         "class", "root", "copies", "n", F.col("first.doc_id").alias("key"), F.col("first.mark").alias("mark")), "members")
     members = F.broadcast(keyed) if keyed.count() <= FEW else keyed
-    texts = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("mark"), "text")
-    checked = cut(_verify(texts.join(members, ["key", "mark"])), "links")
+    same = F.col("doc_id").eqNullSafe(F.col("key")) & (F.xxhash64("text") == F.col("mark"))
+    # rows that repeat hold the text of their class several times
+    texts = docs.select("doc_id", "text").join(members, same).groupBy("class").agg(
+        *[F.first(c).alias(c) for c in ("root", "copies", "n", "text")])
+    checked = cut(_verify(texts), "links")
 
     groups = components(checked.select(F.col("class").alias("a"), F.col("parent").alias("b")))
     weights = checked.groupBy("class").agg(F.sum("weight").alias("weight"))

@@ -228,6 +228,21 @@ def test_similarity_join_is_exact(spark):
     assert max(links) > 5 and all(r.kept == (r.doc_id == r.group_id) for r in got if r.doc_id != 5)
 
 
+def test_similarity_join_of_rows_without_id(spark):
+    rows = corpus(6)
+    base = next(t for d, t in rows if d == 45)
+    rows += [(None, base), (None, base), (None, base + " one more"), (None, rows[0][1]), (45, base)]
+    got = chosen_path.similarity_join(frame(spark, rows)).collect()
+    group, links, sets = brute_join(rows)
+    low = [(-1 if d is None else d) for d, _ in rows]  # null comes first
+    least, first = {}, {}
+    for d, g, s in zip(low, group, sets):
+        least[g], first[s] = min(d, least.get(g, d)), min(d, first.get(s, d))
+    want = Counter((d, first[s] if s else d, least[g] if s else d, n) for d, g, n, s in zip(low, group, links, sets))
+    assert Counter(tuple(-1 if x is None else x for x in (r.doc_id, r.class_id, r.group_id)) + (r.n_links,) for r in got) == want
+    assert sum(n for (d, _), n in zip(rows, links) if d is None) > 10
+
+
 def test_similarity_join_splits_large_buckets(spark, monkeypatch):
     rng = random.Random(11)
     base = prose(rng, 120).split(" ")
