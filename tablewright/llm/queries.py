@@ -243,4 +243,4 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     calls, results = tool_calls.exchanges(messages)
     calls = calls.unionByName(tool_calls.calls_in_messages(messages))
     results = results.unionByName(tool_calls.results_in_messages(messages))
-    return tool_calls.link_calls(calls, results, CALL_SCHEMAS)
+    return tool_calls.link_conversations(calls, results, CALL_SCHEMAS)

@@ -135,9 +135,55 @@ def reference_order(edges: DataFrame, calls: DataFrame) -> DataFrame:
         done = cut(done.unionByName(new), "levels")
 
 
+def link_conversations(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """One row per call, and per result that is not linked with one; identifiers hold within a conversation.
+
+    As link_calls, but calls, results and references meet only where conv_id and call_id are the same (a null conv_id
+    is one conversation), and nothing is left out: if an identifier repeats in a conversation, the first call and the
+    first result (by turn, then by content) are linked, and references mean that call. Each further call or result
+    has a row of its own with status `repeated`; all rows of that identifier have the problem `repeated`.
+    """
+    named = F.coalesce(F.col("call_id"), F.lit("")) != ""
+    turn, row = F.coalesce("turn", F.lit(0)).cast("long").alias("turn"), F.monotonically_increasing_id().alias("row")
+    calls = cut(calls.select("conv_id", "call_id", turn, "name", "arguments", row), "calls")
+    results = cut(results.select("conv_id", "call_id", turn, "content", row), "results")
+    ask, give = F.struct("turn", "arguments", "name", "conv_id"), F.struct("turn", "content", "conv_id")
+    first = cut(calls.filter(named).groupBy("conv_id", "call_id").agg(
+        F.min(F.struct("turn", "arguments", "name", "row")).alias("call"), F.count(F.lit(1)).alias("n")), "first")
+    answers = cut(results.filter(named).groupBy("conv_id", "call_id").agg(
+        F.min(F.struct("turn", "content", "row")).alias("result"), F.count(F.lit(1)).alias("n")), "answers")
+
+    refs = F.array_distinct(F.regexp_extract_all(F.coalesce("arguments", F.lit("")), F.lit(REFERENCE), F.lit(1)))
+    targets = first.select(F.col("conv_id").alias("conv"), F.col("call_id").alias("ref"), F.col("call.row").alias("to"))
+    edges = calls.select("row", "turn", "conv_id", F.explode(refs).alias("id"))
+    edges = cut(edges.join(targets, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("id") == F.col("ref")), "left")
+                .select("row", "turn", "to"), "targets")
+    order = reference_order(
+        edges.filter("to IS NOT NULL").select(F.col("row").alias("call_id"), "turn", F.col("to").alias("ref")),
+        calls.select(F.col("row").alias("call_id"), "turn"))
+    order = order.select(F.col("call_id").alias("row"), "position", "level", F.lit(True).alias("ordered"))
+    missing = edges.filter("to IS NULL").groupBy("row").agg(F.count(F.lit(1)).alias("n_unresolved"))
+    placed = calls.select("row", "call_id", ask.alias("call"), F.size(refs).cast("long").alias("n_refs"))
+    placed = cut(placed.join(order, "row", "left").join(missing, "row", "left"), "placed")
+
+    heads = first.select(F.col("call.row").alias("row"), "conv_id", F.col("n").alias("n_calls"))
+    found = answers.select(F.col("conv_id").alias("conv"), F.col("call_id").alias("id"), F.struct(
+        "result.turn", "result.content", "conv_id").alias("result"), F.col("n").alias("n_results"))
+    linked = placed.join(heads, "row").join(
+        found, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("call_id") == F.col("id")), "full")
+    linked = linked.withColumn("call_id", F.coalesce("call_id", "id")).drop("row", "conv_id", "conv", "id")
+    more = F.when(named, 2).otherwise(1).cast("long")  # of the same identifier, the first included
+    calls_left = placed.join(heads, "row", "left_anti").withColumn("n_calls", more).drop("row")
+    results_left = results.join(answers.select("result.row"), "row", "left_anti").select(
+        "call_id", give.alias("result"), more.alias("n_results"))
+    rows = linked.withColumn("further", F.lit(False)).unionByName(calls_left.withColumn("further", named), True)
+    return _written(rows.unionByName(results_left.withColumn("further", named), True), schemas)
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per call identifier and per result without a call, with status, order, checks and canonical JSON.
 
+    For identifiers that are unique in the whole table; link_conversations is for those that hold in a conversation.
     `calls` has conv_id, turn, call_id, name, arguments (JSON text), `results` conv_id, turn, call_id, content.
     status: linked, unanswered, early (the result stands before the call), orphan (result without call), unnamed (a
     call or result whose identifier is null or empty; each keeps a row). If an identifier repeats, the first by turn,
@@ -168,9 +214,15 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     blank_result = results.filter(~named).select(
         "call_id", give.alias("result"), F.lit(1).cast("long").alias("n_results"))
     rows = rows.unionByName(blank_call, True).unionByName(blank_result, True)
+    return _written(rows.withColumn("further", F.lit(False)), schemas)
+
+
+def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+    """The rows of calls with their results as ROW: status, checks and canonical JSON."""
+    named = F.coalesce(F.col("call_id"), F.lit("")) != ""
     no_call, no_result = F.col("call").isNull(), F.col("result").isNull()
     status = (
-        F.when(~named, "unnamed").when(no_call, "orphan").when(no_result, "unanswered")
+        F.when(~named, "unnamed").when(F.col("further"), "repeated").when(no_call, "orphan").when(no_result, "unanswered")
         .when(F.col("result.turn") < F.col("call.turn"), "early").otherwise("linked"))
     flat = rows.select(
         F.coalesce("call.conv_id", "result.conv_id").alias("conv_id"), "call_id",

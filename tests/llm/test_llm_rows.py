@@ -249,3 +249,30 @@ def test_calls_in_chats(spark):
         separators=(",", ":"), ensure_ascii=False)
     assert found["c1-5"].problems == "$.prompt: missing" and found["c1-0"].status == "unanswered" and found["c1-3"].status == "orphan"
     assert tool_calls.link_calls(calls.limit(0), results.limit(0), {}).collect() == []
+
+
+def test_identifiers_hold_within_a_conversation(spark, tmp_path):
+    def said(*calls):
+        return json.dumps({"tool_calls": [{"id": i, "name": "f", "arguments": a} for i, a in calls]})
+
+    def gave(i, content):
+        return json.dumps({"tool_call_id": i, "content": content})
+
+    rows = [(1, 0, "assistant", said(("k1", "{}"))), (1, 1, "tool", gave("k1", "one")), (1, 3, "tool", gave("k1", "again")),
+            (2, 0, "assistant", said(("k1", "{}"), ("k2", '{"x": "$call:k1", "y": "$call:k9"}'))), (2, 1, "tool", gave("k1", "two")),
+            (2, 2, "assistant", said(("k1", '{"late": "$call:k2"}'))), (2, 4, "tool", gave("k9", "lost")),
+            (3, 0, "assistant", said(("k9", '{"x": "$call:k2"}'))), (3, 0, "assistant", said(("k9", '{"x": "$call:k2"}'))),
+            (None, 0, "assistant", said(("k1", "{}"))), (None, 1, "tool", gave("k1", "none"))]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [r for r in queries.op10_tool_calls(spark, str(tmp_path)).collect() if r.call_id and r.call_id[0] == "k"]
+    want = [
+        (1, "k1", 0, "linked", 0, 0, "one"), (1, "k1", 3, "repeated", 0, 0, "again"), (2, "k1", 0, "linked", 0, 0, "two"),
+        (2, "k2", 0, "unanswered", 2, 1, None), (2, "k1", 2, "repeated", 1, 0, None), (2, "k9", 4, "orphan", 0, 0, "lost"),
+        (3, "k9", 0, "unanswered", 1, 1, None), (3, "k9", 0, "repeated", 1, 1, None), (None, "k1", 0, "linked", 0, 0, "none")]
+    found = [(r.conv_id, r.call_id, r.turn, r.status, r.n_refs, r.n_unresolved, json.loads(r.message).get("result")) for r in got]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    assert {(r.conv_id, r.call_id) for r in got if "repeated" in r.problems} == {(1, "k1"), (2, "k1"), (3, "k9")}
+    assert next((r.position, r.level) for r in got if r[:2] == (2, "k2")) == (0, 1)
+    none = messages.limit(0)
+    assert tool_calls.link_conversations(*tool_calls.exchanges(none), {}).collect() == []
