@@ -1,8 +1,9 @@
-"""Language identification by cross parsing: the language whose sample text covers a text in fewest phrases wins.
+"""Language identification by cross parsing: the language whose sample text covers a text in fewest phrases, weighed by the size of
+its sample, wins.
 
 A suffix automaton of labelled text per language answers how far a phrase can be extended so that it still occurs in
-that language's sample. A text is cut greedily into such longest phrases. Fewer phrases per character mean a lower
-cross entropy (about log(sample) / phrase length). The automata are tables of state and letter class, so that
+that language's sample. A text is cut greedily into such longest phrases. Its cross entropy is the number of phrases
+times the cost of one, about the logarithm of the sample's length: a small sample has fewer phrases to offer. The automata are tables of state and letter class, so that
 all texts of a batch step through them together, four or more languages side by side.
 """
 
@@ -21,6 +22,7 @@ from tablewright.llm.common import lean_batches, pieces, within
 SAMPLE_ROWS = 64      # labelled rows per language that the model learns from, ...
 SAMPLE_LETTERS = 256  # ... and characters of each
 STRETCH = 1024        # a long text is parsed in stretches of so many characters, side by side
+LETTERS = 64          # a phrase is one of the places in the sample, or one of about so many letters
 UNKNOWN = "und"
 
 
@@ -147,6 +149,7 @@ class Parser:
         chars = sorted({c for _, t in model.samples for c in t} - {"\n"})
         alphabet = {c: i + 1 for i, c in enumerate(chars)}
         self.width = len(alphabet) + 1
+        self.costs = np.log([LETTERS + len(t.replace("\n", "")) for _, t in model.samples])
         self.classes = np.zeros(0x110000, np.uint16)
         for c, i in alphabet.items():
             self.classes[ord(c)] = i
@@ -205,8 +208,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """All columns of `docs` with lang_pred and score; only text decides.
 
     Whole texts are parsed. `und` with score 0.0 where text is null or has no letter, or nothing was learned. The
-    score is how many fewer phrases the winner needs than the next language, as a share (1.0 with one language);
-    equal counts go to the first name. Columns lang_pred and score that `docs` has are replaced.
+    score is how much less the winner's phrases cost (their number times the logarithm of the sample's size) than the
+    next language's, as a share (1.0 with one language); equal costs go to the first name. Columns lang_pred and score that `docs` has are replaced.
     """
     lean_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
@@ -219,9 +222,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in pieces(batches, "text", 3 << 19):
             totals, _, has = parser.phrases(batch.column("text"))
             if len(parser.names):
-                best = totals.argmin(axis=0)
-                ordered = np.sort(totals, axis=0)
-                score = np.ones(len(batch)) if len(totals) == 1 else 1 - ordered[0] / np.maximum(ordered[1], 1)
+                costs = totals * parser.costs[:, None]
+                best = costs.argmin(axis=0)
+                ordered = np.sort(costs, axis=0)
+                score = np.ones(len(batch)) if len(costs) == 1 else 1 - ordered[0] / np.maximum(ordered[1], 1)
             else:
                 best, score = np.zeros(len(batch), np.int64), np.zeros(len(batch))
             best = np.where(has, best, len(parser.names))

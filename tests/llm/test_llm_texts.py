@@ -331,6 +331,33 @@ def test_language_of_held_out_texts(spark):
     assert {r.lang_pred for r in language.identify(docs, empty).collect()} == {"und"}
 
 
+def related_languages():
+    """A maker of texts in either of two languages that share letters and most of their syllables."""
+    rng = random.Random(9)
+    shared = ["".join(rng.choice("bdklmnrst") + rng.choice("aeiou") for _ in range(2)) for _ in range(40)]
+    words = {x: shared + ["".join(rng.choice("bdklmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(60)] for x in "ab"}
+    return lambda x, size: " ".join(rng.choice(words[x]) for _ in range(size // 5))[:size]
+
+
+@pytest.mark.parametrize("few", [1, 3, 8])
+def test_languages_with_few_rows_are_found(few):
+    make = related_languages()
+    samples = {x: "\n".join(make(x, 256) for _ in range(n)) for x, n in (("a", 64), ("b", few))}
+    parser = language.Parser(language.LanguageModel(tuple(samples.items())))
+    for k, x in enumerate("ab"):
+        totals, _, _ = parser.phrases(pa.array([make(x, 400) for _ in range(100)]))
+        assert ((totals * parser.costs[:, None]).argmin(axis=0) == k).mean() >= 0.95
+    if few < 8:
+        assert (totals.argmin(axis=0) == 1).mean() < 0.95  # what counts alone would find
+
+
+def test_samples_of_a_letter_do_not_win():
+    make = related_languages()
+    parser = language.Parser(language.LanguageModel((("a", "\n".join(make("a", 256) for _ in range(64))), ("b", "k"))))
+    totals, _, _ = parser.phrases(pa.array([make("a", 400) for _ in range(50)]))
+    assert ((totals * parser.costs[:, None]).argmin(axis=0) == 0).all()
+
+
 def test_licenses_fold_and_match_whole_units(spark):
     known = licenses.known_digests(spark)
     mit = dict(licenses.KNOWN)["MIT"] and licenses.KNOWN[0][1]
