@@ -15,6 +15,19 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"), ("per cent", "percent"), ("organis", "organiz"),
     ("authoris", "authoriz"), ("favour", "favor"), ("fulfilment", "fulfillment"), ("merchantable", "merchantability"),
 )
+# a line that is a copyright notice and no more: signs with a year; signs with a name; the word with a name that ends as
+# names of holders do. In canonical form © is `copyright` and (c) is `c`. COPYRIGHT_LINE is the part that the SQL has
+_NO_NOTICE = (
+    r"(?!(?:c|copyright|notices?|holders?|laws?|acts?|statements?|licens[a-z]*|infring[a-z]*|protect[a-z]*|for|and|or|of|in|"
+    r"is|are|was|belongs|to)\b)")
+_HOLDERS = (
+    r"(?:authors?|contributors?|developers?|maintainers?|team|foundation|project|group|community|inc|incorporated|ltd|"
+    r"limited|llc|corp|corporation|company|gmbh|others)")
+_RESERVED = r"(?: +all rights reserved)?"
+NOTICE_LINE = (
+    r"(?m)^ *(?:(?:copyright|c) +)+(?:[0-9]{4}|year|yyyy)[^\n]*$|^ *all rights reserved *$"
+    r"|^ *(?:copyright +(?:c|copyright)|c +copyright)(?: +(?:c|copyright))* +" + _NO_NOTICE + r"[^ \n]+(?: +[^ \n]+){0,11} *$"
+    r"|^ *copyright +" + _NO_NOTICE + r"(?:[^ \n]+ +){0,7}" + _HOLDERS + r"(?: +[0-9]{4})*" + _RESERVED + r" *$")
 COPYRIGHT_LINE = r"(?m)^ *(copyright|c)( c)? +([0-9]{4}|year|yyyy)[^\n]*$|^ *all rights reserved *$"
 
 # fixed values: short licenses and notices in full
@@ -55,7 +68,7 @@ def canonical_lines(text: Column) -> Column:
     text = F.regexp_replace(F.replace(text, F.lit("©"), F.lit(" copyright ")), r"[^\p{L}\p{N}\n]+", " ")
     for old, new in SPELLINGS:
         text = F.replace(text, F.lit(old), F.lit(new))
-    return F.regexp_replace(text, COPYRIGHT_LINE, "")
+    return F.regexp_replace(text, NOTICE_LINE, "")
 
 
 def digest(lines: Column) -> Column:

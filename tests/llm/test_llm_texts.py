@@ -375,3 +375,15 @@ def test_licenses_fold_and_match_whole_units(spark):
     assert licenses.scan_licenses(frame(spark, rows).limit(0), known).collect() == []
     own = licenses.known_digests(spark, [("B", "x y"), ("A", "X, Y"), ("C", "")])
     assert [tuple(r)[1:] for r in own.collect()] == [("A",)]
+
+
+def test_licenses_below_any_copyright_notice(spark):
+    known, mit = licenses.known_digests(spark), licenses.KNOWN[0][1]
+    heads = ["Copyright © 2024 Jane Doe", "Copyright (c) Microsoft Corporation.", "Copyright The Foo Authors", "© Copyright 2019, X",
+             "(c) Copyright Foo GmbH", "Copyright Foo Inc. 2020. All rights reserved."]
+    prose = ["Copyright notice, this list of conditions and the authors", "copyright holders and contributors", "C code is compiled",
+             "Copyright law in 2020", "copyright (c) notice of the team", "Copyright is held by the authors"]
+    rows = list(enumerate([h + "\n\n" + mit for h in heads + prose]))
+    got = {r.doc_id: (r.license_id, r.n_lines) for r in licenses.scan_licenses(frame(spark, rows), known).collect()}
+    assert [got[i] for i in range(len(heads))] == [("MIT", 3)] * len(heads)
+    assert [got[len(heads) + i] for i in range(len(prose))] == [(None, 4)] * len(prose)
