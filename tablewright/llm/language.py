@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import lean_batches, pieces, within
@@ -59,10 +59,12 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, letters: int = SAMPLE_LETTERS)
     """Learn from a bounded sample of the labelled rows (text, lang): `rows` per language, `letters` of each.
 
     The sample is the rows of least hash of their text, so that it does not depend on how rows are partitioned, and
-    copies of a text count once. Only rows under a bound on the hash, set from the counts per language, are read to
-    the driver; if copies leave a language short, the bound doubles.
+    copies of a text count once; rows without a letter in that part do not count. Only rows under a bound on the hash,
+    set from the counts per language, are ordered, and `rows` of a language at most reach the driver; if copies leave
+    a language short, the bound grows fourfold.
     """
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    labelled = docs.filter("lang IS NOT NULL").select("lang", "text", F.substring("text", 1, letters).alias("part"))
+    labelled = labelled.filter(F.col("part").rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
     chosen: dict[str, list[str]] = {}
     share, mark = 4.0, F.crc32(F.md5(F.col("text")))
@@ -70,10 +72,11 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, letters: int = SAMPLE_LETTERS)
         bounds = {x: min(1.0, share * rows / n) for x, n in counts.items() if x not in chosen}
         bound = F.element_at(F.create_map(*[F.lit(v) for kv in bounds.items() for v in kv]), F.col("lang"))
         drawn = (
-            labelled.filter(mark / 2.0**32 < bound).groupBy("lang", F.substring("text", 1, letters).alias("text"))
-            .agg(F.min(mark).alias("mark")).orderBy("lang", "mark", "text").limit(int(8 * share * rows * len(bounds))))
+            labelled.filter(mark / 2.0**32 < bound).groupBy("lang", F.col("part").alias("text"))
+            .agg(F.min(mark).alias("mark")).withColumn("n", F.row_number().over(
+                Window.partitionBy("lang").orderBy("mark", "text"))).filter(F.col("n") <= rows))
         found: dict[str, list[str]] = {x: [] for x in bounds}
-        for row in drawn.collect():
+        for row in sorted(drawn.collect(), key=lambda r: r["n"]):
             folded = fold_codes(row["text"])
             if (folded != 32).any():
                 found[row["lang"]].append(folded.astype(np.uint32).tobytes().decode("utf-32-le"))

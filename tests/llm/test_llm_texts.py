@@ -358,6 +358,18 @@ def test_samples_of_a_letter_do_not_win():
     assert ((totals * parser.costs[:, None]).argmin(axis=0) == 0).all()
 
 
+def test_samples_hold_letters_and_stay_few(spark, monkeypatch):
+    rows = [(i, f"{i} 12 !", "zxx") for i in range(2000)] + [(i, f"{i} abc", "zxx") for i in range(3)]
+    rows += [(i, f"kalo {i}", "aa") for i in range(400)] + [(i, "99", "nn") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    read = []
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: read.append(collect(self)) or read[-1])
+    model = language.fit(docs, rows=8)
+    assert [(x, len(t.split("\n"))) for x, t in model.samples] == [("aa", 8), ("zxx", 3)]
+    assert max(map(len, read)) <= 2 * 8
+
+
 def test_licenses_fold_and_match_whole_units(spark):
     known = licenses.known_digests(spark)
     mit = dict(licenses.KNOWN)["MIT"] and licenses.KNOWN[0][1]
