@@ -32,7 +32,3 @@ def database(spark):
     spark.sql(f"CREATE DATABASE {name}")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
-
-
-def values(df):
-    return [tuple(r) for r in df.collect()]

@@ -1,5 +1,5 @@
 import pytest
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from tablewright import infer_types, normalize, scan_csv, write_csv

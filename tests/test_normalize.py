@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import values
+from rows import values
 
 from tablewright import normalize
 from tablewright.functions import names

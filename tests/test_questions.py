@@ -1,7 +1,7 @@
 import json
 from datetime import date
 
-from conftest import values
+from rows import values
 from pyspark.sql import functions as F
 
 from tablewright import answer, digest

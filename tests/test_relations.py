@@ -2,7 +2,7 @@ import itertools
 import random
 
 import pytest
-from conftest import values
+from rows import values
 
 from tablewright import (
     analyze, column_catalog, create_views, database_catalog, key_relationships, load_table, location_relationships,
