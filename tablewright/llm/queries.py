@@ -15,6 +15,8 @@ from tablewright.llm import (
     licenses,
     pieces_codec,
     sorted_projections,
+    spelling,
+    sql,
     suffix_dedup,
     token_counts,
     tool_calls,
@@ -244,3 +246,11 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     calls = calls.unionByName(tool_calls.calls_in_messages(messages))
     results = results.unionByName(tool_calls.results_in_messages(messages))
     return tool_calls.link_conversations(calls, results, CALL_SCHEMAS)
+
+
+DAMAGED_WORDS = 199  # one in so many occurrences of a word loses a letter
+
+
+@query(sql.spellings(DAMAGED_WORDS, spelling.LEAST_LENGTH, spelling.LEAST_COUNT, spelling.RATIO))
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_spellings(spelling.word_counts(given(spark, folder, "documents"), DAMAGED_WORDS))
