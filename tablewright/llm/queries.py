@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import (
     chosen_path,
+    conversation_repair,
     decontaminate,
     language,
     licenses,
     pieces_codec,
+    projection_forest,
     sorted_projections,
     spelling,
     sql,
@@ -248,6 +250,38 @@ def op10_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.link_conversations(calls, results, CALL_SCHEMAS)
 
 
+def damaged(messages: DataFrame) -> DataFrame:
+    """Messages with faults that crc32 of `conv_id:turn` deals out; null counts as one space, `copies` as so many rows."""
+    space = F.lit(" ")
+    conv, turn = (F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+    text, role, fault = F.coalesce("text", space), F.coalesce("role", space), F.col("fault")
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return messages.withColumn("fault", F.crc32(F.concat(conv, F.lit(":"), turn)) % 20).filter("fault <> 0").select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"), text.alias("text"),
+        F.when(fault == 3, 2).otherwise(1).alias("copies"))
+
+
+@query(sql.repairs())
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given_rows = given(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows, findings = conversation_repair.repair(damaged(given_rows))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    out = given_rows.select("conv_id").distinct()
+    for part in (findings, conversation_repair.digests(rows)):
+        part = part.withColumnRenamed("conv_id", "own")
+        out = out.join(part, F.col("conv_id").eqNullSafe(F.col("own")), "left").drop("own")
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query()
+def op12_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hundredth vector against all others."""
+    rows = given(spark, folder, "embeddings").select("vec_id", "embedding")
+    return projection_forest.nearest(rows, "vec_id % 100 = 0")
+
+
 DAMAGED_WORDS = 199  # one in so many occurrences of a word loses a letter
 
 
