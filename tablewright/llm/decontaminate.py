@@ -95,7 +95,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     items = (
         found.select("doc_id", "mark", F.explode("items").alias("item")).distinct()
         .groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("item")).alias("names")))
-    summary = covered.join(items, ["doc_id", "mark"]).withColumnsRenamed({"doc_id": "key", "mark": "key_mark"})
+    both = F.col("key").eqNullSafe(F.col("doc_id")) & (F.col("key_mark") == F.col("mark"))
+    summary = covered.withColumnsRenamed({"doc_id": "key", "mark": "key_mark"}).join(items, both).select(
+        "key", "key_mark", "n_hit", "names")
     every = docs.select(
         "doc_id", F.xxhash64("text").alias("mark"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("mark") == F.col("key_mark"))
