@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from typing import Any
 
@@ -90,13 +91,32 @@ def schema_problems(value: Any, schema: dict, at: str = "$") -> list[str]:
 def _is(value: Any, kind: str) -> bool:
     if kind in ("number", "integer"):
         number = isinstance(value, (int, float)) and not isinstance(value, bool)
-        return number and (kind == "number" or float(value).is_integer())
+        return number and (kind == "number" or isinstance(value, int) or value.is_integer())
     return isinstance(value, KINDS[kind])
 
 
 def canonical(value: Any) -> str:
-    """JSON with sorted keys, no spaces, and characters beyond ASCII as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """JSON with sorted keys, no spaces, and characters beyond ASCII as they are, but for halves of surrogate pairs."""
+    return storable(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
+def storable(text: str) -> str:
+    """The text with halves of surrogate pairs, which UTF-8 has no place for, as JSON escapes."""
+    return re.sub("[\ud800-\udfff]", lambda half: f"\\u{ord(half.group()):04x}", text)
+
+
+def parsed(text: str | None) -> Any:
+    """The value of a JSON text, null for none; NaN, Infinity and numbers beyond doubles are no JSON (ValueError)."""
+    def number(digits: str) -> float:
+        value = float(digits)
+        if math.isinf(value):
+            raise ValueError(digits)
+        return value
+
+    def refused(word: str) -> None:
+        raise ValueError(word)
+
+    return json.loads(text or "null", parse_float=number, parse_constant=refused)
 
 
 def reference_order(edges: DataFrame, calls: DataFrame) -> DataFrame:
@@ -242,7 +262,8 @@ def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                 problems, value = [], None
                 if not row["no_call"]:
                     try:
-                        value = json.loads(row["arguments"] or "null")
+                        value = parsed(row["arguments"])
+                        canonical([[value]])  # as deep as it will be written
                         problems = (schema_problems(value, schemas[row["name"]]) if row["name"] in schemas
                                     else ["$: no schema"])
                     except (ValueError, RecursionError):
@@ -256,7 +277,7 @@ def _written(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
                 kept = {k: row[k] for k in ("conv_id", "call_id", "turn", "name", "status", "position", "level", "n_refs",
                                             "n_unresolved")}
                 problems = problems[:] + ["repeated"] * row["repeated"]
-                out.append(kept | {"valid": valid, "problems": "; ".join(problems), "message": canonical(message)})
+                out.append(kept | {"valid": valid, "problems": storable("; ".join(problems)), "message": canonical(message)})
             yield pa.RecordBatch.from_pylist(out, schema=target)
 
     kind = flat.schema["conv_id"].dataType.simpleString()

@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import re
 import struct
 from collections import Counter
 
@@ -276,3 +277,96 @@ def test_identifiers_hold_within_a_conversation(spark, tmp_path):
     assert next((r.position, r.level) for r in got if r[:2] == (2, "k2")) == (0, 1)
     none = messages.limit(0)
     assert tool_calls.link_conversations(*tool_calls.exchanges(none), {}).collect() == []
+
+
+ODD_ARGUMENTS = [
+    '{"prompt":"\\ud800"}', '{"prompt":"\\ud83d\\ude00"}', '{"\\udfff":1}', '{"prompt":NaN}', '{"prompt":-Infinity}', '{"prompt":1e999}',
+    '{"prompt":' + "9" * 400 + "}", "9" * 5000, "[" * 100_000 + "]" * 100_000, '{"prompt":' + "[" * 900 + "]" * 900 + "}",
+    '{"prompt":"' + "x" * 2_000_000 + '"}', "", "null", '{"prompt":"a"} b']
+
+
+def test_odd_json_is_written_or_refused(spark):
+    """Halves of surrogate pairs, numbers beyond doubles, deep and very long values: a row each, as real JSON."""
+    calls = spark.createDataFrame(
+        [(1, i, f"k{i}", "reply", a) for i, a in enumerate(ODD_ARGUMENTS)],
+        "conv_id long, turn long, call_id string, name string, arguments string")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    rows = {r.turn: r for r in tool_calls.link_conversations(calls, results, queries.CALL_SCHEMAS).collect()}
+    assert len(rows) == len(ODD_ARGUMENTS)
+
+    def refuse(word):
+        raise AssertionError(word)
+
+    written = {i: json.loads(r.message, parse_constant=refuse)["arguments"] for i, r in rows.items()}
+    assert rows[0].valid and written[0] == {"prompt": "\ud800"} and "\\ud800" in rows[0].message
+    assert rows[1].valid and written[1] == {"prompt": "\U0001f600"}
+    assert not rows[2].valid and "\\udfff: unknown" in rows[2].problems
+    for i in (3, 4, 5, 7, 8, 13):
+        assert rows[i].problems == "$: no JSON" and written[i] == ODD_ARGUMENTS[i]
+    assert rows[6].problems == "$.prompt: not string" and written[6] == {"prompt": int("9" * 400)}
+    assert rows[10].valid and not rows[11].valid and not rows[12].valid
+    assert tool_calls.schema_problems(10 ** 400, {"type": "integer", "minimum": 1}) == []
+    assert tool_calls.schema_problems(1.5, {"type": "integer"}) == ["$: not integer"]
+
+
+def brute_link(calls, results):
+    """(conv, id, turn, status, position, n_refs, n_unresolved) of every call and every result without a call of its own."""
+    def least(rows):
+        out = {}
+        for conv, turn, name, *rest in sorted(rows, key=lambda r: (r[1], r[3] or "", r[2] or "")):
+            out.setdefault((conv, name), (turn, *rest)) if name else None
+        return out
+
+    calls = [(c, t or 0, i, a) for c, t, i, a in calls]
+    results = [(c, t or 0, i, x) for c, t, i, x in results]
+    first, answers = least(calls), least(results)
+
+    def refs(conv, arguments):
+        return list(dict.fromkeys(re.findall(tool_calls.REFERENCE, arguments or "")))
+
+    def reach(conv, turn, arguments):
+        latest, seen, todo = turn, set(), refs(conv, arguments)
+        while todo:
+            key = (conv, todo.pop())
+            if key in first and key not in seen:
+                seen.add(key)
+                latest = max(latest, first[key][0])
+                todo += refs(conv, first[key][1])
+        return latest
+
+    out, taken = [], set()
+    for conv, turn, name, arguments in calls:
+        mine = first.get((conv, name)) == (turn, arguments) and (conv, name) not in taken and bool(name)
+        answer = answers.get((conv, name))
+        if mine:
+            taken.add((conv, name))
+            status = "unanswered" if answer is None else "early" if answer[0] < turn else "linked"
+        else:
+            status = "repeated" if name else "unnamed"
+        own = refs(conv, arguments)
+        out.append((conv, name, turn, status, reach(conv, turn, arguments), len(own), sum((conv, r) not in first for r in own)))
+    used = set()
+    for conv, turn, name, content in results:
+        key = (conv, name)
+        if name and answers[key] == (turn, content) and key not in used:
+            used.add(key)
+            if key in first:
+                continue
+            out.append((conv, name, turn, "orphan", turn, 0, 0))
+        else:
+            out.append((conv, name, turn, "repeated" if name else "unnamed", turn, 0, 0))
+    return Counter(out)
+
+
+def test_linking_against_brute_force(spark):
+    rng = random.Random(31)
+    names = ["a", "b", "c", "d", "e", "", None]
+    calls = [(rng.choice([1, 2, None]), rng.choice([0, 1, 2, 5, 9, None]), rng.choice(names),
+              json.dumps({"x": f"$call:{rng.choice('abcdefz')}", "y": [f"$call:{rng.choice('abc')}"], "z": i})) for i in range(60)]
+    results = [(rng.choice([1, 2, 3, None]), rng.choice([0, 1, 3, 9, None]), rng.choice(names), f"r{i}") for i in range(50)]
+    frames = (spark.createDataFrame([(c, t, i, "f", a) for c, t, i, a in calls],
+                                    "conv_id long, turn long, call_id string, name string, arguments string"),
+              spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string"))
+    got = tool_calls.link_conversations(*(f.repartition(3) for f in frames), {}).collect()
+    assert Counter((r.conv_id, r.call_id, r.turn, r.status, r.position, r.n_refs, r.n_unresolved) for r in got) == brute_link(
+        calls, results)
