@@ -15,20 +15,28 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"), ("per cent", "percent"), ("organis", "organiz"),
     ("authoris", "authoriz"), ("favour", "favor"), ("fulfilment", "fulfillment"), ("merchantable", "merchantability"),
 )
-# a line that is a copyright notice and no more: signs with a year; signs with a name; the word with a name that ends as
-# names of holders do. In canonical form © is `copyright` and (c) is `c`. COPYRIGHT_LINE is the part that the SQL has
-_NO_NOTICE = (
-    r"(?!(?:c|copyright|notices?|holders?|laws?|acts?|statements?|licens[a-z]*|infring[a-z]*|protect[a-z]*|for|and|or|of|in|"
-    r"is|are|was|belongs|to)\b)")
+# a line that is a copyright notice and no more, in canonical form (© is `copyright`, (c) is `c`): signs with a year, two
+# signs with a name, the word with a name that ends as names of holders do, or a tag. Repeats are bounded, so that no
+# text makes the matcher recurse deeply, and there is no look-ahead, so that SQL has the same rule
 _HOLDERS = (
-    r"(?:authors?|contributors?|developers?|maintainers?|team|foundation|project|group|community|inc|incorporated|ltd|"
-    r"limited|llc|corp|corporation|company|gmbh|others)")
-_RESERVED = r"(?: +all rights reserved)?"
-NOTICE_LINE = (
-    r"(?m)^ *(?:(?:copyright|c) +)+(?:[0-9]{4}|year|yyyy)[^\n]*$|^ *all rights reserved *$"
-    r"|^ *(?:copyright +(?:c|copyright)|c +copyright)(?: +(?:c|copyright))* +" + _NO_NOTICE + r"[^ \n]+(?: +[^ \n]+){0,11} *$"
-    r"|^ *copyright +" + _NO_NOTICE + r"(?:[^ \n]+ +){0,7}" + _HOLDERS + r"(?: +[0-9]{4})*" + _RESERVED + r" *$")
-COPYRIGHT_LINE = r"(?m)^ *(copyright|c)( c)? +([0-9]{4}|year|yyyy)[^\n]*$|^ *all rights reserved *$"
+    "authors?|contributors?|developers?|maintainers?|team|foundation|project|group|community|inc|incorporated|ltd|limited|"
+    "llc|corp|corporation|company|gmbh|others")
+_SIGNS = "(?:portions )?(?:copyright|c)(?: (?:copyright|c)){0,3}"
+_TAG = "spdx filecopyrighttext"
+_RESERVED = "(?: all rights reserved)?"
+NOTICE_LINE = "(?m)^ ?(?:" + "|".join((
+    f"(?:{_SIGNS}|{_TAG})(?: [^ \\n]+){{0,15}} (?:[0-9]{{4}}|year|yyyy)(?: [^ \\n]+){{0,15}}",
+    "(?:portions )?(?:copyright (?:c|copyright)|c copyright)(?: [^ \\n]+){1,15}",
+    f"(?:portions )?copyright(?: [^ \\n]+){{0,8}} (?:{_HOLDERS})(?: [0-9]{{4}}){{0,4}}{_RESERVED}",
+    f"{_TAG}(?: [^ \\n]+){{0,30}}", "all rights reserved")) + ") ?$"
+# words that show that such a line goes on as, or is, a sentence
+_PROSE = (
+    "is|are|was|were|be|been|has|have|had|you|your|may|must|shall|can|cannot|will|would|should|this|that|these|those|it|its|"
+    "any|all copies|under|law|laws|act|acts|notice|notices|holder|holders|statement|statements|licen[a-z]+|infring[a-z]+|"
+    "protect[a-z]+|belongs|granted|grant|permi[a-z]+|terms|subject|conditions|list|above|below|following|copy|copies|in|to|"
+    "with|without|not|if|as|on|from|which|who|whose|when|where|see|please|use|used|using|code|file|files")
+SENTENCE = f"(?m)^( ?(?:{_SIGNS}|{_TAG})(?: [^ \\n]+){{0,31}}? (?:{_PROSE})(?: |$))"
+KEPT = "!"  # stands before such lines meanwhile; canonical text has no signs
 
 # fixed values: short licenses and notices in full
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -59,6 +67,21 @@ KNOWN = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "Licensed under CC0 1.0."),
 )
+# fixed values: digests of the complete texts of longer licenses, as digest(canonical_lines(text)) gives them
+WHOLE_TEXTS = (
+    ("Apache-2.0", "6074c3536c43b739207170b87d1681477d0f07374ed3d862ba461334cce848e3"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "452eaadd998b06b62a51be424c021eea5228803a2773e147818b9cd429a60d64"),
+    ("GFDL-1.3", "c6db6132e3f9cfc574a0348860b9e8a36b70ab711ca7ec85d9c61871c2d90e55"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "adb7fb6d47e56eddbad6d40db0fb0594da80125158b142b6f277043527dfe039"),
+    ("MPL-2.0", "419995aed8099dedbfe429cfc03b01996e846d46c89a474dabd1ba9610b1d4f2"),
+)
 MOST_KNOWN = 100_000  # digests sent to all executors; more are joined by a shuffle
 
 
@@ -68,7 +91,8 @@ def canonical_lines(text: Column) -> Column:
     text = F.regexp_replace(F.replace(text, F.lit("©"), F.lit(" copyright ")), r"[^\p{L}\p{N}\n]+", " ")
     for old, new in SPELLINGS:
         text = F.replace(text, F.lit(old), F.lit(new))
-    return F.regexp_replace(text, NOTICE_LINE, "")
+    text = F.regexp_replace(F.regexp_replace(text, SENTENCE, KEPT + "$1"), NOTICE_LINE, "")
+    return F.replace(text, F.lit(KEPT), F.lit(""))
 
 
 def digest(lines: Column) -> Column:
@@ -77,11 +101,18 @@ def digest(lines: Column) -> Column:
     return F.when(unit != "", F.sha2(unit, 256))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
-    """digest and license_id of each known text; a text known under several names keeps the first by name."""
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
+    """digest and license_id of each known text; a text known under several names keeps the first by name.
+
+    `known` has license_id and text; without it, KNOWN and WHOLE_TEXTS count.
+    """
+    whole = WHOLE_TEXTS if known is None else ()
+    known = KNOWN if known is None else known
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(list(known), "license_id string, text string")
     rows = known.select(digest(canonical_lines(F.col("text"))).alias("digest"), "license_id")
+    if whole:
+        rows = rows.unionByName(spark.createDataFrame(list(whole), "license_id string, digest string"))
     return rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 

@@ -65,14 +65,17 @@ def _license_sql() -> str:
     lines = f"regexp_replace(replace({lines}, '©', ' copyright '), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
     for old, new in licenses.SPELLINGS:
         lines = f"replace({lines}, '{old}', '{new}')"
-    lines = f"regexp_replace({lines}, '{licenses.COPYRIGHT_LINE}', '', 'g')"
+    lines = f"regexp_replace({lines}, '{licenses.SENTENCE}', '{licenses.KEPT}\\1', 'g')"
+    lines = f"replace(regexp_replace({lines}, '{licenses.NOTICE_LINE}', '', 'g'), '{licenses.KEPT}', '')"
     unit = "trim(regexp_replace({0}, '[ \\n]+', ' ', 'g'))"
     digest = "CASE WHEN " + unit + " <> '' THEN sha256(" + unit + ") END"
     known = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in licenses.KNOWN)
+    whole = ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in licenses.WHOLE_TEXTS)
     return f"""
         WITH known_texts(license_id, text) AS (VALUES {known}),
         known AS (SELECT {digest.format('lines')} AS digest, min(license_id) AS license_id
-                  FROM (SELECT license_id, {lines} AS lines FROM known_texts) GROUP BY 1),
+                  FROM (SELECT license_id, {lines} AS lines FROM known_texts) GROUP BY 1
+                  UNION SELECT digest, license_id FROM (VALUES {whole}) w(license_id, digest)),
         units AS (SELECT doc_id, {lines} AS lines FROM documents),
         split AS (SELECT doc_id, {digest.format('line')} AS digest
                   FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM units)),

@@ -1,14 +1,16 @@
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.llm import bwt, chosen_path, decontaminate, language, licenses, suffix_dedup
+from tablewright.llm import bwt, chosen_path, decontaminate, language, licenses, queries, suffix_dedup
 from tablewright.llm.common import utf8
 from tablewright.llm.components import components, forest
 from tablewright.llm.shingles import shingle_hashes, word_hashes
@@ -104,6 +106,17 @@ def test_decontamination_is_exact(spark):
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_hits_of_rows_without_id(spark):
+    """The same text under an id, under none, and under none twice; another text without id."""
+    rng = random.Random(12)
+    item, other = prose(rng, 12), prose(rng, 14)
+    rows = [(1, "x " + item), (None, "x " + item), (None, "x " + item), (None, other + " y " + item), (None, "clean"), (None, None)]
+    benchmark = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = decontaminate.decontaminate(frame(spark, rows), benchmark).collect()
+    assert Counter((r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in got) == Counter(
+        {(1, 12, 1, True): 1, (None, 12, 1, True): 2, (None, 26, 2, True): 1, (None, 0, 0, False): 2})
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     rows = corpus(2)
     benchmark = spark.createDataFrame([(i, rows[i][1]) for i in range(4)], "item_id long, text string")
@@ -243,16 +256,22 @@ def test_similarity_join_of_rows_without_id(spark):
     assert sum(n for (d, _), n in zip(rows, links) if d is None) > 10
 
 
+def near_copies(rng, n, base, edits=1):
+    """Texts that differ from a base text in a few words each."""
+    out = []
+    for i in range(n):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), edits):
+            copy[at] = f"edit{i}x{at}"
+        out.append(" ".join(copy))
+    return out
+
+
 def test_similarity_join_splits_large_buckets(spark, monkeypatch):
     rng = random.Random(11)
-    base = prose(rng, 120).split(" ")
-    rows = []
-    for i in range(60):
-        copy = list(base)
-        copy[rng.randrange(len(copy))] = f"edit{i}"
-        rows.append((i, " ".join(copy)))
+    rows = list(enumerate(near_copies(rng, 60, prose(rng, 120).split(" "))))
     rows += [(100 + i, prose(rng, 90)) for i in range(20)]
-    for name, value in (("LIMIT", 8), ("BLOCK_SHINGLES", 900), ("BLOCK_SETS", 7)):
+    for name, value in (("LIMIT", 8), ("BLOCK_SHINGLES", 900), ("BLOCK_SETS", 7), ("CHUNK_SETS", 3), ("MOST_SETS", 20)):
         monkeypatch.setattr(chosen_path, name, value)
     got = {r.doc_id: r for r in chosen_path.similarity_join(frame(spark, rows)).collect()}
     group, links, _ = brute_join(rows)
@@ -260,6 +279,45 @@ def test_similarity_join_splits_large_buckets(spark, monkeypatch):
     assert sum(r.kept for r in got.values()) == len(set(group))
 
 
+def test_recall_among_texts_that_share_half(spark, monkeypatch):
+    """Pairs at the bound inside buckets that hold hundreds of texts with a long common passage, split again and again."""
+    monkeypatch.setattr(chosen_path, "LIMIT", 12)
+    rng = random.Random(13)
+    passage = prose(rng, 100, 5000)
+    rows = []
+    for i in range(120):
+        own = (passage + " " + prose(rng, 100, 5000)).split(" ")
+        rows += [(10 * i + k, t) for k, t in enumerate([" ".join(own), *near_copies(rng, 2, own, 3)])]
+    got = {r.doc_id: r for r in chosen_path.similarity_join(frame(spark, rows)).collect()}
+    group, links, _ = brute_join(rows)
+    found = sum(got[d].n_links for d, _ in rows)
+    assert 0.999 * sum(links) <= found <= sum(links) and sum(links) > 400
+    assert all(got[d].n_links <= n for (d, _), n in zip(rows, links))
+
+
+@pytest.mark.parametrize("kind, sizes", [("copies", (500, 1000, 2000)), ("half", (500, 1000))])
+def test_rows_of_hot_groups_grow_in_proportion(spark, monkeypatch, kind, sizes):
+    """Rows that buckets are split into: near copies just below the bound, and texts that share half of their words."""
+    made = {}
+    real = chosen_path.cut
+    monkeypatch.setattr(chosen_path, "LIMIT", 32)
+    monkeypatch.setattr(chosen_path, "BLOCK_SETS", 64)
+    for n in sizes:
+        rng, counts = random.Random(14), Counter()
+
+        def counting(df, label):
+            out = real(df, label)
+            counts[label] += out.count()
+            return out
+
+        monkeypatch.setattr(chosen_path, "cut", counting)
+        base = prose(rng, 60, 5000)
+        texts = near_copies(rng, n, base.split(" ")) if kind == "copies" else [base + " " + prose(rng, 60, 5000) for _ in range(n)]
+        chosen_path.similarity_join(frame(spark, list(enumerate(texts)))).count()
+        made[n] = counts["paths"] + counts["settled"] + counts["mixed"]
+    assert made[sizes[-1]] < 1.6 * made[sizes[0]] * sizes[-1] / sizes[0]
+
+
 def test_similarity_join_of_nothing(spark):
     assert chosen_path.similarity_join(frame(spark, [(1, "a")]).limit(0)).collect() == []
     rows = chosen_path.similarity_join(frame(spark, [(1, None), (2, ""), (None, "a b")])).collect()
@@ -389,13 +447,47 @@ def test_licenses_fold_and_match_whole_units(spark):
     assert [tuple(r)[1:] for r in own.collect()] == [("A",)]
 
 
+HEADS = ["Copyright © 2024 Jane Doe", "Copyright (c) Microsoft Corporation.", "Copyright The Foo Authors", "© Copyright 2019, X",
+         "(c) Copyright Foo GmbH", "Copyright Foo Inc. 2020. All rights reserved.", "Copyright Jane Doe 2020",
+         "Copyright by Jane Doe 2020", "(c) Jane Doe 2020", "Portions Copyright (c) 2020 X", "SPDX-FileCopyrightText: 2020 Jane",
+         "SPDX-FileCopyrightText: Jane", "All rights reserved."]
+PROSE = ["Copyright notice, this list of conditions and the authors", "copyright holders and contributors", "C code is compiled",
+         "Copyright law in 2020", "copyright (c) notice of the team", "Copyright is held by the authors", "c 2020 is the standard",
+         "Copyright (c) 2020 X. All rights reserved. You may copy this freely under terms", "Copyright by Jane",
+         "(c) 2020 X, licensed under other terms"]
+
+
 def test_licenses_below_any_copyright_notice(spark):
     known, mit = licenses.known_digests(spark), licenses.KNOWN[0][1]
-    heads = ["Copyright © 2024 Jane Doe", "Copyright (c) Microsoft Corporation.", "Copyright The Foo Authors", "© Copyright 2019, X",
-             "(c) Copyright Foo GmbH", "Copyright Foo Inc. 2020. All rights reserved."]
-    prose = ["Copyright notice, this list of conditions and the authors", "copyright holders and contributors", "C code is compiled",
-             "Copyright law in 2020", "copyright (c) notice of the team", "Copyright is held by the authors"]
-    rows = list(enumerate([h + "\n\n" + mit for h in heads + prose]))
+    rows = list(enumerate([h + "\n\n" + mit for h in HEADS + PROSE]))
     got = {r.doc_id: (r.license_id, r.n_lines) for r in licenses.scan_licenses(frame(spark, rows), known).collect()}
-    assert [got[i] for i in range(len(heads))] == [("MIT", 3)] * len(heads)
-    assert [got[len(heads) + i] for i in range(len(prose))] == [(None, 4)] * len(prose)
+    assert [got[i] for i in range(len(HEADS))] == [("MIT", 3)] * len(HEADS)
+    assert [got[len(HEADS) + i] for i in range(len(PROSE))] == [(None, 4)] * len(PROSE)
+
+
+def test_license_sql_has_the_same_rule(spark):
+    mit = licenses.KNOWN[0][1]
+    rows = [(i, h + "\n" + mit) for i, h in enumerate(HEADS + PROSE)] + [(90, "c " * 4000), (91, None), (92, "")]
+    got = sorted(map(tuple, licenses.scan_licenses(frame(spark, rows), licenses.known_digests(spark)).select(
+        "doc_id", "digest", "license_id", "n_lines", "n_notices", "notices").collect()))
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(db.execute(queries.ORACLES["op1_license_scan"]).fetchall()) == got
+
+
+@pytest.mark.parametrize("text", ["c " * 4000, "copyright c " * 200_000, "c 2020 " * 200_000, "(c) " + "x" * 1_000_000 + " 2020",
+                                  "copyright " + "foo authors " * 100_000, "\n".join(["c"] * 300_000)])
+def test_licenses_of_very_long_texts(spark, text):
+    got = licenses.scan_licenses(frame(spark, [(1, text), (2, licenses.KNOWN[0][1])]), licenses.known_digests(spark))
+    assert {r.doc_id: r.license_id for r in got.collect()} == {1: None, 2: "MIT"}
+
+
+def test_complete_license_texts_are_known(spark):
+    folder = "/usr/share/common-licenses"
+    if not os.path.isdir(folder):
+        pytest.skip("no license texts on this machine")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    rows = [(i, open(f"{folder}/{f}", encoding="utf-8").read().upper()) for i, f in enumerate(names.values())]
+    got = licenses.scan_licenses(frame(spark, rows), licenses.known_digests(spark)).collect()
+    assert {r.doc_id: r.license_id for r in got} == dict(enumerate(names))
