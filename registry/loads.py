@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.tables import NORMAL, given, new_database
 from tablewright import (
-    ingest, key_relationships, column_catalog, load_folder, load_table, normalize, normalize_and_load,
+    file_manifest, ingest, key_relationships, column_catalog, load_folder, load_table, normalize, normalize_and_load,
     refresh_database, with_row_counts, write_csv, write_relationships,
 )
 from tablewright.operators.catalog import base_tables
 from tablewright.sinks.tables import report
-from tablewright.sources.files import scratch_path
+from tablewright.sources.files import remove_path, scratch_path
 
 
 def _normal(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,7 @@ def _normal(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 SHOWN = {
     "orders": ("o_orderkey", "o_totalprice", "o_orderpriority"), "part": ("p_partkey", "p_retailprice", "p_name"),
     "customer": ("c_custkey", "c_acctbal", "c_name"), "supplier": ("s_suppkey", "s_acctbal", "s_name"),
+    "nation": ("n_nationkey", "n_regionkey", "n_name"),
 }
 
 
@@ -198,3 +199,49 @@ def p2_ingest_and_relate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(views, ["from_table", "to_table"], "left").select(
         "from_table", "from_column", "to_table", "to_column", "confidence", "reason", "from_rows", "to_rows", "viewed"
     )
+
+
+@query("""
+    SELECT 'customer' AS "table", 'changed' AS state, c_custkey AS key, c_acctbal AS amount, c_name AS label
+    FROM customer WHERE c_acctbal > 0
+    UNION ALL SELECT 'orders', 'changed', o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 2 = 1
+    UNION ALL SELECT 'part', 'gone', NULL, NULL, NULL
+    UNION ALL SELECT 'supplier', 'new', s_suppkey, s_acctbal, s_name FROM supplier
+    UNION ALL SELECT 'nation', 'same', n_nationkey, n_regionkey, n_name FROM nation
+""")
+def p2_ingest_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the database holds after files were added, changed and removed, each table with what the second run did.
+
+    Of `orders` one of two part files leaves, `customer` is written anew, `part` leaves whole, `supplier` comes.
+    """
+    folder, database = scratch_path(spark, "p2again"), new_database(spark, "p2again")
+    orders, customer = given(spark, sf_dir, "orders"), given(spark, sf_dir, "customer")
+    orders.filter("o_orderkey % 2 = 0").write.parquet(f"{folder}/orders.parquet")
+    leaving = [r.path for r in file_manifest(spark, folder).filter("NOT hidden").collect()]
+    orders.filter("o_orderkey % 2 = 1").write.mode("append").parquet(f"{folder}/orders.parquet")
+    write_csv(customer, f"{folder}/customer.csv")
+    for name in ("part", "nation"):
+        given(spark, sf_dir, name).write.parquet(f"{folder}/{name}.parquet")
+    ingest(spark, folder, database)
+    for path in (*leaving, f"{folder}/part.parquet"):
+        remove_path(spark, path)
+    write_csv(customer.filter("c_acctbal > 0"), f"{folder}/customer.csv")
+    given(spark, sf_dir, "supplier").write.parquet(f"{folder}/supplier.parquet")
+    report, _ = ingest(spark, folder, database)
+    return _contents(spark, database).join(report.select("table", "state"), "table", "full").select(
+        "table", F.coalesce("state", F.lit("same")).alias("state"), "key", "amount", "label")
+
+
+@query("""
+    SELECT 'orders' AS "table", true AS success, count(*) AS rows, NULL AS refusal FROM orders
+    UNION ALL SELECT '_customer.csv', false, NULL, 'hidden' UNION ALL SELECT 'void.json', false, NULL, 'empty'
+""")
+def s2_refused_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with a table, one under a name that Spark passes over, and one of empty files: each is reported."""
+    folder = scratch_path(spark, "s2refused")
+    orders = given(spark, sf_dir, "orders")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    write_csv(given(spark, sf_dir, "customer"), f"{folder}/_customer.csv")
+    orders.filter("o_orderkey < 0").write.json(f"{folder}/void.json")
+    report = load_folder(spark, folder, new_database(spark, "s2refused"))
+    return report.select("table", "success", "rows", F.substring_index("error", ":", 1).alias("refusal"))

@@ -13,6 +13,7 @@ from tablewright import (
     csv_lines, file_manifest, infer_types, normalize, not_landed, scan_csv, scan_tables, write_csv,
 )
 from tablewright.functions.text import MISSING_TOKENS, table_name
+from tablewright.plans.ingest import missing_files
 from tablewright.sinks.csv_files import write_lines
 from tablewright.sources.files import scratch_path
 
@@ -150,3 +151,18 @@ def s12_not_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
         given(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("rows"), F.sum(k).alias("keys")).withColumn("table_name", F.lit(n))
         for n, k in keys.items()]
     return missing.join(reduce(DataFrame.unionByName, held), "table_name")
+
+
+@query("""
+    SELECT 'orders' AS table_name, count(*) + 1 AS lines FROM orders
+    UNION ALL SELECT 'part', count(*) + 1 FROM part
+""")
+def s12_content_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed under another name, landed with other rows, and not landed: the last two are missing."""
+    source, landing = scratch_path(spark, "s12source"), scratch_path(spark, "s12landing")
+    tables = {n: given(spark, sf_dir, n).coalesce(1) for n in ("customer", "orders", "part")}
+    for name, table in tables.items():
+        write_csv(table, f"{source}/{name}.csv")
+    write_csv(tables["customer"], f"{landing}/clients of old.csv")
+    write_csv(tables["orders"].filter("o_orderkey % 3 > 0"), f"{landing}/orders.csv")
+    return missing_files(spark, source, landing, by_content=True).filter("NOT hidden").select("table_name", "lines")

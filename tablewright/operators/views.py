@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from tablewright.functions.text import quoted
 from tablewright.operators.relations import viewable
 
 VIEWS_AT_ONCE = 4
+MADE = "tablewright.relationship"  # property of the views that create_views has published
 VIEW_REPORT_SCHEMA = "view string, from_table string, to_table string, on_column string, created boolean, error string"
 
 
@@ -95,7 +97,8 @@ def create_views(
 ) -> DataFrame:
     """Publish one view per pair of related tables and report each; a view that fails does not stop the rest.
 
-    Views hold all rows unless a `limit` is given. Pairs are read page by page, and their views made a few at a time.
+    Views hold all rows unless a `limit` is given. The names of all pairs are on the driver; their views are made a few
+    at a time.
 
     A pair related by several columns gets `view_<from>_join_<to>` for the first column by name;
     `every_column` adds `..._on_<column>` for the others.
@@ -119,7 +122,7 @@ def create_views(
                     next(n for n in s.names if n.lower() == k.lower()) for s, k in zip(schemas, (left_key, right_key))
                 ]
                 text = join_sql(left, right, *schemas, *spelled, pair.to_table, limit)
-                spark.sql(f"CREATE OR REPLACE VIEW {quoted(database)}.{quoted(name)} AS {text}")
+                spark.sql(f"CREATE OR REPLACE VIEW {quoted(database)}.{quoted(name)} TBLPROPERTIES ('{MADE}' = 'true') AS {text}")
                 report.append([*row, True, None])
             except FAILURES as problem:
                 report.append([*row, False, str(problem)])
@@ -129,3 +132,16 @@ def create_views(
         pairs = fit.orderBy("from_table", "to_table").toLocalIterator()
         made = [row for rows in pool.map(publish, pairs) for row in rows]
     return spark.createDataFrame(made, VIEW_REPORT_SCHEMA)
+
+
+def drop_views(spark: SparkSession, database: str, keep: Collection[str]) -> list[str]:
+    """Drop the views that `create_views` has published in a database, but those named (`database.view`) by `keep`."""
+    dropped = []
+    for listed in spark.catalog.listTables(database):
+        full = f"{quoted(database)}.{quoted(listed.name)}"
+        if listed.isTemporary or listed.tableType != "VIEW" or f"{database}.{listed.name}" in keep:
+            continue
+        if any(r.key == MADE for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()):
+            spark.sql(f"DROP VIEW IF EXISTS {full}")
+            dropped.append(listed.name)
+    return dropped

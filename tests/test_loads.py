@@ -1,4 +1,5 @@
 import json
+import threading
 
 import pytest
 from rows import values
@@ -11,8 +12,11 @@ from tablewright import (
 )
 from tablewright.functions.text import path_extension, path_stem, table_name
 from tablewright.operators.catalog import base_tables
-from tablewright.plans.ingest import missing_files
-from tablewright.sinks.tables import load_counts
+from tablewright.plans.ingest import missing_files, snapshot_diff, table_changes
+from tablewright.sinks import tables as sink
+from tablewright.sinks.tables import drop_table, load_counts
+from tablewright.sources import files
+from tablewright.sources.files import folder_names
 
 
 def stored(spark, database):
@@ -180,12 +184,11 @@ def test_ingest(spark, database, tmp_path):
 
 
 def test_a_failed_swap_leaves_the_old_rows(spark, database, monkeypatch):
-    from tablewright.sinks import tables as sink
-
+    """The swap by two renames, for a table whose columns change."""
     load_table(spark.range(3), database, "x")
     spark.sql(f"COMMENT ON TABLE {database}.x IS 'what''s here'")
     spark.sql(f"ALTER TABLE {database}.x SET TBLPROPERTIES ('team' = 'a''b')")
-    assert load_table(spark.range(5), database, "x").rows == 5
+    assert load_table(spark.range(5).withColumn("more", F.lit(1)), database, "x").rows == 5
     assert spark.catalog.getTable(f"{database}.x").description == "what's here"
     assert spark.sql(f"SHOW TBLPROPERTIES {database}.x ('team')").first().value == "a'b"
     real, calls = sink._rename, []
@@ -232,3 +235,148 @@ def test_a_second_ingest_loads_what_is_new(spark, database, tmp_path):
     (folder / "c.csv").write_text("k\n1\n")
     more, _ = ingest(spark, str(folder), database)
     assert sorted((r.table, r.rows) for r in more.collect()) == [("b", 2), ("c", 1)]
+
+
+def test_readers_find_old_or_new_rows_during_loads(spark, database):
+    """Loads that change neither columns nor kind are one catalog call; versions that nobody needs are deleted."""
+    load_table(spark.range(1000), database, "x")
+    spark.sql(f"ALTER TABLE {database}.x SET TBLPROPERTIES ('team' = 'a')")
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(spark.table(f"{database}.x").count())
+            except Exception as problem:  # whatever a reader meets is a failure of the swap
+                seen.append(str(problem))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    done = [load_table(spark.range(n * 1000), database, "x").rows for n in (2, 3, 4, 5)]
+    stop.set()
+    reader.join()
+    assert done == [2000, 3000, 4000, 5000] and len(seen) > 3
+    assert set(seen) <= {1000, 2000, 3000, 4000, 5000} and seen == sorted(seen)
+    assert spark.sql(f"SHOW TBLPROPERTIES {database}.x ('team')").first().value == "a"
+    root = spark.catalog.getDatabase(database).locationUri
+    assert sum(n.startswith("x") for n in folder_names(spark, root)) == 2
+    drop_table(spark, database, "x")
+    assert folder_names(spark, root) == [] and not spark.catalog.tableExists(f"{database}.x")
+    assert load_table(spark.range(2), database, "x").rows == 2
+
+
+def test_a_failed_pointer_leaves_the_old_rows(spark, database, monkeypatch):
+    load_table(spark.range(3), database, "x")
+
+    def broken(*_):
+        raise ValueError("no catalog")
+
+    monkeypatch.setattr(sink, "_set_location", broken)
+    assert not load_table(spark.range(9), database, "x").success
+    assert spark.table(f"{database}.x").count() == 3
+    assert len(folder_names(spark, spark.catalog.getDatabase(database).locationUri)) == 1
+
+
+def test_tables_of_other_kinds_are_replaced_by_renames(spark, database, tmp_path):
+    spark.range(4).write.option("path", str(tmp_path / "own")).saveAsTable(f"{database}.outside")
+    spark.range(4).write.format("json").saveAsTable(f"{database}.lines")
+    for name in ("outside", "lines"):
+        assert load_table(spark.range(6), database, name).rows == 6
+        assert spark.table(f"{database}.{name}").count() == 6
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 4
+
+
+def test_loads_count_on_the_way(spark, database):
+    """No second pass over the rows: the source is read once."""
+    read = spark.sparkContext.accumulator(0)
+    tick = F.udf(lambda x: read.add(1) or x, "long").asNondeterministic()
+    rows = spark.range(50).select(tick("id").alias("id"))
+    assert load_table(rows, database, "x").rows == 50 and load_table(rows, database, "x").rows == 50
+    assert load_table(rows.filter("id > 100"), database, "e") == ("e", True, 0, None)
+    assert load_table(rows, database, "e", "empty").rows == 50 and read.value == 200
+
+
+def test_hidden_and_empty_files(spark, database, tmp_path):
+    root = tmp_path / "in"
+    (root / "deep" / "_x").mkdir(parents=True)
+    (root / "parts.csv").mkdir()
+    for name, text in {"a.csv": "k\n1\n", "_x.csv": "k\n1\n", ".y.csv": "k\n", "void.csv": "", "deep/_x/z.csv": "k\n",
+                       "parts.csv/p0.csv": "k\n1\n", "parts.csv/_SUCCESS": "", "parts.csv/.p0.csv.crc": "x"}.items():
+        (root / name).write_text(text)
+    listed = {r.path.partition("/in/")[2]: (r.length, r.hidden) for r in file_manifest(spark, str(root)).collect()}
+    assert listed == {
+        "a.csv": (4, False), "_x.csv": (4, True), ".y.csv": (2, True), "void.csv": (0, False), "deep/_x/z.csv": (2, True),
+        "parts.csv/p0.csv": (4, False), "parts.csv/_SUCCESS": (0, True), "parts.csv/.p0.csv.crc": (1, True)}
+    shallow = {r.path.partition("/in/")[2] for r in file_manifest(spark, str(root), recursive=False).collect()}
+    assert shallow == set(listed) - {"deep/_x/z.csv"}
+    with pytest.warns(UserWarning, match="_x.csv"):
+        assert list(scan_tables(spark, str(root))) == ["a", "parts"]
+    report = {r.table: r.error for r in load_folder(spark, str(root), database).collect()}
+    assert set(report) == {"a", "parts", "_x.csv", ".y.csv", "void.csv"}
+    assert report["a"] is None and report["_x.csv"].startswith("hidden") and report["void.csv"].startswith("empty")
+
+
+def test_folders_are_listed_round_by_round(spark, tmp_path, monkeypatch):
+    """Tasks that may list two entries each: what is left goes to the next round, and nothing is lost."""
+    monkeypatch.setattr(files, "FOLLOWED", 2)
+    want = set()
+    for i in range(4):
+        for j in range(3):
+            deep = tmp_path / f"f {i}" / f"g%{j}"
+            deep.mkdir(parents=True)
+            (deep / f"{i}-{j}.csv").write_text("k\n")
+            want.add(f"f {i}/g%{j}/{i}-{j}.csv")
+    assert {r.inner for r in files.list_files(spark, str(tmp_path)).collect()} == want
+
+
+def test_stores_without_an_arrow_driver_are_listed_by_spark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_readable_by_arrow", lambda root: False)
+    root = folder(tmp_path)
+    assert file_manifest(spark, root, (".csv",)).count() == 5
+    assert list(scan_tables(spark, root)) == ["a_items", "b_orders", "parts"]
+
+
+def test_content_decides_what_has_landed(spark, tmp_path):
+    for place, name, text in (("a", "x.csv", "k\n1\n2\n"), ("a", "y.csv", "k\n3\n"), ("a", "z.csv", "k\n4\n"), ("a", "e.csv", ""),
+                              ("b", "copy of x.csv", "k\n2\n1\n"), ("b", "y.csv", "k\n5\n"), ("b", "also empty.csv", "")):
+        (tmp_path / place).mkdir(exist_ok=True)
+        (tmp_path / place / name).write_text(text)
+    missing = missing_files(spark, str(tmp_path / "a"), str(tmp_path / "b"), by_content=True)
+    assert sorted(r["name"] for r in missing.collect()) == ["y.csv", "z.csv"]
+
+
+def test_ingest_follows_deletions(spark, database, tmp_path):
+    """Part files, tables and views that left the folder leave the database; what fails is tried again."""
+    root = tmp_path / "in"
+    (root / "orders.csv").mkdir(parents=True)
+    (root / "orders.csv" / "p0.csv").write_text("cust_no,v\n1,2\n")
+    (root / "orders.csv" / "p1.csv").write_text("cust_no,v\n2,2\n3,3\n")
+    (root / "cust.csv").write_text("cust_no,w\n1,x\n")
+    (root / "same.csv").write_text("z\n1\n")
+    (root / "bad.parquet").write_text("not parquet")
+    states = lambda report: {r.table: r.state for r in report.collect()}
+    first, done = ingest(spark, str(root), database)
+    assert states(first) == dict.fromkeys(("orders", "cust", "same", "bad"), "new") and done.views.count() == 1
+    assert spark.table(f"{database}.view_cust_join_orders").count() == 1
+    (root / "orders.csv" / "p1.csv").unlink()
+    (root / "cust.csv").unlink()
+    second, done = ingest(spark, str(root), database)
+    assert states(second) == {"orders": "changed", "cust": "gone", "bad": "changed"}
+    assert values(spark.table(f"{database}.orders")) == [(1, 2)] and spark.table(f"{database}.same").count() == 1
+    assert sorted(t.name for t in spark.catalog.listTables(database)) == ["files__landed", "orders", "same"]
+    (root / "bad.parquet").unlink()
+    assert states(ingest(spark, str(root), database)[0]) == {"bad": "gone"}
+    assert states(ingest(spark, str(root), database)[0]) == {}
+
+
+def test_snapshot_diff(spark):
+    schema = "table string, path string, length long, modified long"
+    now = [("a", "a/1", 1, 1), ("a", "a/2", 2, 2), ("b", "b", 1, 1), ("d", "d", 1, 1), ("e", "e", 9, 1), ("g2", "g", 1, 1)]
+    then = [("a", "a/1", 1, 1), ("a", "a/2", 2, 1), ("b", "b", 1, 1), ("c", "c", 1, 1), ("e", "e", None, 1), ("g", "g", 1, 1)]
+    now, then = spark.createDataFrame(now, schema), spark.createDataFrame(then, schema)
+    assert sorted(values(snapshot_diff(now, then))) == [
+        ("a", "a/1", "same"), ("a", "a/2", "changed"), ("b", "b", "same"), ("c", "c", "gone"), ("d", "d", "new"),
+        ("e", "e", "changed"), ("g2", "g", "changed")]
+    assert sorted(values(table_changes(now, then))) == [
+        ("a", "changed"), ("b", "same"), ("c", "gone"), ("d", "new"), ("e", "changed"), ("g", "gone"), ("g2", "new")]
+    assert table_changes(now.limit(0), then.limit(0)).count() == 0
