@@ -37,7 +37,7 @@ PIVOTS = 4            # sets of a larger bucket that all others are compared wit
 DENSE = 0.5           # share of tokens that sets have in common with the pivots, on average, in a bucket not worth splitting
 BLOCK_SETS = 512      # sets of a component in a block, as long as SIDES blocks are enough
 SIDES = 8             # copies of a set that its comparisons take, unless blocks outgrow the memory of a task
-BLOCK_SHINGLES = 4_000_000  # 32 MB
+BLOCK_SHINGLES = 1_000_000  # 8 MB, and some ten times that while two blocks are compared
 MOST_SETS = 8192
 CHUNK_SETS = 1024     # sets that are compared with a block at once
 FEW = 300_000         # members sent to all executors to fetch their texts; more are joined by a shuffle
@@ -121,7 +121,7 @@ def _run(classes: DataFrame, edges: list[DataFrame]) -> DataFrame | None:
         sizes = level.groupBy("path").agg(F.count(F.lit(1)).alias("size"), _one_candidate().alias("done"))
         sizes = sizes.filter("size > 1 AND NOT done").drop("done")
         met = cut(level.join(sizes, "path").join(tokens, "class"), "paths")
-        edges.append(_compare(met.filter(F.col("size") <= LIMIT).select("path", "class", "n", "tokens")))
+        edges.append(cut(_compare(met.filter(F.col("size") <= LIMIT).select("path", "class", "n", "tokens")), "near"))
         large = met.filter(F.col("size") > LIMIT)
         if large.isEmpty():
             break
