@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 RECALL = 0.9995
 TOKENS = 64           # tokens that embed a set
 LIKELY = 38           # candidates share at least so many (a pair at the bound shares 51 +- 3.2)
-LIMIT = 256           # sets in a bucket that is compared all against all
+LIMIT = 1024          # sets in a bucket that is compared all against all
 PIVOTS = 4            # sets of a larger bucket that all others are compared with
 DENSE = 0.5           # share of tokens that sets have in common with the pivots, on average, in a bucket not worth splitting
 BLOCK_SETS = 512      # sets of a component in a block, as long as SIDES blocks are enough
