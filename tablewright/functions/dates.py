@@ -16,6 +16,7 @@ SHAPES = {
     "y": r"\d{4}", "t": r"\d{2}", "m": r"\d{1,2}", "l": r"(?:0?[1-9]|1[0-2])", "d": r"\d{1,2}", "M": r"\d{2}",
     "D": r"\d{2}", "b": f"(?i:{'|'.join(n[:3] for n in NAMES)})", "B": f"(?i:{'|'.join(NAMES)})",
 }
+PARTS = {"t": "y", "l": "m", "M": "m", "b": "m", "B": "m", "D": "d"}  # which part of a date a letter is
 # Date layouts, in the order in which the first value is held against them.
 DATE_LAYOUTS = (
     "{y}-{m}-{d}", "{y}/{m}/{d}", "{y}.{m}.{d}", "{y}-{b}-{d}", "{y}{M}{D}", "{y}-{m}",
@@ -48,6 +49,7 @@ FALLBACK_LAYOUTS = (
 )
 # The calendar days a 64-bit nanosecond timestamp covers in full.
 EARLIEST, LATEST = "1677-09-22", "2262-04-11"
+YEARS_INSIDE = r"(?:16(?:7[89]|[89]\d)|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"  # the years of which all days are covered
 OFFSET = r"(?: ?(?:Z|UTC|GMT)|[+-]\d{2}(?::?\d{2})?)"
 NANOSECONDS_PER_DAY = 86_400_000_000_000
 
@@ -58,14 +60,10 @@ class Layout(NamedTuple):
     has_offset: bool
 
 
-def _shape(date: str, named: bool = False) -> str:
-    """The pattern of a date layout; with `named`, its parts are groups y, m and d for Java."""
-    def part(found: re.Match) -> str:
-        letter = found.group(1)
-        group = {"t": "y", "l": "m", "M": "m", "b": "m", "B": "m", "D": "d"}.get(letter, letter)
-        return f"(?<{group}>{SHAPES[letter]})" if named else SHAPES[letter]
-
-    return re.sub(r"\{(\w)\}", part, date.replace(".", r"\."))
+def _shape(date: str, year: str | None = None) -> str:
+    """The pattern of a date layout; `year` in place of that of any year."""
+    return re.sub(r"\{(\w)\}", lambda part: year if year and part.group(1) == "y" else SHAPES[part.group(1)],
+                  date.replace(".", r"\."))
 
 
 def guess_layout(value: str) -> Layout | None:
@@ -91,38 +89,65 @@ def utc_offset(c: Column) -> Column:
     return F.when(mark.isin("Z", "UTC", "GMT"), "+0000").when(mark != "", digits)
 
 
-def _day(c: Column, date: str, rest: str) -> Column:
-    """The day of a text of this layout, else null, by one match: its parts in order, or else two hyphens."""
-    parts = "-".join("${%s}" % x if f"(?<{x}>" in _shape(date, True) else "1" for x in "ymd")
-    none = F.regexp_replace(c, rf"(?s)^(?:(?:{WEEKDAY})?{_shape(date, True)}{rest}\z|.*)", parts)
-    if not any(x in date for x in ("{b}", "{B}", "{t}")):
-        # what does not match has no year
-        return none.try_cast("date")
+def _parts(c: Column, date: str, rest: str) -> Column:
+    """Year, month and day of a text of this layout, cut out by place and joined by hyphens."""
+    letters = re.findall(r"\{(\w)\}", date)
+    if date == "{y}{M}{D}":
+        return F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    mark = re.sub(r"\{\w\}|,", "", date)[:1]
+
+    def last(cell: Column) -> Column:
+        """Without the time that may stand behind, or, where any time may, an offset alone."""
+        if rest.startswith(ANY_TIME):
+            return F.regexp_extract(cell, r"^[\d-]*\d", 0)
+        return F.substring_index(F.substring_index(cell, " ", 1), "T", 1)
+
+    if date == "{y}-{m}-{d}" and not rest.startswith(ANY_TIME):
+        return last(c)
+    cells = [F.substring_index(F.substring_index(c, mark, k), mark, -1) if mark else c for k in range(1, len(letters) + 1)]
+    cells[-1] = last(cells[-1])
+    parts = {PARTS.get(x, x): _number(cell, x) for x, cell in zip(letters, cells)}
+    return F.concat_ws("-", *[parts.get(x, F.lit("1")) for x in "ymd"])
 
-    def number(ordered: Column) -> Column:
-        year, month = F.split_part(ordered, F.lit("-"), F.lit(1)), F.split_part(ordered, F.lit("-"), F.lit(2))
-        if "{t}" in date:
-            year = F.when(year.between("00", "68"), F.concat(F.lit("20"), year)).when(year != "", F.concat(F.lit("19"), year))
-        if "{b}" in date or "{B}" in date:
-            place = F.instr(F.lit("".join(n[:3].lower() for n in NAMES)), F.lower(F.substring(month, 1, 3)))
-            month = ((place + 2) / 3).cast("int").cast("string")
-        return F.concat_ws("-", F.coalesce(year, F.lit("")), month, F.split_part(ordered, F.lit("-"), F.lit(3)))
 
-    return F.transform(F.array(none), number).getItem(0).try_cast("date")
+def _day_text(c: Column, date: str, rest: str) -> Column:
+    """The day of a text of this layout as `yyyy-MM-dd`, else null: one match, then its parts are cut out by place.
+
+    Each expression stands once for the common case, as what is repeated inside of conditions is evaluated again.
+    """
+    plain = c.rlike(rf"(?s)^{_shape(date, YEARS_INSIDE)}{rest}\z")
+    day = _parts(c, date, rest).try_cast("date").cast("string")
+    # a weekday, which ends with the first space, or a year of which not all days count
+    other = c.rlike(rf"(?s)^(?:{WEEKDAY})?{_shape(date)}{rest}\z")
+    bare = F.when(c.rlike(f"^{WEEKDAY}"), F.substring(c, F.instr(c, F.lit(" ")) + 1, F.length(c))).otherwise(c)
+    odd = _parts(bare, date, rest).try_cast("date")
+    counted = odd.between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date"))
+    return F.when(plain, day).when(other, F.when(counted, odd.cast("string")))
+
+
+def _number(cell: Column, letter: str) -> Column:
+    """One part of a date as digits."""
+    if letter == "y":
+        return F.substring(cell, 1, 4)
+    if letter == "t":
+        return F.concat(F.when(cell <= "68", "20").otherwise("19"), cell)
+    if letter in "bB":
+        place = F.instr(F.lit("".join(n[:3].lower() for n in NAMES)), F.lower(F.substring(cell, 1, 3)))
+        return ((place + 2) / 3).cast("int").cast("string")
+    return F.replace(cell, F.lit(","), F.lit(""))
 
 
 def date_text(c: Column, layout: Layout | None) -> Column:
     """Values of that layout as `yyyy-MM-dd`, all others null. Offsets keep the date as written.
 
-    A pattern brings the parts of a date into order, so that a plain cast reads it: parsing by a formatter is several
-    times slower, and a failed parse costs a hundred times a failed match.
+    Parts of a date are cut out by place where a pattern matches, and put in order, so that a plain cast reads them:
+    parsing by a formatter is several times slower, and a failed parse costs a hundred times a failed match.
     """
     if layout is None:
         text = F.trim(c)
-        day = F.coalesce(*[_day(text, date, f"{ANY_TIME}{OFFSET}?" if "d}" in date.lower() else "") for date in FALLBACK_LAYOUTS])
-    else:
-        day = _day(c, layout.date, layout.time_shape + (OFFSET if layout.has_offset else ""))
-    return F.when(day.between(F.lit(EARLIEST).cast("date"), F.lit(LATEST).cast("date")), day.cast("string"))
+        rest = {date: f"{ANY_TIME}{OFFSET}?" if "d}" in date.lower() else "" for date in FALLBACK_LAYOUTS}
+        return F.coalesce(*[_day_text(text, date, rest[date]) for date in FALLBACK_LAYOUTS])
+    return _day_text(c, layout.date, layout.time_shape + (OFFSET if layout.has_offset else ""))
 
 
 def epoch_date_text(c: Column) -> Column:

@@ -6,6 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablewright.functions.text import quoted
+from tablewright.sources.files import plain_path
 
 NO_DESCRIPTION = "No description"  # fixed value, as are the labels in schema_document
 UNFINISHED = ("__incoming", "__replaced")  # tables a load has not put in place yet
@@ -28,15 +32,43 @@ def row_counts(tables: dict[str, DataFrame], known: dict[str, int | None] | None
     return reduce(DataFrame.unionByName, counts)
 
 
+def stored_rows(spark: SparkSession, database: str) -> DataFrame:
+    """`(table_name, num_rows)` of all stored Parquet tables of a database, by one scan over their folders.
+
+    The scan has no columns: it reads the footers of the files, and counts by the folder that a file lies in.
+    """
+    places = stored_folders(spark, database)
+    if not places:
+        return spark.createDataFrame([], "table_name string, num_rows bigint")
+    folder = F.regexp_replace("_metadata.file_path", r"(/[^/=]+=[^/]*)*/[^/]*$", "")
+    files = spark.read.schema(T.StructType([])).option("recursiveFileLookup", "true").parquet(*places.values())
+    counts = files.groupBy(plain_path(folder).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    named = spark.createDataFrame(list(places.items()), "table_name string, folder string")
+    named = named.withColumn("folder", F.regexp_replace(F.regexp_replace("folder", "/+$", ""), "^file:/+", "file:/"))
+    return named.join(counts, "folder", "left").select("table_name", F.coalesce("n", F.lit(0)).alias("num_rows"))
+
+
+def stored_folders(spark: SparkSession, database: str) -> dict[str, str]:
+    """Where the stored Parquet tables of a database have their files."""
+    about = spark.sql(f"SHOW TABLE EXTENDED IN {quoted(database)} LIKE '*'").filter("NOT isTemporary").collect()
+    facts = {r.tableName: dict(line.split(": ", 1) for line in r.information.splitlines() if ": " in line) for r in about}
+    return {
+        n: f["Location"] for n, f in facts.items()
+        if f.get("Type") in ("MANAGED", "EXTERNAL") and f.get("Provider", "").lower() == "parquet" and "Location" in f
+    }
+
+
 def column_catalog(
     tables: dict[str, DataFrame],
     descriptions: dict[str, str] | None = None,
     rows: bool = True,
     known_rows: dict[str, int | None] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Catalog of a table set, in set order. Reads schemas now, counts rows when it is used.
 
-    Relationships need no counts: `rows=False` leaves the tables unread.
+    Relationships need no counts: `rows=False` leaves the tables unread. `counted` has rows by table_name for some of
+    the tables, `known_rows` as numbers; the others are counted.
     """
     if not tables:
         raise ValueError("No tables found")
@@ -48,7 +80,11 @@ def column_catalog(
     ]
     spark = next(iter(tables.values())).sparkSession
     catalog = spark.createDataFrame(listed, CATALOG_SCHEMA)
-    return catalog.join(row_counts(tables, known_rows), "table_name") if rows else catalog
+    if not rows:
+        return catalog
+    if counted is None:
+        return catalog.join(row_counts(tables, known_rows), "table_name")
+    return catalog.join(counted, "table_name")
 
 
 def base_tables(spark: SparkSession, database: str, listed: list | None = None) -> dict[str, DataFrame]:
@@ -63,10 +99,22 @@ def base_tables(spark: SparkSession, database: str, listed: list | None = None)
 def database_catalog(
     spark: SparkSession, database: str, known_rows: dict[str, int | None] | None = None
 ) -> DataFrame:
-    """Catalog of the stored tables; those whose rows are known, from a load, are not counted again."""
+    """Catalog of the stored tables; those whose rows are known, from a load, are not counted again.
+
+    Parquet tables are counted together, by one scan.
+    """
     listed = spark.catalog.listTables(database)
     described = {t.name: t.description for t in listed if t.description}
-    return column_catalog(base_tables(spark, database, listed), described, known_rows=known_rows)
+    tables = base_tables(spark, database, listed)
+    known = {n: r for n, r in (known_rows or {}).items() if r is not None and n in tables}
+    parquet = set(stored_folders(spark, database)) - set(known)
+    apart = {n: t for n, t in tables.items() if n not in parquet}
+    if len(parquet & set(tables)) < 2:
+        return column_catalog(tables, described, known_rows=known)
+    counts = stored_rows(spark, database).filter(F.col("table_name").isin(*(parquet & set(tables))))
+    if apart:
+        counts = counts.unionByName(row_counts(apart, known))
+    return column_catalog(tables, described, counted=counts)
 
 
 def column_list(catalog: DataFrame) -> DataFrame:

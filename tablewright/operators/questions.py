@@ -17,6 +17,7 @@ from tablewright.functions.text import float_text, quoted
 PREVIEW_ROWS = 100
 DIGEST_ROWS = 5
 NO_RESULTS = "No results found."
+SHOWN = "__shown"  # a row as JSON text, beside its values
 
 
 def count_by(df: DataFrame, key: str, name: str = "rows") -> DataFrame:
@@ -107,6 +108,14 @@ def digest(df: DataFrame) -> DataFrame:
     return both.select("row_count", text.alias("digest"))
 
 
+def _digest_text(rows: int, shown: list[str]) -> str:
+    """The text of `digest` for a result whose first rows are on the driver."""
+    if not rows:
+        return NO_RESULTS
+    listed = "[\n" + ",\n".join(shown) + "\n]"
+    return listed if rows <= DIGEST_ROWS else f"First {DIGEST_ROWS} rows:\n{listed}\n\nTotal rows: {rows}"
+
+
 @dataclass
 class Answer:
     query: str
@@ -145,9 +154,13 @@ def answer(
         with _named(spark, tables or {}):
             result = spark.sql(text)
             shown = PREVIEW_ROWS if cap is None or has_limit(spark, text) else min(cap, PREVIEW_ROWS)
-        summary = digest(result).first()
-        preview = [r.asDict(recursive=True) for r in result.limit(shown).collect()]
-        return Answer(question, text, summary.row_count, preview, summary.digest)
+        # one run gives the preview and the beginning of the digest; a second one counts what is longer than that
+        head = result.select("*", row_json(result.schema).alias(SHOWN)).limit(PREVIEW_ROWS + 1).collect()
+        rows = len(head) if len(head) <= PREVIEW_ROWS else result.count()
+        preview = [r.asDict(recursive=True) for r in head[:shown]]
+        for row in preview:
+            del row[SHOWN]
+        return Answer(question, text, rows, preview, _digest_text(rows, [r[SHOWN] for r in head[:DIGEST_ROWS]]))
     except FAILURES as problem:
         return Answer(question, text, error=f"The query did not run: {problem}")
 

@@ -170,19 +170,18 @@ def fingerprints(spark: SparkSession, folder: str, manifest: DataFrame) -> DataF
     One pass over the bytes, whatever they mean. Files without lines, and hidden ones, which Spark does not read, have
     zeros.
     """
-    # Spark writes the path with percent signs, where + stays as it is
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     value = F.col("value").cast("binary")
     sums = [F.sum(F.xxhash64(F.lit(seed), value).cast("decimal(20,0)")).alias(f"sum{seed}") for seed in (1, 2)]
     lines = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(folder).groupBy(
-        _plain_path(path).alias("plain")).agg(F.count(F.lit(1)).alias("lines"), *sums)
-    both = manifest.withColumn("plain", _plain_path(F.col("path"))).join(lines, "plain", "left").drop("plain")
+        plain_path(F.col("_metadata.file_path")).alias("plain")).agg(F.count(F.lit(1)).alias("lines"), *sums)
+    both = manifest.withColumn("plain", F.regexp_replace("path", "^file:/+", "file:/")).join(lines, "plain", "left").drop("plain")
     return both.fillna({"lines": 0}).withColumns({c: F.coalesce(c, F.lit(0).cast("decimal(30,0)")) for c in ("sum1", "sum2")})
 
 
-def _plain_path(path: Column) -> Column:
-    """A path with one slash after `file:`, as it may be written with three."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+def plain_path(path: Column) -> Column:
+    """The path of a file as it is listed, from `_metadata.file_path`: without percent signs, one slash after `file:`."""
+    # + stands for itself there
+    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
 
 
 def not_landed(manifest: DataFrame, landed: DataFrame, key: str | tuple[str, ...] = "name") -> DataFrame:

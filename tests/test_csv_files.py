@@ -229,3 +229,68 @@ def test_parts_may_order_their_columns_differently(spark, tmp_path):
     (folder / "p3.csv").write_text("a,c\n1,2\n")
     with pytest.raises(ValueError, match="p3.csv"):
         scan_csv(spark, str(folder))
+
+
+def test_states_of_lines_match_a_reader_by_character():
+    """What each line does to an open quote, from both states, against reading it sign by sign."""
+    import random
+
+    import pyarrow as pa
+
+    from tablewright.sources.csv_files import _line_states, _states_after
+
+    def after(line, inside):
+        begin, i = True, 0  # of a cell
+        while i < len(line):
+            c = line[i]
+            if inside:
+                if c == '"':
+                    if line[i + 1:i + 2] == '"':
+                        i += 1
+                    else:
+                        inside, begin = False, False
+            elif c == '"' and begin:
+                inside = True
+            else:
+                begin = c == ","
+            i += 1
+        return inside
+
+    rng = random.Random(3)
+    lines = ["".join(rng.choice('"",,ax é') for _ in range(rng.randrange(12))) for _ in range(4000)]
+    none, opened = _line_states(pa.array(lines))
+    assert none.tolist() == [after(t, False) for t in lines] and opened.tolist() == [after(t, True) for t in lines]
+    for begin in (False, True):
+        state, want = begin, []
+        for t in lines:
+            state = after(t, state)
+            want.append(state)
+        assert _states_after(none, opened, begin).tolist() == want
+
+
+def test_bytes_that_are_no_text_inside_quotes(spark, tmp_path):
+    path = put(tmp_path, b'a,b\n1,"x\xff\ny"\n2,"z"\n')
+    both_splits(spark, lambda: values(scan_csv(spark, path).orderBy("a")) == [("1", "x\ufffd\ny"), ("2", "z")] or pytest.fail(
+        str(values(scan_csv(spark, path)))), "9b")
+
+
+def test_a_stray_quote_stays_bounded(spark, tmp_path, monkeypatch):
+    """What follows a quote that nothing closes is one malformed record: dropped, and no task holds it."""
+    from tablewright.sources import csv_files
+
+    monkeypatch.setattr(csv_files, "LONGEST_RECORD", 2000)
+    lines = ["a,b", *[f'{i},"t\n{i}"' for i in range(200)], '200,"stray', *[f"{i},plain" for i in range(201, 3000)]]
+    path = put(tmp_path, "\n".join(lines) + "\n")
+    longest = []
+    real = csv_files.stored
+
+    def looking(df, label):
+        out = real(df, label)
+        if label == "records":
+            longest.append(out.agg(F.max(F.length("record"))).first()[0])
+        return out
+
+    monkeypatch.setattr(csv_files, "stored", looking)
+    both_splits(spark, lambda: sorted(values(scan_csv(spark, path))) == sorted((str(i), f"t\n{i}") for i in range(200)) or pytest.fail(
+        str(len(values(scan_csv(spark, path))))), "1kb")
+    assert max(longest) <= 2000

@@ -6,7 +6,8 @@ from rows import values
 from pyspark.sql import functions as F
 
 from tablewright import (
-    file_manifest, ingest, key_relationships, column_catalog, load_folder, load_table, load_tables, normalize_all,
+    database_catalog, file_manifest, ingest, key_relationships, column_catalog, load_folder, load_table, load_tables,
+    normalize_all,
     normalize_and_load, normalize_sheets, read_table, refresh_database, relationship_document, scan_csv, scan_tables,
     write_csv, write_relationships, write_sheets,
 )
@@ -336,6 +337,23 @@ def test_stores_without_an_arrow_driver_are_listed_by_spark(spark, tmp_path, mon
     assert list(scan_tables(spark, root)) == ["a_items", "b_orders", "parts"]
 
 
+def test_stored_tables_are_counted_by_one_scan(spark, database):
+    """Fourteen tables, empty, partitioned and reloaded ones among them: one relation in the plan."""
+    from tablewright.operators.catalog import stored_rows
+
+    for i in range(11):
+        load_table(spark.range(i), database, f"t{i}")
+    load_table(spark.range(70), database, "t7")
+    spark.range(50).selectExpr("id", "id % 3 AS k", "'a b+%' AS s").write.partitionBy("k", "s").saveAsTable(f"{database}.parts")
+    spark.range(4).write.format("json").saveAsTable(f"{database}.lines")
+    want = {f"t{i}": i for i in range(11)} | {"t7": 70, "parts": 50}
+    counted = stored_rows(spark, database)
+    assert dict(values(counted)) == want
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    catalog = {r.table_name: r.num_rows for r in database_catalog(spark, database, {"t3": 33}).collect()}
+    assert catalog == want | {"lines": 4, "t3": 33}
+
+
 def test_content_decides_what_has_landed(spark, tmp_path):
     for place, name, text in (("a", "x.csv", "k\n1\n2\n"), ("a", "y.csv", "k\n3\n"), ("a", "z.csv", "k\n4\n"), ("a", "e.csv", ""),
                               ("b", "copy of x.csv", "k\n2\n1\n"), ("b", "y.csv", "k\n5\n"), ("b", "also empty.csv", "")):
@@ -380,3 +398,21 @@ def test_snapshot_diff(spark):
     assert sorted(values(table_changes(now, then))) == [
         ("a", "changed"), ("b", "same"), ("c", "gone"), ("d", "new"), ("e", "changed"), ("g", "gone"), ("g2", "new")]
     assert table_changes(now.limit(0), then.limit(0)).count() == 0
+
+
+def test_one_document_of_many_parts(spark, tmp_path):
+    """Part files, put together by name, are the document that one task would have made."""
+    from tablewright.sinks.metadata import write_document
+
+    reports = spark.createDataFrame(
+        [(f't "{i:03}"\n', f"/x/{i}.csv", i, 1, ["a", 'b"']) for i in range(300)],
+        "table string, path string, rows long, cols int, columns array<string>")
+    found = spark.createDataFrame(
+        [(f"t{i}", "id", f"t{i + 1}", "id", "potential_foreign_key", "high") for i in range(500)] * 2,
+        "from_table string, from_column string, to_table string, to_column string, relationship_type string, confidence string")
+    assert write_document(reports, found.distinct(), str(tmp_path / "doc"), 8)
+    parts = sorted((tmp_path / "doc").glob("part-*"))
+    assert len(parts) == 8 and max(p.stat().st_size for p in parts) < 0.5 * sum(p.stat().st_size for p in parts)
+    written = json.loads("".join(p.read_text() for p in parts))
+    assert written == json.loads(relationship_document(reports, found.distinct()).first().value)
+    assert not write_document(reports, found.limit(0), str(tmp_path / "none"))

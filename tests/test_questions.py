@@ -80,3 +80,15 @@ def test_answers(spark):
     bad = answer(spark, "SELECT nothing FROM nowhere")
     assert "The query did not run" in bad.error and bad.sql == "SELECT nothing FROM nowhere"
     assert "The query did not run" in answer(spark, "SELECT CAST('x' AS INT)").error
+
+
+def test_an_answer_runs_its_statement_once(spark):
+    """Short results are counted from what the preview has read; the digest is the one of `digest`."""
+    read = spark.sparkContext.accumulator(0)
+    spark.udf.register("seen_row", F.udf(lambda x: read.add(1) or x, "long").asNondeterministic())
+    for n, passes in ((0, 1), (4, 1), (90, 1)):
+        before = read.value
+        done = answer(spark, f"SELECT seen_row(id) AS id, 1.5 AS v FROM range(0, {n}, 1, 1)")
+        assert (done.row_count, len(done.data), read.value - before) == (n, n, passes * n)
+        assert done.digest == digest(spark.sql(f"SELECT id, 1.5 AS v FROM range(0, {n}, 1, 1)")).first().digest
+        assert all(set(r) == {"id", "v"} for r in done.data)
