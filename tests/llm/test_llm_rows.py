@@ -370,3 +370,16 @@ def test_linking_against_brute_force(spark):
     got = tool_calls.link_conversations(*(f.repartition(3) for f in frames), {}).collect()
     assert Counter((r.conv_id, r.call_id, r.turn, r.status, r.position, r.n_refs, r.n_unresolved) for r in got) == brute_link(
         calls, results)
+
+
+def test_suffixes_from_a_list(spark, tmp_path):
+    (tmp_path / "list.dat").write_text(
+        "// a comment\n\nco.uk\n*.ck\n!www.ck  // kept\npref.city.jp\n*.city.jp\nUK\n")
+    suffixes = url_filter.read_suffixes(spark, str(tmp_path / "list.dat"))
+    assert suffixes == ["!www.ck", "*.city.jp", "*.ck", "co.uk", "pref.city.jp", "uk"]
+    hosts = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x.y.ck": ("x.y.ck", "y.ck"), "z.www.ck": ("www.ck", "ck"),
+             "a.b.pref.city.jp": ("b.pref.city.jp", "pref.city.jp"), "a.o.city.jp": ("a.o.city.jp", "o.city.jp"),
+             "me@a.example.com:80": ("example.com", "com"), "10.0.0.1": ("10.0.0.1", ""), "": ("", ""), "com": ("com", "com")}
+    levels = url_filter.host_levels(F.col("host"), suffixes)
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", levels["domain"], levels["suffix"])
+    assert {r[0]: (r[1], r[2]) for r in rows.collect()} == hosts
