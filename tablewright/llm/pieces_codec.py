@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tablewright.llm.common import lean_batches, pieces
@@ -186,40 +187,53 @@ def decode(encoded: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
-def encode_and_check(docs: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
+def encode_and_check(docs: DataFrame, model_file: str, threads: int = 2, with_library: bool = False) -> DataFrame:
     """doc_id, ids, n_tokens and round_trip: whether the decoded ids give the whole text again (null counts as empty).
 
     Encoding and decoding share one pass, so that neither texts nor ids are shuffled to be compared. A model that
-    normalizes texts, and texts that hold the space marker itself, do not come back unchanged.
+    normalizes texts, and texts that hold the space marker itself, do not come back unchanged. `with_library` adds
+    same_ids: whether the sentencepiece library gives every text the same ids.
     """
     shipped = _shipped(docs, model_file)
+    model = _model_bytes(docs, model_file) if with_library else None
 
     def run(batches):
         tokenizer = _tokenizer(shipped.value, threads)
+        reference = _reference(model.value) if model else None
         for batch in pieces(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
             same = [a == b for a, b in zip(tokenizer.decode_batch(ids, skip_special_tokens=False), texts)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array([len(x) for x in ids], pa.int64()), pa.array(same, pa.bool_())],
-                names=["doc_id", "ids", "n_tokens", "round_trip"])
+            columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
+                       "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "round_trip": pa.array(same, pa.bool_())}
+            if reference:
+                columns["same_ids"] = pa.array(
+                    [list(a) == b for a, b in zip(ids, reference.encode(texts, num_threads=1))], pa.bool_())
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
+    schema = f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean"
+    return docs.select("doc_id", "text").mapInArrow(run, schema + (", same_ids boolean" if with_library else ""))
+
+
+def _model_bytes(docs: DataFrame, model_file: str) -> Broadcast:
+    with open(model_file, "rb") as file:
+        return docs.sparkSession.sparkContext.broadcast(file.read())
+
+
+def _reference(model: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
 def parity(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, same_ids and same_text: whether the sentencepiece library encodes and decodes each row alike."""
-    with open(model_file, "rb") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+    model = _model_bytes(docs, model_file)
     shipped = _shipped(docs, model_file)
 
     def run(batches):
-        import sentencepiece
-
-        reference = sentencepiece.SentencePieceProcessor(model_proto=model.value)
+        reference = _reference(model.value)
         tokenizer = _tokenizer(shipped.value, 2)
         for batch in pieces(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]

@@ -95,7 +95,9 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op2_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
-    coded = pieces_codec.encode_and_check(given(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    """Every text with its ids, its round trip, and the library's ids beside them."""
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    coded = pieces_codec.encode_and_check(given(spark, folder, "documents"), model, with_library=True)
     return coded.withColumn("ids_sha256", F.sha2(F.array_join("ids", ","), 256))
 
 

@@ -26,6 +26,12 @@ def test_codec_parity_with_the_model_library(spark):
     assert {tuple(r)[1:] for r in pc.parity(texts(spark), MODEL).collect()} == {(True, True)}
 
 
+def test_codec_beside_the_model_library(spark):
+    rows = pc.encode_and_check(texts(spark), MODEL, with_library=True).collect()
+    assert len(rows) == len(TEXTS) and all(r.same_ids and r.n_tokens == len(r.ids) for r in rows)
+    assert "same_ids" not in pc.encode_and_check(texts(spark), MODEL).columns
+
+
 def test_codec_round_trip(spark):
     coded = pc.encode_and_check(texts(spark), MODEL)
     got = {r.doc_id: r for r in coded.collect()}
