@@ -5,10 +5,12 @@ import random
 import re
 from functools import lru_cache
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.llm import conversation_repair as repair
+from tablewright.llm import queries
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
@@ -128,3 +130,18 @@ def test_extra_columns_and_long_texts(spark):
     written, found = repair.repair(frame)
     assert found.select("audit", "cost").first() == ("KK", 0)
     assert sorted(len(r.text) for r in written.collect()) == [5, 800_004]
+
+
+def test_query_against_its_sql(spark, tmp_path):
+    """Damage included: null conversations, turns, roles and texts, repeated rows, and conversations that damage empties."""
+    rows = conversations(7, 120, 8) + [(1000 + i, 0, "user", "Only row.") for i in range(60)] + [(None, None, None, None)] * 2
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op11_conversation_repair(spark, str(tmp_path))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = db.execute(queries.ORACLES["op11_conversation_repair"])
+    names = sorted(got.columns)
+    places = [[c[0] for c in want.description].index(n) for n in names]
+    assert sorted(map(str, (tuple(r[n] for n in names) for r in got.collect()))) == sorted(
+        str(tuple(r[p] for p in places)) for r in want.fetchall())
+    assert got.filter("audit = '' AND cost = 0").count() > 0

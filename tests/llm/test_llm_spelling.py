@@ -5,9 +5,10 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
-from tablewright.llm import spelling
+from tablewright.llm import queries, spelling
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -129,3 +130,17 @@ def test_ties_long_words_and_empty_tables(spark):
     want = brute(rows, None)
     assert grouped(spark, rows) == want and ("letter", "lettea", "lettea", 5, 4, 25) in want
     assert grouped(spark, []) == [] and grouped(spark, [(1, None), (None, "")]) == []
+
+
+def test_query_against_its_sql(spark, tmp_path):
+    rng = random.Random(9)
+    words = vocabulary(10, 400)
+    rows = [(i if i % 7 else None, " ".join(rng.choices(words, k=150))) for i in range(80)] + [(1, None), (2, ""), (3, "× ÷ ×÷abcdef")] * 6
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op13_spelling_variants(spark, str(tmp_path)).select("word", "form", "root", "n", "n_near", "form_n")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = f"SELECT word, form, root, n, n_near, form_n FROM ({queries.ORACLES['op13_spelling_variants']})"
+    want = sorted(db.execute(sql).fetchall(), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == want == sorted(brute(rows, queries.DAMAGED_WORDS), key=str)
+    assert len(want) > 100
