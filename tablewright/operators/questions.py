@@ -168,8 +168,7 @@ def answer(
 @contextmanager
 def _named(spark: SparkSession, tables: dict[str, DataFrame]) -> Iterator[None]:
     """Tables under a name while a statement is read; views of that name come back after it."""
-    listed = {v.name.lower() for v in spark.catalog.listTables() if v.isTemporary}
-    hidden = {n: spark.table(n) for n in tables if n.lower() in listed}
+    hidden = {n: spark.table(n) for n in tables if spark.catalog.tableExists(n) and spark.catalog.getTable(n).isTemporary}
     try:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.text import path_extension, size_mb, table_name
 
+_scratch: list[str] = []
 FOLLOWED = 10_000  # entries that one task lists before it leaves folders to others
 TABLE_FOLDER = r"[^/]+\.(?i:csv|json|parquet)"
 CONTENT = ("length", "lines", "sum1", "sum2")
@@ -52,9 +53,9 @@ def total_bytes(spark: SparkSession, path: str) -> int:
 
 
 def scratch_path(spark: SparkSession, label: str, extension: str = "") -> str:
-    """A new path in the shared folder named by `spark.checkpoint.dir`, removed when Spark ends.
+    """A new path in the shared folder named by `spark.checkpoint.dir`, removed by `clear_scratch` or when Spark ends.
 
-    Only where that setting is absent (tests on one machine) a local temporary folder serves.
+    Only where that setting is absent, on one machine, a local temporary folder serves.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -64,9 +65,16 @@ def scratch_path(spark: SparkSession, label: str, extension: str = "") -> str:
     path = f"{base.rstrip('/')}/tablewright-{label}-{uuid.uuid4().hex}{extension}"
     fs, target = _hadoop(spark, path)
     fs.deleteOnExit(target)
+    _scratch.append(path)
     return path
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what was written to scratch paths so far; results that have not been read or written yet become unreadable."""
+    while _scratch:
+        remove_path(spark, _scratch.pop())
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder once, for steps that read them several times."""
     path = scratch_path(df.sparkSession, label)

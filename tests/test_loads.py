@@ -416,3 +416,11 @@ def test_one_document_of_many_parts(spark, tmp_path):
     written = json.loads("".join(p.read_text() for p in parts))
     assert written == json.loads(relationship_document(reports, found.distinct()).first().value)
     assert not write_document(reports, found.limit(0), str(tmp_path / "none"))
+
+
+def test_scratch_can_be_cleared(spark):
+    kept = files.stored(spark.range(5), "kept")
+    path = kept.inputFiles()[0].rpartition("/")[0]
+    assert files.path_exists(spark, path)
+    files.clear_scratch(spark)
+    assert not files.path_exists(spark, path)
