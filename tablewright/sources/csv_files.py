@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.names import file_header
 from tablewright.functions.text import missing_to_null
-from tablewright.sources.files import stored
+from tablewright.sources.files import stored, total_bytes
 
 RAW_RECORD = "_corrupt_record"
 # a quoted field opens after a comma or at the start; possessive repeats keep long cells off the stack
@@ -24,6 +25,7 @@ _CELL = r'(?:"(?:[^"]|"")*"(?:[^",][^,]*)?|(?:[^",][^,]*)?)'
 CLOSED_LINE = rf'(?s)^{_CELL}(?:,{_CELL})*$'
 CLOSING_LINE = rf'(?s)^(?:[^"]|"")*"(?:[^",][^,]*)?(?:,{_CELL})*$'
 LONGEST_RECORD = 16 << 20  # bytes of a record with line breaks inside quotes; longer ones are malformed
+TASK_BYTES = 4 << 20       # of text that a task joins at least
 MOST_HEADERS = 100  # different headers among the parts of one table
 CSV_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_RECORD, "escape": '"', "maxCharsPerColumn": "-1"}
 
@@ -291,7 +293,8 @@ def scan_csv(spark: SparkSession, path: str, quoted_newlines: bool | None = None
     by_line = spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(path)
     by_line = by_line.select(*cells, RAW_RECORD, file) if some_open or orders else by_line
     if some_open:
-        lines = _lines(spark, path)
+        # no more tasks, and files between steps, than the text is worth; blocks stay whole
+        lines = _lines(spark, path).coalesce(max(1, math.ceil(total_bytes(spark, path) / TASK_BYTES)))
         if not all_open:
             # joined where the lines are, so that they stay in order
             lines = lines.join(F.broadcast(parts.filter("open").select("file")), "file", "left_semi")
