@@ -89,6 +89,6 @@ def test_an_empty_table_passes_through(spark, tmp_path):
 def test_contract():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
     found = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in found) == 1
     assert "pipeline" in found and set(queries.ORACLES) <= set(found)
