@@ -19,6 +19,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
 
+SLICE_BYTES = 1 << 17  # of text that is encoded at once: the library holds some 80 bytes for each of them meanwhile
+
 
 @dataclass
 class PieceModel:
@@ -158,7 +160,7 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
 
     def run(batches):
         tokenizer = _tokenizer(shipped.value, threads)
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
             yield pa.RecordBatch.from_arrays(
@@ -200,7 +202,7 @@ def encode_and_check(docs: DataFrame, model_file: str, threads: int = 2, with_li
     def run(batches):
         tokenizer = _tokenizer(shipped.value, threads)
         reference = _reference(model.value) if model else None
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
             same = [a == b for a, b in zip(tokenizer.decode_batch(ids, skip_special_tokens=False), texts)]
@@ -235,7 +237,7 @@ def parity(docs: DataFrame, model_file: str) -> DataFrame:
     def run(batches):
         reference = _reference(model.value)
         tokenizer = _tokenizer(shipped.value, 2)
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
             theirs = [list(x) for x in reference.encode(texts, num_threads=1)]

@@ -47,6 +47,17 @@ def test_codec_round_trip(spark):
     assert pc.encode_and_check(texts(spark).limit(0), MODEL).collect() == []
 
 
+def test_encoding_takes_short_slices(spark, monkeypatch):
+    """What the library holds for a slice is some 80 times its bytes: a thousand texts are not encoded at once."""
+    seen = []
+    monkeypatch.setattr(pc, "pieces", lambda batches, column, limit: seen.append(limit) or iter(()))
+    runs = []
+    frame = texts(spark)
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema, *rest: runs.append(run) or self)
+    pc.encode(frame, MODEL), pc.encode_and_check(frame, MODEL), pc.parity(frame, MODEL)
+    assert [list(run(iter(()))) for run in runs] == [[], [], []] and len(seen) == 3 and max(seen) <= 1 << 17
+
+
 def _message(*parts):
     out = b""
     for number, value in parts:
