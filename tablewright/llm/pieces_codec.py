@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
@@ -18,6 +22,7 @@ from tablewright.llm.common import lean_batches, pieces
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
+BYTE_PIECE = re.compile("<0x([0-9A-Fa-f]{2})>")
 
 SLICE_BYTES = 1 << 17  # of text that is encoded at once: the library holds some 80 bytes for each of them meanwhile
 
@@ -143,6 +148,45 @@ def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+@functools.lru_cache(maxsize=1)
+def _spellings(serialized: str, threads: int) -> tuple[pa.Array, bool]:
+    """The bytes each id stands for, none where there is no such piece; whether a space before the text is dropped."""
+    tokenizer = _tokenizer(serialized, threads)
+    ids = tokenizer.get_vocab(with_added_tokens=True)
+    spelled = [b""] * (max(ids.values()) + 1)
+    for piece, index in ids.items():
+        byte = BYTE_PIECE.fullmatch(piece)
+        spelled[index] = bytes.fromhex(byte[1]) if byte else piece.replace(SPACE, " ").encode()
+    steps = json.loads(serialized)["decoder"]["decoders"]
+    return pa.array(spelled, pa.large_binary()), any(s["type"] == "Strip" for s in steps)
+
+
+def _texts(serialized: str, threads: int, ids: list[list[int]]) -> list[str]:
+    """What the tokenizer decodes the ids to, put together from the bytes of all their pieces at once.
+
+    Ids beyond the pieces and bytes that are no UTF-8 are left to the tokenizer itself.
+    """
+    tokenizer = _tokenizer(serialized, threads)
+    spelled, drops_space = _spellings(serialized, threads)
+    lists = pa.array(ids, pa.list_(pa.int64()))
+    flat = lists.flatten()
+    if len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < len(spelled):
+        return tokenizer.decode_batch(ids, skip_special_tokens=False)
+    taken = spelled.take(flat)
+    ends = np.cumsum([0, *map(len, ids)])
+    raw = taken.buffers()[2].to_pybytes() if len(flat) else b""
+    bounds = np.frombuffer(taken.buffers()[1], np.int64)[ends].tolist() if len(flat) else ends.tolist()
+    texts = []
+    for own, start, end in zip(ids, bounds, bounds[1:]):
+        if drops_space and start < end and raw[start] == 32:
+            start += 1
+        try:
+            texts.append(raw[start:end].decode("utf-8"))
+        except UnicodeDecodeError:
+            texts.append(tokenizer.decode(own, skip_special_tokens=False))
+    return texts
+
+
 def _shipped(docs: DataFrame, model_file: str):
     """The tokenizer as JSON for the workers, built once from the model file."""
     lean_batches(docs.sparkSession)
@@ -175,12 +219,11 @@ def decode(encoded: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
     shipped = _shipped(encoded, model_file)
 
     def run(batches):
-        tokenizer = _tokenizer(shipped.value, threads)
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
                 ids = [x or [] for x in part.column("ids").to_pylist()]
-                texts = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                texts = _texts(shipped.value, threads, ids)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())],
                     names=["doc_id", "ids", "text"])
@@ -205,7 +248,7 @@ def encode_and_check(docs: DataFrame, model_file: str, threads: int = 2, with_li
         for batch in pieces(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
-            same = [a == b for a, b in zip(tokenizer.decode_batch(ids, skip_special_tokens=False), texts)]
+            same = [a == b for a, b in zip(_texts(shipped.value, threads, ids), texts)]
             columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
                        "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "round_trip": pa.array(same, pa.bool_())}
             if reference:
@@ -241,7 +284,7 @@ def parity(docs: DataFrame, model_file: str) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = _ids(tokenizer, texts)
             theirs = [list(x) for x in reference.encode(texts, num_threads=1)]
-            back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+            back = _texts(shipped.value, 2, ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([a == b for a, b in zip(ids, theirs)], pa.bool_()),
                  pa.array([a == reference.decode(b) for a, b in zip(back, theirs)], pa.bool_())],

@@ -47,6 +47,32 @@ def test_codec_round_trip(spark):
     assert pc.encode_and_check(texts(spark).limit(0), MODEL).collect() == []
 
 
+def test_texts_put_together_are_those_of_the_tokenizer(monkeypatch):
+    """Ids of any kind, also bytes that are no UTF-8, ids beyond the pieces and markers spelled as bytes."""
+    import random
+
+    with open(MODEL, "rb") as file:
+        serialized = pc.build_tokenizer(pc.parse_model(file.read())).to_str()
+    tokenizer = pc._tokenizer(serialized, 2)
+    size, draw = tokenizer.get_vocab_size(), random.Random(3)
+    odd = [[], [0, 1, 2], [3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [3 + 32, 3 + 32], [3 + 0xE2, 3 + 0x96, 3 + 0x81], [3 + 0xC3, 300, 3 + 0xA9]]
+    some = [[draw.randrange(size) for _ in range(draw.randrange(40))] for _ in range(300)]
+    bytes_ = [[3 + draw.randrange(256) for _ in range(draw.randrange(6))] for _ in range(300)]
+    real = pc._ids(tokenizer, [t or "" for t in TEXTS])
+    for lists in (odd, some, bytes_, real, [[]], []):
+        assert pc._texts(serialized, 2, lists) == tokenizer.decode_batch(lists, skip_special_tokens=False)
+    beyond = [[300, size + 5, 301], [302]]
+    assert pc._texts(serialized, 2, beyond) == tokenizer.decode_batch(beyond, skip_special_tokens=False)
+    valid, library = [[300, 301], *real], tokenizer.decode_batch([[300, 301], *real], skip_special_tokens=False)
+
+    class Plain:  # texts that are UTF-8 need no call a row
+        decode = decode_batch = None
+
+    pc._spellings(serialized, 2)
+    monkeypatch.setattr(pc, "_tokenizer", lambda *_: Plain)
+    assert pc._texts(serialized, 2, valid) == library
+
+
 def test_encoding_takes_short_slices(spark, monkeypatch):
     """What the library holds for a slice is some 80 times its bytes: a thousand texts are not encoded at once."""
     seen = []
