@@ -58,7 +58,7 @@ def test_texts_put_together_are_those_of_the_tokenizer(monkeypatch):
     odd = [[], [0, 1, 2], [3 + 0xC3], [3 + 0xC3, 3 + 0xA9], [3 + 32, 3 + 32], [3 + 0xE2, 3 + 0x96, 3 + 0x81], [3 + 0xC3, 300, 3 + 0xA9]]
     some = [[draw.randrange(size) for _ in range(draw.randrange(40))] for _ in range(300)]
     bytes_ = [[3 + draw.randrange(256) for _ in range(draw.randrange(6))] for _ in range(300)]
-    real = pc._ids(tokenizer, [t or "" for t in TEXTS])
+    real = [e.ids for e in tokenizer.encode_batch_fast([t or "" for t in TEXTS], add_special_tokens=False)]
     for lists in (odd, some, bytes_, real, [[]], []):
         assert pc._texts(serialized, 2, lists) == tokenizer.decode_batch(lists, skip_special_tokens=False)
     beyond = [[300, size + 5, 301], [302]]
@@ -73,6 +73,23 @@ def test_texts_put_together_are_those_of_the_tokenizer(monkeypatch):
     assert pc._texts(serialized, 2, valid) == library
 
 
+def test_steps_on_spaces_outside_the_tokenizer_give_its_ids():
+    """Models that only mark spaces have no normalizer in the tokenizer; models that do more keep theirs."""
+    import json
+
+    with open(MODEL, "rb") as file:
+        model = pc.parse_model(file.read())
+    given = [t or "" for t in TEXTS] + ["▁", " ▁ ", "\u00a0x", "a  b", "<0x20>", "\x00"]
+    for prefix, marks in ((True, True), (False, True), (True, False), (False, False)):
+        model.dummy_prefix, model.mark_spaces = prefix, marks
+        shipped = pc._without_spaces(model)
+        assert json.loads(shipped.tokenizer)["normalizer"] == {"type": "Sequence", "normalizers": []}
+        whole = pc.build_tokenizer(model).encode_batch_fast(given, add_special_tokens=False)
+        assert pc._ids(shipped, 2, given) == [e.ids for e in whole]
+    model.trim_spaces = True
+    assert pc._without_spaces(model) == pc.Shipped(pc.build_tokenizer(model).to_str())
+
+
 def test_encoding_takes_short_slices(spark, monkeypatch):
     """What the library holds for a slice is some 80 times its bytes: a thousand texts are not encoded at once."""
     seen = []
