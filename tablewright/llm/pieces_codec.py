@@ -7,6 +7,7 @@ import json
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from tablewright.llm.common import lean_batches, pieces
+from tablewright.llm.common import lean_batches, pieces, runs, utf8
 
 # fixed values of the model format: kinds of pieces, kinds of models, the marker of a space
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -26,6 +27,8 @@ SPACE = "▁"
 BYTE_PIECE = re.compile("<0x([0-9A-Fa-f]{2})>")
 
 SLICE_BYTES = 1 << 17  # of text that is encoded at once: the library holds some 80 bytes for each of them meanwhile
+WORD_BYTES = 1 << 22  # of text whose words are encoded once, where words can be encoded apart
+RUN_BYTES = 1 << 10  # of such words that the library gets as one text
 
 
 @dataclass
@@ -139,6 +142,15 @@ class Shipped(NamedTuple):
     tokenizer: str  # as JSON
     prefix: str = ""  # before each text that is not empty
     space: str = " "  # what stands for a space
+    by_words: bool = False  # whether the ids of a text are those of its words, one after another
+
+
+def _apart(model: PieceModel, space: str) -> bool:
+    """Whether no merge joins a space to what is before it, and every piece tells how many bytes of text it stands for."""
+    names = {p for p, _, _ in model.pieces}
+    whole = {p for p, _, kind in model.pieces if kind == BYTE} >= {f"<0x{b:02X}>" for b in range(256)}
+    return (model.kind == BPE and model.byte_fallback and whole and space in names
+            and not any(re.search(f"[^{space}]{space}", p, re.DOTALL) for p in names))
 
 
 def _without_spaces(model: PieceModel) -> Shipped:
@@ -153,7 +165,7 @@ def _without_spaces(model: PieceModel) -> Shipped:
         return Shipped(built.to_str())
     built.normalizer = normalizers.Sequence([])
     space = SPACE if model.mark_spaces else " "
-    return Shipped(built.to_str(), space if model.dummy_prefix else "", space)
+    return Shipped(built.to_str(), space if model.dummy_prefix else "", space, _apart(model, space))
 
 
 @functools.lru_cache(maxsize=1)
@@ -172,6 +184,68 @@ def _ids(shipped: Shipped, threads: int, texts: list[str]) -> list[list[int]]:
     return [e.ids for e in tokenizer.encode_batch_fast(ready, add_special_tokens=False)]
 
 
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Where the space markers end that the bytes of texts hold themselves."""
+    a, b, c = SPACE.encode()
+    return np.flatnonzero((data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c)) + 3
+
+
+def _words(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where words begin, and where the last ends: at the start of a text, and where spaces or markers begin."""
+    starts, marks = data == 32, _marks(data)
+    starts[1:] &= data[:-1] != 32
+    starts[marks[marks < len(data)]] = False
+    starts[bounds[bounds < len(data)]] = True
+    return np.append(np.flatnonzero(starts), len(data))
+
+
+def _ids_of_words(shipped: Shipped, threads: int, words: pa.Array) -> pa.ListArray:
+    """The ids of each word. The library gets many words as one text, and the bytes its pieces stand for tell them apart.
+
+    Words that do not begin with a space, end with one or hold a marker are texts of their own.
+    """
+    data, bounds = utf8(words)
+    alone = (data[bounds[:-1]] != 32) | (data[bounds[1:] - 1] == 32)
+    alone[np.searchsorted(bounds, _marks(data)) - 1] = True
+    opens = np.append(True, alone[1:] | alone[:-1] | (np.diff(bounds[:-1] // RUN_BYTES) > 0))
+    at = np.append(bounds[:-1][opens], len(data))
+    found = []
+    for start, end in runs(at[:-1] // SLICE_BYTES):
+        texts = [data[a:b].tobytes().decode("utf-8") for a, b in zip(at[start:end], at[start + 1:end + 1])]
+        found.append(pa.array(_ids(shipped._replace(prefix=""), threads, texts), pa.list_(pa.int32())))
+    lists = pa.concat_arrays(found)
+    ids, firsts = lists.values, lists.offsets.to_numpy()
+    sizes = pc.binary_length(_spellings(shipped.tokenizer, threads)[0]).to_numpy()
+    ends = np.append(0, np.cumsum(sizes[ids.to_numpy()]))
+    ends = ends[1:] + np.repeat(at[:-1] - ends[firsts[:-1]], np.diff(firsts))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(ends, bounds, "right"), pa.int32()), ids)
+
+
+def _encoded(shipped: Shipped, threads: int, texts: pa.Array) -> pa.ListArray:
+    """The ids of every text, null counting as empty; where words can be encoded apart, each is encoded once."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if shipped.prefix and shipped.by_words:
+        space, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        texts = pc.if_else(pc.equal(texts, nothing), texts, pc.binary_join_element_wise(space, texts, nothing))
+    data, bounds = utf8(texts)
+    if not shipped.by_words or not len(data):
+        return pa.array(_ids(shipped, threads, texts.to_pylist()), pa.list_(pa.int32()))
+    at = _words(data, bounds)
+    words = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)])
+    words = words.dictionary_encode()
+    taken = _ids_of_words(shipped, threads, words.dictionary).take(words.indices)
+    firsts = taken.offsets.take(pa.array(np.searchsorted(at, bounds)))
+    return pa.ListArray.from_arrays(firsts, taken.values)
+
+
+def _coded(shipped: Shipped, threads: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text and ids."""
+    for batch in pieces(batches, "text", WORD_BYTES if shipped.by_words else SLICE_BYTES):
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text"), _encoded(shipped, threads, batch.column("text"))],
+            names=["doc_id", "text", "ids"])
+
+
 @functools.lru_cache(maxsize=1)
 def _spellings(serialized: str, threads: int) -> tuple[pa.Array, bool]:
     """The bytes each id stands for, none where there is no such piece; whether a space before the text is dropped."""
@@ -185,29 +259,29 @@ def _spellings(serialized: str, threads: int) -> tuple[pa.Array, bool]:
     return pa.array(spelled, pa.large_binary()), any(s["type"] == "Strip" for s in steps)
 
 
-def _texts(serialized: str, threads: int, ids: list[list[int]]) -> list[str]:
+def _texts(serialized: str, threads: int, ids: list[list[int]] | pa.ListArray) -> list[str]:
     """What the tokenizer decodes the ids to, put together from the bytes of all their pieces at once.
 
     Ids beyond the pieces and bytes that are no UTF-8 are left to the tokenizer itself.
     """
     tokenizer = _tokenizer(serialized, threads)
     spelled, drops_space = _spellings(serialized, threads)
-    lists = pa.array(ids, pa.list_(pa.int64()))
+    lists = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.list_(pa.int64()))
     flat = lists.flatten()
     if len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < len(spelled):
-        return tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return tokenizer.decode_batch(lists.to_pylist(), skip_special_tokens=False)
     taken = spelled.take(flat)
-    ends = np.cumsum([0, *map(len, ids)])
+    ends = np.cumsum(np.append(0, pc.list_value_length(lists)))
     raw = taken.buffers()[2].to_pybytes() if len(flat) else b""
     bounds = np.frombuffer(taken.buffers()[1], np.int64)[ends].tolist() if len(flat) else ends.tolist()
     texts = []
-    for own, start, end in zip(ids, bounds, bounds[1:]):
+    for own, start, end in zip(lists, bounds, bounds[1:]):
         if drops_space and start < end and raw[start] == 32:
             start += 1
         try:
             texts.append(raw[start:end].decode("utf-8"))
         except UnicodeDecodeError:
-            texts.append(tokenizer.decode(own, skip_special_tokens=False))
+            texts.append(tokenizer.decode(own.as_py(), skip_special_tokens=False))
     return texts
 
 
@@ -227,11 +301,8 @@ def encode(docs: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
     shipped = _shipped(docs, model_file)
 
     def run(batches):
-        for batch in pieces(batches, "text", SLICE_BYTES):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = _ids(shipped.value, threads, texts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        for batch in pieces(_coded(shipped.value, threads, batches), "text", SLICE_BYTES):
+            yield batch.select(["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -267,15 +338,13 @@ def encode_and_check(docs: DataFrame, model_file: str, threads: int = 2, with_li
 
     def run(batches):
         reference = _reference(model.value) if model else None
-        for batch in pieces(batches, "text", SLICE_BYTES):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = _ids(shipped.value, threads, texts)
+        for batch in pieces(_coded(shipped.value, threads, batches), "text", SLICE_BYTES):
+            texts, ids = [t or "" for t in batch.column("text").to_pylist()], batch.column("ids")
             same = [a == b for a, b in zip(_texts(shipped.value.tokenizer, threads, ids), texts)]
-            columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())),
-                       "n_tokens": pa.array([len(x) for x in ids], pa.int64()), "round_trip": pa.array(same, pa.bool_())}
+            columns = {"doc_id": batch.column("doc_id"), "ids": ids,
+                       "n_tokens": pc.list_value_length(ids).cast(pa.int64()), "round_trip": pa.array(same, pa.bool_())}
             if reference:
-                columns["same_ids"] = pa.array(
-                    [list(a) == b for a, b in zip(ids, reference.encode(texts, num_threads=1))], pa.bool_())
+                columns["same_ids"] = pa.array(_equal(ids, reference.encode(texts, num_threads=1)), pa.bool_())
             yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -294,6 +363,13 @@ def _reference(model: bytes):
     return sentencepiece.SentencePieceProcessor(model_proto=model)
 
 
+def _equal(ids: pa.ListArray, theirs: list[list[int]]) -> list[bool]:
+    """Whether each text has the same ids."""
+    flat = array("i", ids.flatten().to_numpy().tobytes())
+    ends = np.cumsum(np.append(0, pc.list_value_length(ids))).tolist()
+    return [flat[a:b] == array("i", x) for a, b, x in zip(ends, ends[1:], theirs)]
+
+
 def parity(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, same_ids and same_text: whether the sentencepiece library encodes and decodes each row alike."""
     model = _model_bytes(docs, model_file)
@@ -301,13 +377,12 @@ def parity(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches):
         reference = _reference(model.value)
-        for batch in pieces(batches, "text", SLICE_BYTES):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = _ids(shipped.value, 2, texts)
+        for batch in pieces(_coded(shipped.value, 2, batches), "text", SLICE_BYTES):
+            texts, ids = [t or "" for t in batch.column("text").to_pylist()], batch.column("ids")
             theirs = [list(x) for x in reference.encode(texts, num_threads=1)]
             back = _texts(shipped.value.tokenizer, 2, ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([a == b for a, b in zip(ids, theirs)], pa.bool_()),
+                [batch.column("doc_id"), pa.array(_equal(ids, theirs), pa.bool_()),
                  pa.array([a == reference.decode(b) for a, b in zip(back, theirs)], pa.bool_())],
                 names=["doc_id", "same_ids", "same_text"])
 

@@ -1,3 +1,5 @@
+import dataclasses
+import hashlib
 import json
 import math
 import random
@@ -6,6 +8,7 @@ import struct
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +93,74 @@ def test_steps_on_spaces_outside_the_tokenizer_give_its_ids():
     assert pc._without_spaces(model) == pc.Shipped(pc.build_tokenizer(model).to_str())
 
 
+def _some_texts(seed, n):
+    draw = random.Random(seed)
+    parts = [" ", "  ", "   ", "▁", "▁▁", "\n", "the", "c", "с", "я", "é", "🙂", "日本", "<0x20>", "<unk>", "\x00", "ing", "x" * 9]
+    return ["".join(draw.choices(parts, k=draw.randrange(12))) for _ in range(n)]
+
+
+def test_ids_of_words_are_those_of_whole_texts(monkeypatch):
+    """Runs of spaces, markers in the text, words of one text and of many: the ids are those of the text as a whole."""
+    with open(MODEL, "rb") as file:
+        model = pc.parse_model(file.read())
+    given = TEXTS + _some_texts(5, 3000) + ["▁", " ▁ ", "▁ ", "a  b", " ", "   "]
+    plain = [t or "" for t in given]
+    pieces = model.pieces
+    for run_bytes, prefix, marks, added in (
+            (1 << 10, True, True, []), (8, True, True, []), (64, False, True, []), (64, True, False, []),
+            (64, True, False, [" ", "  ", " t"]), (8, False, False, [" ", "  ", " t"])):
+        monkeypatch.setattr(pc, "RUN_BYTES", run_bytes)
+        model.dummy_prefix, model.mark_spaces = prefix, marks
+        model.pieces = pieces + [(p, -1.0, pc.NORMAL) for p in added]
+        shipped = pc._without_spaces(model)
+        assert shipped.by_words == (marks or bool(added))
+        whole = pc.build_tokenizer(model).encode_batch_fast(plain, add_special_tokens=False)
+        for part in (slice(None), slice(0, 2), slice(0, 0), slice(4, 40)):
+            got = pc._encoded(shipped, 2, pa.array(given[part], pa.string()))
+            assert got.to_pylist() == [e.ids for e in whole[part]]
+    sliced = pa.array(given, pa.string()).slice(14, 500)
+    model.dummy_prefix = model.mark_spaces = True
+    model.pieces = pieces
+    shipped = pc._without_spaces(model)
+    assert pc._encoded(shipped, 2, sliced).to_pylist() == pc._ids(shipped, 2, plain[14:514])
+
+
+def test_models_whose_words_depend_on_each_other_get_whole_texts():
+    with open(MODEL, "rb") as file:
+        model = pc.parse_model(file.read())
+    pieces, shipped = model.pieces, pc._without_spaces(model)
+    assert shipped.by_words
+    for change in ({"pieces": [*pieces, ("of▁the", -1.0, pc.NORMAL)]}, {"pieces": [*pieces, ("\n▁", -1.0, pc.NORMAL)]},
+                   {"pieces": [p for p in pieces if p[0] != "<0x0A>"]}, {"pieces": [p for p in pieces if p[0] != "▁"]},
+                   {"byte_fallback": False}, {"kind": pc.UNIGRAM}):
+        other = dataclasses.replace(model, **change)
+        assert not pc._apart(other, "▁")
+
+
+def test_words_that_repeat_are_encoded_once(spark, monkeypatch):
+    """The library gets each word of a few megabytes of text once, and little text at a time."""
+    with open(MODEL, "rb") as file:
+        shipped = pc._without_spaces(pc.parse_model(file.read()))
+    whole, calls = pc._ids, []
+    monkeypatch.setattr(pc, "_ids", lambda shipped, threads, texts: calls.append(texts) or whole(shipped, threads, texts))
+    words = [f"w{i}x{i % 7}" for i in range(40_000)]
+    given = [" ".join(words[i % 40:i % 40 + 20_000:7]) for i in range(80)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(80)), "text": given})
+    coded = list(pc._coded(shipped, 2, iter([batch])))
+    assert sum(len(b) for b in coded) == 80
+    seen = [sum(map(len, texts)) for texts in calls]
+    assert max(seen) <= pc.SLICE_BYTES + 2 * pc.RUN_BYTES
+    assert sum(seen) < 0.3 * sum(map(len, given))
+    assert coded[0].column("ids").to_pylist() == whole(shipped, 2, given)[:len(coded[0])]
+
+
+def test_digest_of_ids_is_that_of_the_joined_ids(spark, tmp_path):
+    texts(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op2_piece_codec(spark, str(tmp_path)).collect()
+    assert len(rows) == len(TEXTS) and {r.n_tokens for r in rows} >= {0, 1}
+    assert all(r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest() for r in rows)
+
+
 def test_encoding_takes_short_slices(spark, monkeypatch):
     """What the library holds for a slice is some 80 times its bytes: a thousand texts are not encoded at once."""
     seen = []
